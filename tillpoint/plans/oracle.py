@@ -257,4 +257,6 @@ LIMIT 20""", "order_items", "products"),
     "period_report_weekly": _period_sql(*report_range("weekly", P.REPORT_ANCHOR)),
 }
 
-ORACLE_SQL: dict[str, str] = {**RETAIL_SQL}
+from tillpoint.plans.oracle_more import MORE_SQL  # noqa: E402
+
+ORACLE_SQL: dict[str, str] = {**RETAIL_SQL, **MORE_SQL}

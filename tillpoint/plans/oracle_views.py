@@ -51,7 +51,7 @@ VIEW_SQL: dict[str, str] = {
                     - CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS DECIMAL(18,0)) AS DOUBLE) AS profit
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
                       JOIN customer ON o_custkey = c_custkey
-                      JOIN geo g ON c_custkey = g.c_custkey
+                      JOIN geo g ON customer.c_custkey = g.c_custkey
                       JOIN part ON l_partkey = p_partkey""",
     "sales_dirty": """
         SELECT order_id, order_date, ship_date, customer_id,
@@ -83,6 +83,20 @@ VIEW_SQL: dict[str, str] = {
         FROM products""",
 }
 
+VIEW_SQL["order_lines"] = """
+        SELECT l_orderkey AS order_id, o_custkey AS customer_id, l_partkey AS product_id,
+               CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS sales
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+VIEW_SQL["customer_names"] = """
+        SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer"""
+VIEW_SQL["mixed_date_text"] = """
+        SELECT o_orderkey AS order_id,
+               CASE WHEN o_orderkey % 2 = 0
+                    THEN CAST(month(o_orderdate) AS VARCHAR) || '/' || CAST(day(o_orderdate) AS VARCHAR) || '/' || CAST(year(o_orderdate) AS VARCHAR)
+                    ELSE CAST(month(o_orderdate) AS VARCHAR) || '-' || CAST(day(o_orderdate) AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR)
+               END AS order_date
+        FROM orders"""
+
 VIEW_DEPS = {
     "orders_v": ["geo"],
     "sales": ["geo"],

@@ -181,3 +181,28 @@ def products_dirty(t: Tables) -> DataFrame:
             .when(m == 3, F.upper(F.regexp_replace(n, " ", "-")))
             .otherwise(n))
     return p.withColumn("product_name", name)
+
+
+def order_lines(t: Tables) -> DataFrame:
+    """Order lines with customer: order_id, customer_id, product_id, quantity, sales."""
+    return t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"),
+                           F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").alias("sales"),
+    )
+
+
+def customer_names(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("customer_id"),
+                             F.col("c_name").alias("customer_name"))
+
+
+def mixed_date_text(t: Tables) -> DataFrame:
+    """Order dates as text in two separator styles, M-d-yyyy and M/d/yyyy, by order key."""
+    k = F.col("o_orderkey")
+    text = F.when(F.pmod(k, F.lit(2)) == 0, F.date_format("o_orderdate", "M/d/yyyy")).otherwise(
+        F.date_format("o_orderdate", "M-d-yyyy"))
+    return t.orders.select(k.alias("order_id"), text.alias("order_date"))
