@@ -6,12 +6,14 @@ except the handful of statistics an imputation or a capping needs (one value per
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillpoint.functions.exprs import parse_timestamp, round_half_up, strip_ws, title_case
-from tillpoint.operators.windows import ordered_window
+from tillpoint.operators.persist import materialize
 
 # Text tokens that stand for a missing number.
 NULL_TOKENS = ("null", "NULL", "")
@@ -101,26 +103,70 @@ def column_means(df: DataFrame, cols: list[str], scale: int = 2, digits: int = 4
     return {c: row[c] for c in cols}
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float], **kw) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, qs: list[float], rows_per_bucket: int = 200_000,
+                    max_buckets: int = 1024, sample_per_bucket: int = 32,
+                    seed: int = 13) -> list[float | None]:
     """Exact linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``).
 
-    The values are ranked with range-bucketed row numbers, so no task ever holds more than
-    a bucket of them; only the two neighbours of every quantile position are kept.
-    Returns one row with a column ``q<i>`` per requested quantile.
+    Spark's exact ``percentile`` keeps every distinct value of the column in one aggregation
+    buffer.  Here the values are written once, cut into range buckets at sampled boundaries
+    and counted per bucket; only the buckets that hold a wanted rank are then examined,
+    as (value, count) pairs, so a value repeated on a third of all rows is one row.  The
+    driver only sees the bucket counts (at most ``max_buckets``) and the wanted values.
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    ranked = ordered_window(vals, [("v", True)], row_number="rn", **kw)
-    n = ranked.agg(F.count(F.lit(1))).scalar()
-    out = []
-    for i, q in enumerate(qs):
-        pos = (n - F.lit(1)).cast("double") * F.lit(float(q))
-        lo = F.floor(pos) + 1
-        hi = F.ceil(pos) + 1
-        frac = pos - F.floor(pos)
-        v_lo = F.max(F.when(F.col("rn") == lo, F.col("v")))
-        v_hi = F.max(F.when(F.col("rn") == hi, F.col("v")))
-        out.append((v_lo + (v_hi - v_lo) * F.first(frac)).alias(f"q{i}"))
-    return ranked.agg(*out)
+    vals = materialize(df.select(F.col(col).cast("double").alias("v"))
+                       .filter(F.col("v").isNotNull() & ~F.isnan("v")), "q")
+    n = vals.count()
+    if n == 0:
+        return [None for _ in qs]
+    spots = []
+    for q in qs:
+        pos = (n - 1) * float(q)
+        lo = int(math.floor(pos))
+        spots.append((lo, min(lo + 1, n - 1), pos - lo))
+    ranks = sorted({r for lo, hi, _ in spots for r in (lo, hi)})
+    nb = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
+    bounds: list[float] = []
+    if nb > 1:
+        frac = min(1.0, sample_per_bucket * nb / n)
+        sample = [r[0] for r in vals.sample(False, frac, seed).orderBy("v").collect()]
+        for i in range(1, nb):
+            b = sample[(len(sample) * i) // nb] if sample else None
+            if b is not None and (not bounds or b != bounds[-1]):
+                bounds.append(b)
+    bucket = _value_bucket(F.col("v"), bounds)
+    keyed = vals.withColumn("_b", bucket)
+    counts = sorted((r["_b"], r["n"]) for r in
+                    keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
+    # Bucket and offset of every wanted rank (at most max_buckets counts to walk).
+    want = []
+    start, i = 0, 0
+    for b, cnt in counts:
+        while i < len(ranks) and ranks[i] < start + cnt:
+            want.append((b, ranks[i] - start, ranks[i]))
+            i += 1
+        start += cnt
+    spark = df.sparkSession
+    targets = spark.createDataFrame(want, "_b int, off long, rank long")
+    per_value = (keyed.filter(F.col("_b").isin([b for b, _, _ in want]))
+                 .groupBy("_b", "v").agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding,
+                                                          Window.currentRow)
+    cum = per_value.withColumn("upto", F.sum("c").over(w))
+    hit = cum.join(F.broadcast(targets), "_b").filter(
+        (F.col("off") < F.col("upto")) & (F.col("off") >= F.col("upto") - F.col("c")))
+    at = {r["rank"]: r["v"] for r in hit.select("rank", "v").collect()}
+    return [at[lo] + (at[hi] - at[lo]) * f for lo, hi, f in spots]
+
+
+def _value_bucket(v: Column, bounds: list[float]) -> Column:
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(v >= F.lit(bounds[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
+
+    return build(0, len(bounds))
 
 
 def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
@@ -138,9 +184,8 @@ def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
     elif numeric == "median":
         fill_cols = {}
         for c in num:
-            med = exact_quantiles(df, c, [0.5]).select(round_half_up(F.col("q0").cast("double"),
-                                                                      digits)).scalar()
-            fill_cols[c] = med
+            med = exact_quantiles(df, c, [0.5])[0]
+            fill_cols[c] = round_half_up(F.lit(med).cast("double"), digits)
     else:
         raise ValueError("numeric must be 'mean' or 'median'")
     out = []
@@ -159,10 +204,11 @@ def cap_outliers(df: DataFrame, cols: list[str], k: float = 1.5, **kw) -> DataFr
     """Cap every column to [q1 - k*iqr, q3 + k*iqr] with exact quartiles."""
     out = df
     for c in cols:
-        qs = exact_quantiles(df, c, [0.25, 0.75], **kw)
-        q1, q3 = qs.select("q0").scalar(), qs.select("q1").scalar()
+        q1, q3 = exact_quantiles(df, c, [0.25, 0.75], **kw)
+        if q1 is None:
+            continue
         iqr = q3 - q1
-        lo, hi = q1 - F.lit(k) * iqr, q3 + F.lit(k) * iqr
+        lo, hi = F.lit(q1 - k * iqr), F.lit(q3 + k * iqr)
         x = F.col(c).cast("double")
         out = out.withColumn(c, F.when(x.isNull(), x).otherwise(F.least(F.greatest(x, lo), hi)))
     return out

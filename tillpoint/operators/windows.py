@@ -100,7 +100,7 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
                    lag: tuple[str, str] | None = None,
                    rows_per_bucket: int = 500_000, max_buckets: int = 1024,
                    min_buckets: int | None = None, sample_per_bucket: int = 32,
-                   seed: int = 11) -> DataFrame:
+                   seed: int = 11, materialized: bool = False) -> DataFrame:
     """Add window columns over ``order_by`` (list of (column, ascending)).
 
     row_number:  output name for ROW_NUMBER
@@ -108,12 +108,13 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     ntile:       (output name, n) -> NTILE(n); only without ``partition_by``
     running_sum: (value column, output name) -> SUM over ROWS UNBOUNDED PRECEDING..CURRENT
     lag:         (value column, output name) -> LAG(value, 1)
+    materialized: the input is already a written table (skip writing it again)
     """
     partition_by = list(partition_by)
     if ntile is not None and partition_by:
         raise ValueError("ntile is only supported over the whole relation")
     spark = df.sparkSession
-    base = materialize(df, "ow")
+    base = df if materialized else materialize(df, "ow")
     schema = base.schema
     okeys = []
     for i, (name, asc) in enumerate(order_by):

@@ -21,10 +21,40 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# A file this large read as fewer splits than there are cores is spread over the cores.
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(jvm_path).getLength()
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Parquet reader; an under-split input is spread over the cores.
+
+    Parquet splits at row-group boundaries, so a large file written as one row group is read
+    by one task and everything up to the first shuffle (projections, broadcast joins, partial
+    aggregation) runs single-threaded.  When the scan has fewer splits than the default
+    parallelism and the data is large, a round-robin ``repartition`` spreads the rows.  On a
+    cluster reading many files the scan already has thousands of splits and nothing is added.
+    Column pruning and filters are still pushed below the repartition into the scan.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores and _size(spark, path) >= SPREAD_MIN_BYTES:
+            df = df.repartition(cores)
+    return df
+
+
+# Readers are plain logical plans over immutable input files; building one lists the files
+# and reads the footers (about a quarter second each), so they are kept per session.
+_READERS: dict[tuple, DataFrame] = {}
 
 
 class Tables:
@@ -33,11 +63,11 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.sf_dir, name)
-        return self._cache[name]
+        key = (id(self.spark), self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _READERS:
+            _READERS[key] = read_table(self.spark, self.sf_dir, name)
+        return _READERS[key]

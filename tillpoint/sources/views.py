@@ -116,14 +116,15 @@ def sales(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                            "l_discount", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    c = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    geo = customer_regions(t)
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey", "n_name", "r_name")
+    c = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey").join(
+        geo, F.col("c_nationkey") == F.col("n_nationkey"))
     p = t.part.select("p_partkey", "p_name", "p_type", "p_retailprice")
     net = dec("l_extendedprice", 18, 2) * (F.lit(1).cast("decimal(1,0)") - dec("l_discount", 4, 2))
     cost = dec("p_retailprice", 18, 2) * dec("l_quantity", 18, 0)
     return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(c, F.col("o_custkey") == F.col("c_custkey"))
-            .join(geo, "c_custkey")
             .join(p, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("l_orderkey").alias("order_id"),
