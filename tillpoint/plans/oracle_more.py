@@ -405,6 +405,7 @@ def _merge(sql: str) -> str:
 MERGE_SQL = {
     "merge_batch": _merge("SELECT * FROM batch"),
     "merge_upsert": _merge("SELECT order_id, customer_id, order_date, status, total_price FROM res"),
+    "merge_stream": _merge("SELECT order_id, customer_id, order_date, status, total_price FROM res"),
     "merge_changes": _merge("""
 SELECT order_id, op, old_total_price, total_price AS new_total_price FROM res WHERE op != 'unchanged'"""),
     "merge_validation": _merge("""

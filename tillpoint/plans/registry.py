@@ -643,3 +643,23 @@ def _merge_validation(spark, sf):
 def _merge_history(spark, sf):
     target, _, result = _merge(spark, sf)
     return M.history(target, result)
+
+
+@register("merge_stream")
+def _merge_stream(spark, sf):
+    """The same upsert, applied by a file stream with foreachBatch onto a versioned table."""
+    import os
+
+    from tillpoint.sources.files import VersionedTable, scratch_path, write_parquet
+    from tillpoint.streaming.incremental import run_upserts
+
+    target = V.orders(_t(spark, sf))
+    root = scratch_path(spark, "orders-versions")
+    table = VersionedTable(spark, root)
+    table.write_initial(target)
+    batches = scratch_path(spark, "orders-batches")
+    write_parquet(M.make_batch(table.read(0), "order_id", "total_price"),
+                  os.path.join(batches, "batch-0001"))
+    schema = table.read(0).schema
+    version = run_upserts(spark, os.path.join(batches, "*"), table, "order_id", schema)
+    return table.read(version)

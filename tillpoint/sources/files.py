@@ -115,12 +115,22 @@ class VersionedTable:
         write_parquet(ch, os.path.join(self.root, "_changes", "version=0"))
         return 0
 
-    def merge(self, batch: DataFrame, key: str) -> int:
+    def merge(self, batch: DataFrame, key: str, target: int | None = None) -> int:
+        """Upsert ``batch`` into the latest version below ``target`` and write ``target``
+        (default: latest + 1).
+
+        Writing a fixed target version makes a replay idempotent: running the same batch
+        for the same target again reads the same base and rewrites the same rows.
+        """
         from tillpoint.operators.merge import merged, upsert
 
-        cur = self.latest()
+        have = self.versions()
+        nxt = (have[-1] + 1) if target is None else target
+        below = [v for v in have if v < nxt]
+        if not below:
+            raise ValueError(f"no version below {nxt} to merge into")
+        cur = below[-1]
         result = upsert(self.read(cur), batch, key)
-        nxt = cur + 1
         # Write the change feed first from the same result; the new version is committed
         # by the folder appearing, so a failed job leaves the previous version current.
         feed = result.filter(F.col("_op") != "unchanged").select(
