@@ -1,14 +1,14 @@
 """Keyed upsert (MERGE) of an incremental batch into a table, with a change feed.
 
-``upsert`` is one full outer join on the key.  The batch is checked for repeated keys with a
-window count partitioned by the key; the join needs the same partitioning, so the check
-costs no extra shuffle.  A NULL key never matches and is inserted; columns of updated rows
-take the batch value even when it is NULL (presence flags, not ``coalesce``).
+``upsert`` is one full outer join on the key.  The batch is checked for repeated keys with
+one partial aggregation (a key repeated on a third of the batch is counted map-side).  A
+NULL key never matches and is inserted; columns of updated rows take the batch value even
+when it is NULL (presence flags, not ``coalesce``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OPS = ("update", "insert", "unchanged")
@@ -33,25 +33,39 @@ def make_batch(target: DataFrame, key: str, value: str, update_every: int = 75,
 
 
 def _checked(batch: DataFrame, key: str) -> DataFrame:
+    """Fail the job if a non-NULL key repeats in the batch (one partial aggregation)."""
     k = F.col(key)
-    counted = batch.withColumn("_kn", F.count(F.lit(1)).over(Window.partitionBy(key)))
-    ok = k.isNull() | (F.col("_kn") == 1)
-    return counted.filter(F.assert_true(ok, F.lit(f"duplicate {key} in merge batch")).isNull()
-                          ).drop("_kn")
+    repeated = (batch.filter(k.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                .filter(F.col("n") > 1).agg(F.count(F.lit(1)))).scalar()
+    return batch.filter(F.assert_true(repeated == 0,
+                                      F.lit(f"duplicate {key} in merge batch")).isNull())
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, check_unique: bool = True) -> DataFrame:
-    """Merged rows (target columns) plus ``_op`` in {update, insert, unchanged}."""
+    """Merged rows (target columns) plus ``_op`` in {update, insert, unchanged}.
+
+    Rows with a NULL key can never match; they bypass the join (batch ones are inserts,
+    target ones unchanged), so a batch full of NULL keys cannot pile into one join task.
+    """
     cols = target.columns
     b = _checked(batch, key) if check_unique else batch
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("_in_t"))
-    s = b.select(*[F.col(c).alias(f"b__{c}") for c in cols], F.lit(True).alias("_in_b"))
+    k = F.col(key)
+    t = target.filter(k.isNotNull()).select(*[F.col(c).alias(f"t__{c}") for c in cols],
+                                            F.lit(True).alias("_in_t"))
+    s = b.filter(k.isNotNull()).select(*[F.col(c).alias(f"b__{c}") for c in cols],
+                                       F.lit(True).alias("_in_b"))
     j = t.join(s, F.col(f"t__{key}") == F.col(f"b__{key}"), "full_outer")
     in_b, in_t = F.col("_in_b").isNotNull(), F.col("_in_t").isNotNull()
     out = [F.when(in_b, F.col(f"b__{c}")).otherwise(F.col(f"t__{c}")).alias(c) for c in cols]
     op = F.when(in_b & in_t, F.lit("update")).when(in_b, F.lit("insert")).otherwise(
         F.lit("unchanged"))
-    return j.select(*out, op.alias("_op"), *[F.col(f"t__{c}").alias(f"_old_{c}") for c in cols])
+    matched = j.select(*out, op.alias("_op"), *[F.col(f"t__{c}").alias(f"_old_{c}") for c in cols])
+    nulls_b = b.filter(k.isNull()).select(
+        *cols, F.lit("insert").alias("_op"),
+        *[F.lit(None).cast(target.schema[c].dataType).alias(f"_old_{c}") for c in cols])
+    nulls_t = target.filter(k.isNull()).select(
+        *cols, F.lit("unchanged").alias("_op"), *[F.col(c).alias(f"_old_{c}") for c in cols])
+    return matched.unionByName(nulls_b).unionByName(nulls_t)
 
 
 def merged(result: DataFrame) -> DataFrame:
