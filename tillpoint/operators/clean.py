@@ -105,7 +105,7 @@ def column_means(df: DataFrame, cols: list[str], scale: int = 2, digits: int = 4
 
 def exact_quantiles(df: DataFrame, col: str, qs: list[float], rows_per_bucket: int = 200_000,
                     max_buckets: int = 1024, sample_per_bucket: int = 32,
-                    seed: int = 13) -> list[float | None]:
+                    seed: int = 13, materialized: bool = False) -> list[float | None]:
     """Exact linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``).
 
     Spark's exact ``percentile`` keeps every distinct value of the column in one aggregation
@@ -114,8 +114,10 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], rows_per_bucket: i
     as (value, count) pairs, so a value repeated on a third of all rows is one row.  The
     driver only sees the bucket counts (at most ``max_buckets``) and the wanted values.
     """
-    vals = materialize(df.select(F.col(col).cast("double").alias("v"))
-                       .filter(F.col("v").isNotNull() & ~F.isnan("v")), "q")
+    vals = df.select(F.col(col).cast("double").alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    if not materialized:
+        vals = materialize(vals, "q")
     n = vals.count()
     if n == 0:
         return [None for _ in qs]
@@ -129,7 +131,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], rows_per_bucket: i
     bounds: list[float] = []
     if nb > 1:
         frac = min(1.0, sample_per_bucket * nb / n)
-        sample = [r[0] for r in vals.sample(False, frac, seed).orderBy("v").collect()]
+        sample = sorted(r[0] for r in vals.sample(False, frac, seed).collect())
         for i in range(1, nb):
             b = sample[(len(sample) * i) // nb] if sample else None
             if b is not None and (not bounds or b != bounds[-1]):
@@ -201,10 +203,13 @@ def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
 
 # C11
 def cap_outliers(df: DataFrame, cols: list[str], k: float = 1.5, **kw) -> DataFrame:
-    """Cap every column to [q1 - k*iqr, q3 + k*iqr] with exact quartiles."""
+    """Cap every column to [q1 - k*iqr, q3 + k*iqr] with exact quartiles.
+
+    The input is written once; the quartile passes and the capping pass read that table."""
+    df = materialize(df, "cap")
     out = df
     for c in cols:
-        q1, q3 = exact_quantiles(df, c, [0.25, 0.75], **kw)
+        q1, q3 = exact_quantiles(df, c, [0.25, 0.75], materialized=True, **kw)
         if q1 is None:
             continue
         iqr = q3 - q1

@@ -136,8 +136,10 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     bounds: list = []
     if nb > 1:
         frac = min(1.0, sample_per_bucket * nb / max(n_total, 1))
-        sample = [tuple(r[0]) for r in
-                  keyed.select("_K").sample(False, frac, seed).orderBy("_K").collect()]
+        # The sample is bounded (about sample_per_bucket rows per bucket); it is ordered on
+        # the driver, where tuple order equals Spark's order for these non-null keys.
+        sample = sorted(tuple(r[0]) for r in
+                        keyed.select("_K").sample(False, frac, seed).collect())
         if sample:
             picks = [sample[(len(sample) * i) // nb] for i in range(1, nb)]
             for p in picks:

@@ -37,7 +37,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     Parquet splits at row-group boundaries, so a large file written as one row group is read
     by one task and everything up to the first shuffle (projections, broadcast joins, partial
     aggregation) runs single-threaded.  When the scan has fewer splits than the default
-    parallelism and the data is large, a round-robin ``repartition`` spreads the rows.  On a
+    parallelism and the data is large, a hash ``repartition`` on the leading key column
+    spreads the rows.  On a
     cluster reading many files the scan already has thousands of splits and nothing is added.
     Column pruning and filters are still pushed below the repartition into the scan.
     """
@@ -48,7 +49,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     if spread:
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores and _size(spark, path) >= SPREAD_MIN_BYTES:
-            df = df.repartition(cores)
+            # Hash on the leading key column: deterministic on a retried task without the
+            # per-row sort a round-robin repartition needs for that.
+            df = df.repartition(cores, df.columns[0])
     return df
 
 
