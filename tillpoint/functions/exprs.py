@@ -36,17 +36,17 @@ def round_half_up(c: ColumnOrName, digits: int = 2) -> Column:
 
 
 def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
-    """num / den as DOUBLE; NULL when the denominator is NULL or zero."""
-    d = _c(den).cast("double")
-    return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(
-        _c(num).cast("double") / d)
+    """num / den as DOUBLE; NULL when the denominator is NULL or zero.
+
+    ``try_divide`` references the denominator once, so a scalar-subquery denominator is
+    evaluated once instead of once per test."""
+    return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
 def percent(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
     """100 * num / den, rounded; NULL for a NULL or zero base."""
-    d = _c(den).cast("double")
-    return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(
-        round_half_up(F.lit(100.0) * _c(num).cast("double") / d, digits))
+    return round_half_up(F.try_divide(F.lit(100.0) * _c(num).cast("double"),
+                                      _c(den).cast("double")), digits)
 
 
 def pct_change(current: ColumnOrName, previous: ColumnOrName, digits: int = 2) -> Column:
