@@ -100,10 +100,12 @@ def month_offset(later: ColumnOrName, earlier: ColumnOrName) -> Column:
 
 
 def fractional_days(later: ColumnOrName, earlier: ColumnOrName) -> Column:
-    """Day difference with the fraction kept (julian-day arithmetic)."""
-    a = F.unix_micros(_c(later).cast("timestamp"))
-    b = F.unix_micros(_c(earlier).cast("timestamp"))
-    return (a - b).cast("double") / F.lit(86400e6)
+    """Day difference with the fraction kept (julian-day arithmetic).
+
+    ``timestamp_diff`` on timestamp_ntz values involves no time zone, so a gap across a
+    daylight-saving change is not shifted by the session time zone."""
+    micros = F.timestamp_diff("MICROSECOND", _c(earlier), _c(later))
+    return micros.cast("double") / F.lit(86400e6)
 
 
 def day_start(c: ColumnOrName) -> Column:
