@@ -58,6 +58,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
 # Readers are plain logical plans over immutable input files; building one lists the files
 # and reads the footers (about a quarter second each), so they are kept per session.
 _READERS: dict[tuple, DataFrame] = {}
+_SIZES: dict[tuple, int] = {}
+
+
+def _bytes(text: str) -> int:
+    t = str(text).strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in mult:
+        return int(float(t[:-1]) * mult[t[-1]])
+    return int(t)
 
 
 class Tables:
@@ -74,3 +83,16 @@ class Tables:
         if key not in _READERS:
             _READERS[key] = read_table(self.spark, self.sf_dir, name)
         return _READERS[key]
+
+    def size(self, name: str) -> int:
+        """Bytes on disk of a table (cached per session)."""
+        key = (id(self.spark), self.spark.sparkContext.applicationId, self.sf_dir, name, "size")
+        if key not in _SIZES:
+            _SIZES[key] = _size(self.spark, table_path(self.sf_dir, name))
+        return _SIZES[key]
+
+    def broadcastable(self, *names: str, expansion: int = 3) -> bool:
+        """True when the tables, expanded from their compressed size, fit under Spark's
+        broadcast threshold together: a proven bound for an explicit broadcast."""
+        limit = _bytes(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+        return limit > 0 and sum(self.size(n) for n in names) * expansion <= limit

@@ -123,9 +123,16 @@ def sales(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey", "p_name", "p_type", "p_retailprice")
     net = dec("l_extendedprice", 18, 2) * (F.lit(1).cast("decimal(1,0)") - dec("l_discount", 4, 2))
     cost = dec("p_retailprice", 18, 2) * dec("l_quantity", 18, 0)
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(c, F.col("o_custkey") == F.col("c_custkey"))
-            .join(p, F.col("l_partkey") == F.col("p_partkey"))
+    if t.broadcastable("orders", "customer"):
+        # Proven small (checked file sizes): both sides are broadcast into the line scan.
+        joined = (li.join(F.broadcast(o), F.col("l_orderkey") == F.col("o_orderkey"))
+                  .join(F.broadcast(c), F.col("o_custkey") == F.col("c_custkey")))
+    else:
+        # Orders meet customers and geography first (an orders-sized join); the line items
+        # are then shuffled once by order key and once by part key, not again by customer.
+        oc = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+        joined = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+    return (joined.join(p, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("l_orderkey").alias("order_id"),
                 F.col("o_orderdate").alias("order_date"),
