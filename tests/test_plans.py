@@ -48,3 +48,22 @@ def test_no_cartesian_products(spark):
                  "cumulative_revenue", "merge_validation"):
         plan = _plan(q[name](spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_sales_view_join_order_without_broadcast_gives_same_rows(spark):
+    from tillpoint.sources import tables as TB
+    from tillpoint.sources import views as V
+
+    base = V.sales(TB.Tables(spark, SF))
+    want = sorted(tuple(str(x) for x in r) for r in base.collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        TB._SIZES.clear()
+        big = V.sales(TB.Tables(spark, SF))
+        plan = _plan(big)
+        got = sorted(tuple(str(x) for x in r) for r in big.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" not in plan
+    assert got == want
