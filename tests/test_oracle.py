@@ -44,9 +44,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sr, key=key) == sorted(orr, key=key)
 
 
-def test_every_query_but_schema_listing_has_an_oracle():
-    missing = set(E.queries()) - set(ORACLE)
-    assert missing == {"profile_schema"}
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(ORACLE)
 
 
 def test_entry_runs(spark):

@@ -15,8 +15,12 @@ from pyspark.sql import types as T
 from tillpoint.functions.exprs import parse_timestamp, round_half_up, strip_ws, title_case
 from tillpoint.operators.persist import materialize
 
-# Text tokens that stand for a missing number.
+# Text tokens that stand for a missing number; the two order-date formats of
+# the raw order file (timestamp text, and day-month-year); the separator style dates are
+# normalised to before parsing.
 NULL_TOKENS = ("null", "NULL", "")
+ORDER_DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy")
+SEPARATED_DATE_FORMAT = "M-d-yyyy"
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -221,7 +225,7 @@ def cap_outliers(df: DataFrame, cols: list[str], k: float = 1.5, **kw) -> DataFr
 
 # C12 / C13
 def clean_orders(df: DataFrame, id_col: str = "customer_id", date_col: str = "order_date",
-                 formats=("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy")) -> DataFrame:
+                 formats=ORDER_DATE_FORMATS) -> DataFrame:
     """Empty id -> NULL plus a flag; date in either format, unparseable -> NULL plus a flag."""
     cid = F.nullif(F.col(id_col), F.lit(""))
     parsed = parse_timestamp(date_col, formats)
@@ -232,7 +236,8 @@ def clean_orders(df: DataFrame, id_col: str = "customer_id", date_col: str = "or
 
 
 # C14
-def normalise_date_separators(df: DataFrame, col: str, fmt: str = "M-d-yyyy") -> DataFrame:
+def normalise_date_separators(df: DataFrame, col: str,
+                              fmt: str = SEPARATED_DATE_FORMAT) -> DataFrame:
     """``M/D/YYYY`` and ``M-D-YYYY`` to one separator, then parse."""
     return df.withColumn(col, parse_timestamp(F.regexp_replace(F.col(col), "/", "-"), [fmt]))
 

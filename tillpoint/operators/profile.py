@@ -26,9 +26,17 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def schema_table(df: DataFrame) -> DataFrame:
-    """Column names and types as a small DataFrame (metadata, no data is read)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    """Column position, name and type, with the number of non-null values of each column.
+
+    The counts come from one aggregation over the data; the names and types are the
+    DataFrame's schema, attached as literals in the same projection.
+    """
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.col(f"c{i}").alias("non_null_count")) for i, f in enumerate(fields)]
+    return counts.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

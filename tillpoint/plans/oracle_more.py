@@ -230,7 +230,16 @@ _backpack = _mean_fill_sql("parsed", "product_name, category, sales AS price, qu
 _impute_mean = _mean_fill_sql("parsed", ", ".join(_impute_cols), ["customer_name"],
                               ["sales", "quantity"], [], _impute_cols)
 
+_TYPE_NAMES = ("CASE {t} WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+               "WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
+               "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean' ELSE {t} END")
+_schema_rows = "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, "
+    f"{_TYPE_NAMES.format(t=f'ANY_VALUE(typeof({c}))')} AS data_type, COUNT({c}) AS non_null_count "
+    f"FROM sales" for i, c in enumerate(SALES_COLS))
+
 PROFILE_CLEAN_SQL = {
+    "profile_schema": _sales(_schema_rows),
     "profile_head": _sales(f"SELECT * FROM sales ORDER BY {', '.join(_head_order)} LIMIT 5"),
     "profile_tail": _sales(f"""
 SELECT * FROM sales ORDER BY {', '.join(c + ' DESC' for c in _head_order)} LIMIT 5"""),
