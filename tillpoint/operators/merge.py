@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillpoint.operators.persist import materialize
+
 OPS = ("update", "insert", "unchanged")
 
 
@@ -82,7 +84,11 @@ def changes(result: DataFrame, key: str, value: str) -> DataFrame:
 def validation(target: DataFrame, result: DataFrame, batch: DataFrame, key: str,
                value: str) -> DataFrame:
     """One row: counts before / after, inserted / updated / unchanged, repeated keys after the
-    merge, and whether every updated row carries the batch value."""
+    merge, and whether every updated row carries the batch value.
+
+    The merge result is read by several checks, so it is written once and re-read instead
+    of running the full outer join once per check."""
+    result = materialize(result, "merge-result")
     before = target.agg(F.count(F.lit(1))).scalar()
     dup_after = (result.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
                  .filter(F.col("n") > 1).agg(F.count(F.lit(1)))).scalar()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillpoint.operators.persist import materialize
 from tillpoint.session import checkpoint_dir
 
 # CSV options that keep text exactly as written: no trimming, quoted line breaks allowed.
@@ -130,7 +131,9 @@ class VersionedTable:
         if not below:
             raise ValueError(f"no version below {nxt} to merge into")
         cur = below[-1]
-        result = upsert(self.read(cur), batch, key)
+        # Written once: the change feed and the new version both read it, so the full outer
+        # join runs once.
+        result = materialize(upsert(self.read(cur), batch, key), "merge-result")
         # Write the change feed first from the same result; the new version is committed
         # by the folder appearing, so a failed job leaves the previous version current.
         feed = result.filter(F.col("_op") != "unchanged").select(
