@@ -45,3 +45,61 @@ def test_dense_rank_in_category_with_ties(spark):
                                   "product_id long, product_name string, category string")
     got = {r["product_name"]: r["rank_in_category"] for r in R.rank_in_category(items, prods).collect()}
     assert got == {"n1": 1, "n2": 1, "n4": 2, "n5": 2, "n3": 3, "n6": 1}
+
+
+def _retail(spark):
+    from datetime import datetime
+    from decimal import Decimal
+
+    orders = spark.createDataFrame(
+        [(1, 10, datetime(2020, 1, 5), "DELIVERED"), (2, 10, datetime(2020, 1, 20), "PLACED"),
+         (3, 11, datetime(2020, 2, 3), "PLACED"), (4, None, datetime(2020, 2, 4), "PLACED"),
+         (5, 12, datetime(2020, 2, 10), "SHIPPED")],
+        "order_id long, customer_id long, order_date timestamp_ntz, status string")
+    items = spark.createDataFrame(
+        [(1, 100, 2, Decimal("20.00")), (2, 101, 1, Decimal("5.50")), (3, 100, -1, Decimal("-10.00")),
+         (4, 102, 3, Decimal("9.00"))],
+        "order_id long, product_id long, quantity int, revenue decimal(18,2)")
+    products = spark.createDataFrame([(100, "Alpha", "A"), (101, "Beta", "B"), (102, "Gamma", "A")],
+                                     "product_id long, product_name string, category string")
+    return items, orders, products
+
+
+def test_period_without_orders_reports_zeros_and_no_change(spark):
+    items, orders, products = _retail(spark)
+    rows = {r["period"]: r for r in
+            R.period_report(items, orders, products, "2021-01-01", "2021-02-01").collect()}
+    cur = rows["current"]
+    assert (cur["total_orders"], cur["revenue"], cur["unique_customers"]) == (0, 0.0, 0)
+    assert cur["orders_change_pct"] is None and cur["top_1"] is None
+
+
+def test_period_report_counts_orders_without_items_and_skips_null_customers(spark):
+    items, orders, products = _retail(spark)
+    rows = {r["period"]: r for r in
+            R.period_report(items, orders, products, "2020-02-01", "2020-03-01").collect()}
+    cur, prev = rows["current"], rows["previous"]
+    assert (cur["total_orders"], cur["unique_customers"], cur["revenue"]) == (3, 2, -1.0)
+    assert (prev["total_orders"], prev["unique_customers"], prev["revenue"]) == (2, 1, 25.5)
+    assert cur["orders_change_pct"] == 50.0
+    assert (cur["top_1"], cur["top_1_revenue"], cur["top_2"]) == ("Gamma", 9.0, "Alpha")
+
+
+def test_one_order_customer_has_no_gap_rows(spark):
+    _, orders, _ = _retail(spark)
+    got = R.order_gaps(orders, risk_days=10).collect()
+    assert {r["customer_id"] for r in got} == {10}
+    first, second = sorted(got, key=lambda r: r["order_date"])
+    assert first["previous_order_date"] is None and second["days_gap"] == 15.0
+    assert second["risk_flag"] == "At Risk"
+
+
+def test_empty_inputs(spark):
+    from tillpoint.operators.clean import exact_quantiles
+    from tillpoint.operators.topk import top_k_with_ties
+    from tillpoint.operators.windows import ordered_window
+
+    empty = spark.createDataFrame([], "id long, v double")
+    assert ordered_window(empty, [("v", False), ("id", True)], ntile=("t", 4)).count() == 0
+    assert exact_quantiles(empty, "v", [0.5]) == [None]
+    assert top_k_with_ties(empty, "v", 3).count() == 0
