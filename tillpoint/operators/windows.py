@@ -108,7 +108,8 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     ntile:       (output name, n) -> NTILE(n); only without ``partition_by``
     running_sum: (value column, output name) -> SUM over ROWS UNBOUNDED PRECEDING..CURRENT
     lag:         (value column, output name) -> LAG(value, 1)
-    materialized: the input is already a written table (skip writing it again)
+    materialized: the input is already a written table, or a deterministic projection of
+                  immutable files that is cheap to re-read (skip writing it)
     """
     partition_by = list(partition_by)
     if ntile is not None and partition_by:
