@@ -86,3 +86,18 @@ def test_results_do_not_depend_on_partitioning(spark, name):
         results.append(sorted(tuple(str(x) for x in r) for r in q(spark, sf).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_identical_keys_on_a_third_of_rows_are_split_and_correct(spark):
+    from collections import Counter
+
+    rows = [(i, 0, 7) for i in range(700)] + [(1000 + i, i % 5, i % 11) for i in range(1400)]
+    df = spark.createDataFrame(rows, "id long, k long, v long")
+    got = ordered_window(df.select("k", "v"), [("v", True)], ["k"], row_number="rn",
+                         lag=("v", "prev"), split_ties=True, rows_per_bucket=1,
+                         max_buckets=30, min_buckets=30, sample_per_bucket=20)
+    w = Window.partitionBy("k").orderBy("v")
+    want = df.select("k", "v", F.row_number().over(w).alias("rn"), F.lag("v").over(w).alias("prev"))
+    g = Counter((r["k"], r["v"], r["rn"], r["prev"]) for r in got.collect())
+    e = Counter((r["k"], r["v"], r["rn"], r["prev"]) for r in want.collect())
+    assert g == e

@@ -100,7 +100,8 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
                    lag: tuple[str, str] | None = None,
                    rows_per_bucket: int = 500_000, max_buckets: int = 1024,
                    min_buckets: int | None = None, sample_per_bucket: int = 32,
-                   seed: int = 11, materialized: bool = False) -> DataFrame:
+                   seed: int = 11, materialized: bool = False,
+                   split_ties: bool = False) -> DataFrame:
     """Add window columns over ``order_by`` (list of (column, ascending)).
 
     row_number:  output name for ROW_NUMBER
@@ -110,12 +111,18 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     lag:         (value column, output name) -> LAG(value, 1)
     materialized: the input is already a written table, or a deterministic projection of
                   immutable files that is cheap to re-read (skip writing it)
+    split_ties:   append the row's position in the written input as a last sort key, so
+                  rows with identical keys (one key and value on a third of the rows) can
+                  still be cut into several buckets; positions are stable on every re-read
     """
     partition_by = list(partition_by)
     if ntile is not None and partition_by:
         raise ValueError("ntile is only supported over the whole relation")
     spark = df.sparkSession
     base = df if materialized else materialize(df, "ow")
+    if split_ties:
+        order_by = list(order_by) + [("_tie", True)]
+        base = base.withColumn("_tie", F.monotonically_increasing_id())
     schema = base.schema
     okeys = []
     for i, (name, asc) in enumerate(order_by):
@@ -212,7 +219,7 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
         out = out.withColumn(rank[0], (F.col("_rk") + prior_n - F.when(same2, F.col("c_eq"))
                                        .otherwise(F.lit(0))).cast("bigint"))
         drop += ["_rk", "_fk2", "c_eq"]
-    return out.drop(*drop)
+    return out.drop(*drop, *(["_tie"] if split_ties else []))
 
 
 def global_rank(df: DataFrame, value: str, tie: str, out: str = "rank",

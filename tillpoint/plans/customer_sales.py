@@ -63,6 +63,7 @@ def customer_sales_rank(lines: DataFrame, **kw) -> DataFrame:
 # R24
 def order_row_number(lines: DataFrame, **kw) -> DataFrame:
     """ROW_NUMBER per customer by order id, range-bucketed so a hot customer is split."""
+    kw.setdefault("split_ties", True)   # lines of one huge order share (customer, order)
     numbered = ordered_window(lines.select("order_id", "customer_id"), [("order_id", True)],
                               ["customer_id"], row_number="row_num", **kw)
     return numbered.select("order_id", "customer_id", "row_num")
