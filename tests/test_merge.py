@@ -67,3 +67,15 @@ def test_stream_applies_each_batch_file_as_a_version(spark, scratch):
     assert len(t.versions()) == 3 and t.versions()[0] == 0  # one version per batch file
     final = {r["id"]: r["amount"] for r in t.read().collect()}
     assert final == {1: 1.0, 2: 20.0, 3: 30.0, 4: 4.0}
+
+
+def test_replayed_merge_into_the_same_version_is_idempotent(spark, scratch):
+    t = VersionedTable(spark, os.path.join(scratch, "t"))
+    t.write_initial(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA))
+    batch = spark.createDataFrame([(2, "b", 7.0), (3, "c", 3.0)], SCHEMA)
+    t.merge(batch, "id", target=1)
+    first = sorted(tuple(r) for r in t.read(1).collect())
+    t.merge(batch, "id", target=1)          # a micro-batch replayed after a failure
+    assert t.versions() == [0, 1]
+    assert sorted(tuple(r) for r in t.read(1).collect()) == first
+    assert first == [(1, "a", 1.0), (2, "b", 7.0), (3, "c", 3.0)]
