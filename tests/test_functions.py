@@ -105,3 +105,14 @@ def test_dedup_by_key_keeps_first_by_order_with_hot_key(spark):
     df = spark.createDataFrame(rows, "k long, o long, v double")
     out = {r["k"]: (r["o"], r["v"]) for r in C.dedup_by_key(df, ["k"], ["o"]).collect()}
     assert out == {1: (0, 0.0), 2: (3, 9.0)}
+
+
+def test_csv_with_inferred_types_and_parquet_round_trip(spark, scratch):
+    df = spark.createDataFrame([(1, "a b", 2.5), (2, "  c", None)], "id long, name string, price double")
+    path = FS.write_csv(df, scratch + "/c")
+    back = FS.read_csv(spark, path, infer=True)
+    assert dict(back.dtypes) == {"id": "int", "name": "string", "price": "double"}
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "a b", 2.5), (2, "  c", None)]
+    p = FS.write_parquet(df, scratch + "/p")
+    assert sorted(tuple(r) for r in FS.read_parquet(spark, p).collect()) == \
+        sorted(tuple(r) for r in df.collect())
