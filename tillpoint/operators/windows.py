@@ -119,7 +119,9 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     if ntile is not None and partition_by:
         raise ValueError("ntile is only supported over the whole relation")
     spark = df.sparkSession
-    base = df if materialized else materialize(df, "ow")
+    # Row positions are only stable on a table this function wrote itself, so tie splitting
+    # always writes its input.
+    base = df if (materialized and not split_ties) else materialize(df, "ow")
     if split_ties:
         order_by = list(order_by) + [("_tie", True)]
         base = base.withColumn("_tie", F.monotonically_increasing_id())
