@@ -1,10 +1,11 @@
 """Top-k with ties (``RANK() OVER (ORDER BY v) <= k``) without a single-partition window.
 
 The k best values are found with ``orderBy().limit(k)`` (a per-task top-k, then a merge of
-at most k rows per task).  The k-th of them is the threshold; every row at or beyond it is
-kept by a plain filter (a scalar subquery), and its rank comes from the at most k candidate
-values joined back as a broadcast table whose size is bounded by k.  A tie that covers a
-third of the table is kept whole, but never sorted in one task.
+at most k rows per task).  Fewer than k rows are strictly better than the k-th value, so the
+rows to keep are exactly those whose value is one of these candidate values; they are found,
+with their rank, by joining the at most k candidate values back as a broadcast table whose
+size is bounded by k.  A tie that covers a third of the table is kept whole, but never
+sorted in one task.
 """
 
 from __future__ import annotations
@@ -23,6 +24,6 @@ def top_k_with_ties(df: DataFrame, value: str, k: int, rank_col: str = "rank",
     ahead = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ranks = counts.select(value, (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) + 1)
                           .cast("bigint").alias(rank_col))
-    threshold = (cand.agg(F.min(value)) if descending else cand.agg(F.max(value))).scalar()
-    keep = df.filter(v >= threshold) if descending else df.filter(v <= threshold)
-    return keep.join(F.broadcast(ranks), value, "inner")
+    # Fewer than k rows are strictly better than the k-th value, so the rows at or beyond
+    # it are exactly the rows whose value is a candidate value: one broadcast join.
+    return df.join(F.broadcast(ranks), value, "inner")
