@@ -16,13 +16,12 @@ def spark():
     from tillpoint.session import BASE_CONF
 
     b = (SparkSession.builder.master("local[4]").appName("tillpoint-tests")
-         .config("spark.sql.shuffle.partitions", "8"))
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillpoint-test-ckpt-")))
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillpoint-test-ckpt-"))
     yield s
     s.stop()
 

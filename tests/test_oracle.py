@@ -15,10 +15,12 @@ import __spark_entry__ as E
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "tools"))
 from compare import key, rows_of  # noqa: E402
 
+from tillpoint.plans.oracle import ORACLE_SQL  # noqa: E402
+from tillpoint.plans.registry import QUERIES  # noqa: E402
 from tillpoint.sources.tables import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-ORACLE = E.oracle_sql()
+ORACLE = ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -30,9 +32,9 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF).toPandas()
+    sdf = QUERIES[name](spark, SF).toPandas()
     if name not in ORACLE:
         assert len(sdf.columns) > 0
         return
@@ -45,7 +47,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_runs(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,17 +46,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder for intermediate tables and checkpoints.
 
-    On a cluster the launcher sets it to a shared file system; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    On a cluster it is what the launcher names in ``spark.checkpoint.dir`` (or has set with
+    ``SparkContext.setCheckpointDir``); without either this raises, because a folder of the
+    driver's own disk is invisible to the executors.  Only a local master, whose executors
+    run inside the driver, gets a scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        current = current.get() if current.isDefined() else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="tillpoint-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    known = context._jsc.sc().getCheckpointDir()
+    if not named and known.isDefined():
+        return known.get()
+    if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="tillpoint-ckpt-")
+    if not known.isDefined():
+        context.setCheckpointDir(named)
+    return named if spark.conf.get("spark.checkpoint.dir", None) else (
+        context._jsc.sc().getCheckpointDir().get())
