@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillpoint.llm.common import table
 from tillpoint.llm.exact_dedup import exact_groups
+from tillpoint.llm.mixing import mix
+from tillpoint.llm.packing import pack
 from tillpoint.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +31,13 @@ def _simhash(spark, sf):
 @register("op8_exact_dedup")
 def _exact_dedup(spark, sf):
     return exact_groups(table(spark, sf, "documents"))
+
+
+@register("op5_best_fit_packing")
+def _packing(spark, sf):
+    return pack(table(spark, sf, "documents"))
+
+
+@register("op10_mixing")
+def _mixing(spark, sf):
+    return mix(table(spark, sf, "documents")).drop("source_key")
