@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -73,17 +75,16 @@ class Words:
         return [b"".join(map(get, words)) for words in cut]
 
 
-_WORDS: dict[str, Words] = {}
-
-
 def _words(path: str | None) -> Words:
+    """The tokenizer and its known words, kept in the worker process from task to task."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(TOKENIZER)
-    if path not in _WORDS:
-        _WORDS[path] = Words(path)
-    return _WORDS[path]
+    kept = vars(sys.modules.setdefault("tillpoint_kept", types.ModuleType("tillpoint_kept")))
+    if path not in kept:
+        kept[path] = Words(path)
+    return kept[path]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str | None, capacity: int, end_id: int,

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillpoint.llm.common import table
 from tillpoint.llm.exact_dedup import exact_groups
 from tillpoint.llm.mixing import mix
 from tillpoint.llm.packing import pack
+from tillpoint.llm.quality import score_documents
 from tillpoint.llm.simhash import near_duplicates
+from tillpoint.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,3 +44,14 @@ def _packing(spark, sf):
 @register("op10_mixing")
 def _mixing(spark, sf):
     return mix(table(spark, sf, "documents")).drop("source_key")
+
+
+@register("op2_quality_classifier")
+def _quality(spark, sf):
+    return score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op6_exact_topk")
+def _topk(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0)
