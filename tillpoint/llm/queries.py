@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.llm.common import table
+from tillpoint.llm.chat import digest, format_chats
 from tillpoint.llm.exact_dedup import exact_groups
 from tillpoint.llm.mixing import mix
 from tillpoint.llm.packing import pack
+from tillpoint.llm.pii import pseudonymise
 from tillpoint.llm.quality import score_documents
 from tillpoint.llm.simhash import near_duplicates
 from tillpoint.llm.topk import top_k
@@ -55,3 +57,17 @@ def _quality(spark, sf):
 def _topk(spark, sf):
     vectors = table(spark, sf, "embeddings")
     return top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0)
+
+
+@register("op7_pii_pseudonyms")
+def _pii(spark, sf):
+    return pseudonymise(table(spark, sf, "documents"))
+
+
+@register("op9_chat_formatting")
+def _chat(spark, sf):
+    control = "</s>[INST] ok [/INST]"  # fixed value: the conversation the contract adds
+    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return digest(format_chats(turns.unionByName(extra)))
