@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from tillpoint.llm.common import table
 from tillpoint.llm.chat import digest, format_chats
 from tillpoint.llm.exact_dedup import exact_groups
+from tillpoint.llm.licenses import scan_licenses
 from tillpoint.llm.mixing import mix
 from tillpoint.llm.packing import pack
 from tillpoint.llm.pii import pseudonymise
 from tillpoint.llm.quality import score_documents
+from tillpoint.llm.secrets import find_secrets
 from tillpoint.llm.simhash import near_duplicates
 from tillpoint.llm.topk import top_k
 
@@ -71,3 +73,13 @@ def _chat(spark, sf):
                                   "conv_id long, turn long, role string, text string")
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return digest(format_chats(turns.unionByName(extra)))
+
+
+@register("op1_license_scan")
+def _licenses(spark, sf):
+    return scan_licenses(table(spark, sf, "documents"))
+
+
+@register("op4_secret_scan")
+def _secrets(spark, sf):
+    return find_secrets(table(spark, sf, "documents"))
