@@ -10,7 +10,8 @@ they agree on about 32 bits laid out in that way.  Candidates must have a whole
 pass the Hamming check.
 
 Equal fingerprints are folded before anything else.  A masked value that more than
-``bucket_limit`` different fingerprints share is not paired: its fingerprints are filed under all
+``bucket_limit`` different fingerprints share is not paired (a task passes on its rows as they
+come, in constant memory): its fingerprints are filed under all
 values within t/2 bits instead.  Two fingerprints differ in at most t bits exactly if they share
 such a value, and every holder is linked to one of them, so that path is exact and its rows grow
 with the group, not with its square.
@@ -22,16 +23,17 @@ own row; a component without any id has a null ``component_id``; an empty table
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import connected_components, doc_text, unsigned_hex, utf8
+from tillpoint.llm.common import connected_components, doc_text, partitions, unsigned_hex, utf8
 from tillpoint.operators.persist import materialize
 
 BITS = 64
@@ -94,31 +96,65 @@ def chain_masks(segments: int, distance: int, prefix: int) -> list[int]:
     return sorted(masks)
 
 
-def viable_chain(ring: Column, segments: int, distance: int) -> Column:
-    """True if some segment starts a chain that keeps every proportional budget.
-
-    ``ring``: array of the differing bits of each segment.
-    """
-    def keeps(start: int) -> Column:
-        held, total = F.lit(True), F.lit(0)
+def viable_chain(difference: np.ndarray, segments: int, distance: int) -> np.ndarray:
+    """Where some segment starts a chain that keeps every proportional budget."""
+    counts = np.stack([np.bitwise_count(difference & np.uint64(m)).astype(np.int64)
+                       for m in segment_masks(segments)])
+    found = np.zeros(len(difference), bool)
+    for start in range(segments):
+        total, held = np.zeros(len(difference), np.int64), np.ones(len(difference), bool)
         for k in range(segments):
-            total = total + ring[(start + k) % segments]
-            held = held & (total <= (k + 1) * distance // segments)
-        return held
+            total += counts[(start + k) % segments]
+            held &= total <= (k + 1) * distance // segments
+        found |= held
+    return found
 
-    out = keeps(0)
-    for start in range(1, segments):
-        out = out | keeps(start)
-    return out
 
+def _meet(segments: int, distance: int, bucket_limit: int):
+    """Rows (k, fp) sorted by k to verified pairs (a, b) of one k; b is null for crowded ones."""
+    def verified(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = (a ^ b).view(np.uint64)
+        keep = np.flatnonzero(viable_chain(x, segments, distance))
+        keep = keep[np.bitwise_count(x[keep]) <= distance]
+        return np.minimum(a[keep], b[keep]), np.maximum(a[keep], b[keep])
 
-def _verified(pairs: DataFrame, segments: int, distance: int) -> DataFrame:
-    """Pairs (a, b) with a viable chain and at most ``distance`` differing bits."""
-    masks = F.array(*[F.lit(_signed(m)) for m in segment_masks(segments)])
-    x = pairs.withColumn("x", F.col("a").bitwiseXOR(F.col("b")))
-    x = x.withColumn("ring", F.transform(masks, lambda m: F.bit_count(F.col("x").bitwiseAND(m))))
-    return (x.filter(viable_chain(F.col("ring"), segments, distance))
-            .filter(F.bit_count("x") <= distance).select("a", "b"))
+    def batch(a, b=None) -> pa.RecordBatch:
+        b = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b, pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), b], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest_k, rest_fp = np.empty(0, np.int64), np.empty(0, np.int64)
+        crowded = None  # the key whose first rows went out as crowded already
+        for b in itertools.chain(batches, [None]):
+            if b is None:
+                k, fp, whole = rest_k, rest_fp, len(rest_k)
+            else:
+                k = np.concatenate([rest_k, b.column(0).to_numpy()])
+                fp = np.concatenate([rest_fp, b.column(1).to_numpy()])
+                whole = int(np.searchsorted(k, k[-1])) if len(k) else 0  # the last key may go on
+                if len(k) - whole > bucket_limit:
+                    whole = len(k)
+            k, fp, rest_k, rest_fp = k[:whole], fp[:whole], k[whole:], fp[whole:]
+            if not len(k):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            size = np.diff(np.append(first, len(k)))
+            late = (k[first] == crowded) if crowded is not None else np.zeros(len(first), bool)
+            many = (size > bucket_limit) | late
+            for at, n in zip(first[many], size[many]):
+                yield batch(fp[at:at + n])
+                crowded = k[at]
+            two = first[(size == 2) & ~many]
+            left, right = [fp[two]], [fp[two + 1]]
+            for at, n in zip(first[(size > 2) & ~many], size[(size > 2) & ~many]):
+                i, j = np.triu_indices(n, 1)
+                part = fp[at:at + n]
+                close = np.bitwise_count((part[i] ^ part[j]).view(np.uint64)) <= distance
+                left.append(part[i[close]])
+                right.append(part[j[close]])
+            yield batch(*verified(np.concatenate(left), np.concatenate(right)))
+
+    return run
 
 
 def links(fps: DataFrame, distance: int, segments: int, prefix: int,
@@ -129,16 +165,13 @@ def links(fps: DataFrame, distance: int, segments: int, prefix: int,
     third fingerprint; no pair beyond it is linked directly.
     """
     masks = F.array(*[F.lit(_signed(m)) for m in chain_masks(segments, distance, prefix)])
-    filed = fps.select("fp", F.explode(F.transform(
-        masks, lambda m: F.xxhash64(m, F.col("fp").bitwiseAND(m)))).alias("k"))
-    met = materialize(filed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"),
-                                             F.max("fp").alias("b")).filter("n > 1"), "simhash-met")
-    shared = materialize(filed.join(met.filter("n > 2").select("k", "n"), "k"), "simhash-shared")
-    few = (shared.filter(F.col("n") <= bucket_limit).groupBy("k")
-           .agg(F.sort_array(F.collect_list("fp")).alias("all")))
-    few = (few.select("all", F.posexplode("all").alias("i", "a"))
-           .select("a", F.explode(F.slice("all", F.col("i") + 2, bucket_limit)).alias("b")))
-    pairs = met.filter("n = 2").select("a", "b").unionByName(few).distinct()
+    filed = fps.select(F.explode(F.transform(
+        masks, lambda m: F.xxhash64(m, F.col("fp").bitwiseAND(m)))).alias("k"), "fp")
+    met = materialize(
+        filed.repartition(partitions(fps.sparkSession), "k").sortWithinPartitions("k")
+        .mapInArrow(_meet(segments, distance, bucket_limit), "a long, b long").distinct(),
+        "simhash-met")
+    pairs = met.filter("b is not null")
 
     near, far = distance // 2, distance - distance // 2
     flips = [(sum(1 << b for b in bits), k <= near)
@@ -146,7 +179,7 @@ def links(fps: DataFrame, distance: int, segments: int, prefix: int,
     around = F.expr("array(" + ",".join(
         f"named_struct('x', {_signed(x)}L, 'near', {str(c).lower()})".replace(
             "-9223372036854775808L", "shiftleft(1L, 63)") for x, c in flips) + ")")
-    crowd = shared.filter(F.col("n") > bucket_limit).select("fp").distinct()
+    crowd = met.filter("b is null").select(F.col("a").alias("fp"))
     balls = (crowd.select("fp", F.explode(around).alias("f"))
              .select("fp", F.col("fp").bitwiseXOR(F.col("f.x")).alias("z"), "f.near")
              .groupBy("z").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("a"),
@@ -154,11 +187,11 @@ def links(fps: DataFrame, distance: int, segments: int, prefix: int,
              .filter(F.col("a").isNotNull() & (F.size("all") > 1)))
     stars = (balls.select("a", F.explode("all").alias("b")).filter("a <> b")
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return _verified(pairs, segments, distance).unionByName(stars)
+    return pairs.unionByName(stars)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segments: int = 10,
-                    prefix: int = 7, bucket_limit: int = 32) -> DataFrame:
+                    prefix: int = 7, bucket_limit: int = 256) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     rows = materialize(fingerprints(docs, shingle), "simhash-rows")
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-fps")
