@@ -1,4 +1,4 @@
-"""From raw documents to packed training sequences, five operators in a row."""
+"""From raw documents to packed training sequences: five operators in a row."""
 
 from __future__ import annotations
 
@@ -6,21 +6,43 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillpoint.llm.common import table
 from tillpoint.llm.exact_dedup import drop_copies
+from tillpoint.llm.mixing import training_order
+from tillpoint.llm.packing import pack
+from tillpoint.llm.quality import drop_poor
 from tillpoint.llm.simhash import drop_near_duplicates
 from tillpoint.operators.persist import materialize
 
 
-def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier rejects go."""
+    return drop_poor(docs, table(spark, sf_dir, "labels"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the row with the smallest id stays."""
     return drop_copies(docs)
 
 
-def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document with the smallest id stays."""
     return drop_near_duplicates(docs)
 
 
-STAGES = [("exact dedup", _exact), ("simhash near-dedup", _near)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in training order; untaken ones go."""
+    return training_order(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return pack(docs)
+
+
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("simhash near-dedup", near),
+          ("mixing", mixing), ("best-fit packing", packing)]
 
-# Quality models, connected components and tokens are beyond SQL: tests compare with brute force.
+# Trained models, connected components and tokens are beyond SQL; the tests check every stage
+# against a brute-force version.
 ORACLE_SQL = None
 
 
