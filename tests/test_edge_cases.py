@@ -1,4 +1,4 @@
-"""The four edge cases of the original pipeline tests, on literal frames."""
+"""Data-quality rules on literal frames."""
 
 from datetime import datetime, timedelta
 
@@ -8,49 +8,43 @@ from tillpoint.functions.exprs import line_revenue
 from tillpoint.operators import quality as Q
 
 
-def test_order_item_with_missing_order(spark):
-    orders = spark.createDataFrame([(1, 10), (2, 11), (3, 12)], "order_id long, customer_id long")
-    items = spark.createDataFrame(
-        [(100, 1, 5, 2, 10.0, 0.0), (101, 999, 6, 1, 20.0, 0.0)],
-        "item_id long, order_id long, product_id long, quantity int, unit_price double, "
-        "discount_percent double")
-    bad = Q.orphans(items, orders, "order_id").collect()
-    assert len(bad) == 1
-    assert bad[0]["order_id"] == 999
-
-
-def test_discount_over_100_is_flagged_and_gives_negative_revenue(spark):
-    items = spark.createDataFrame(
-        [(1, 1, 1, 1, 100.0, 150.0), (2, 1, 2, 1, 50.0, 20.0)],
-        "item_id long, order_id long, product_id long, quantity int, unit_price double, "
-        "discount_percent double")
-    bad = Q.discount_over_100(items).collect()
-    assert [r["item_id"] for r in bad] == [1]
-    rev = {r["item_id"]: r["rev"] for r in
-           items.select("item_id", line_revenue().alias("rev")).collect()}
-    assert rev[1] < 0
-    assert float(rev[2]) == 40.0
-
-
-def test_zero_quantity_contributes_nothing(spark):
-    items = spark.createDataFrame(
-        [(1, 1, 1, 0, 10.0, 0.0), (2, 1, 2, 5, 10.0, 0.0), (3, 1, 3, -2, 10.0, 0.0)],
-        "item_id long, order_id long, product_id long, quantity int, unit_price double, "
-        "discount_percent double")
-    rev = {r["item_id"]: r["rev"] for r in
-           items.select("item_id", line_revenue().alias("rev")).collect()}
-    assert rev[1] == 0
-    assert len(Q.zero_quantity(items).collect()) == 1
-    assert len(Q.returns(items).collect()) == 1
-
-
-def test_future_order_date_with_fixed_as_of(spark):
-    as_of = datetime(2024, 6, 1)
-    orders = spark.createDataFrame(
-        [(1, 1, as_of - timedelta(days=1)), (2, 2, as_of + timedelta(days=30))],
-        "order_id long, customer_id long, order_date timestamp_ntz")
-    fut = Q.future_orders(orders, "2024-06-01").collect()
-    assert [r["order_id"] for r in fut] == [2]
+ITEMS = ("item_id long, order_id long, product_id long, quantity int, unit_price double, "
+         "discount_percent double")
+
+
+def _items(spark, *rows):
+    """(item, order, quantity, price, discount) rows as order items."""
+    return spark.createDataFrame([(i, o, 40 + i, q, p, d) for i, o, q, p, d in rows], ITEMS)
+
+
+def test_orphans_are_items_of_unknown_orders(spark):
+    orders = spark.createDataFrame([(71, 3), (72, 4)], "order_id long, customer_id long")
+    items = _items(spark, (1, 71, 3, 2.5, 0.0), (2, 808, 1, 4.0, 0.0), (3, 909, 2, 1.0, 5.0))
+    assert sorted(r["order_id"] for r in Q.orphans(items, orders, "order_id").collect()) == [808, 909]
+
+
+def test_discount_above_the_whole_price(spark):
+    items = _items(spark, (7, 1, 2, 30.0, 100.5), (8, 1, 4, 25.0, 100.0), (9, 1, 3, 8.0, 25.0))
+    assert [r["item_id"] for r in Q.discount_over_100(items).collect()] == [7]
+    revenue = {r["item_id"]: float(r["r"]) for r in
+               items.select("item_id", line_revenue().alias("r")).collect()}
+    assert revenue == {7: -0.3, 8: 0.0, 9: 18.0}
+
+
+def test_quantities_of_zero_and_returns(spark):
+    items = _items(spark, (1, 5, 0, 19.9, 10.0), (2, 5, 6, 19.9, 0.0), (3, 5, -6, 19.9, 0.0))
+    assert [r["item_id"] for r in Q.zero_quantity(items).collect()] == [1]
+    assert [r["item_id"] for r in Q.returns(items).collect()] == [3]
+    assert float(items.agg(F.sum(line_revenue())).first()[0]) == 0.0
+
+
+def test_orders_after_the_day_of_the_check(spark):
+    noon = datetime(2031, 5, 4, 12)
+    orders = spark.createDataFrame([(k, k, noon + timedelta(hours=h)) for k, h in
+                                    ((21, -13), (22, -12), (23, -11), (24, 400))],
+                                   "order_id long, customer_id long, order_date timestamp_ntz")
+    late = Q.future_orders(orders, "2031-05-04")
+    assert sorted(r["order_id"] for r in late.collect()) == [23, 24]
 
 
 def test_email_rule_null_and_trailing_at_fail(spark):

@@ -88,12 +88,43 @@ def test_exact_quantiles_match_linear_interpolation(spark):
 
     vals = [float(v) for v in [5, 1, 9, 3, 3, 3, 3, 7, 2, 8, 8, 100]]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = C.exact_quantiles(df, "v", [0.25, 0.5, 0.75, 0.9], rows_per_bucket=3,
-                            sample_per_bucket=50)
+    got = C.exact_quantiles(df, {"v": [0.25, 0.5, 0.75, 0.9]}, bins=4, leaf=2)["v"]
     want = np.percentile(vals, [25, 50, 75, 90])
     assert [round(g, 9) for g in got] == [round(w, 9) for w in want]
 
 
+def test_exact_quantiles_of_awkward_columns(spark):
+    """Far outliers, one value on most rows, NULLs and NaN, several columns together."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(2)
+    a = [rnd.choice([-1e300, 1e300, 0.0]) if i < 5 else rnd.gauss(0, 1) for i in range(3000)]
+    b = [7.0 if rnd.random() < 0.7 else float(rnd.randint(0, 9)) for _ in range(3000)]
+    c = [None if i % 3 == 0 else float("nan") if i % 3 == 1 else float(i) for i in range(3000)]
+    df = spark.createDataFrame(list(zip(a, b, c)), "a double, b double, c double").repartition(5)
+    qs = [0.0, 0.01, 0.5, 0.75, 1.0]
+    got = C.exact_quantiles(df, {x: qs for x in "abc"}, bins=16, leaf=20)
+    for name, values in (("a", a), ("b", b), ("c", [x for x in c if x is not None and x == x])):
+        low = np.percentile(values, [100 * q for q in qs])
+        assert np.allclose(got[name], low, rtol=1e-12), name
+
+
+def test_amounts_keep_their_small_digits(spark):
+    from tillpoint.plans import customer_sales as CS
+    from tillpoint.plans import sales as S
+
+    lines = spark.createDataFrame([(i, 1, 1, 1, 0.004) for i in range(100)],
+                                  "order_id long, customer_id long, product_id long, quantity int, sales double")
+    assert CS.sales_per_customer(lines).first()["total_sales"] == 0.4
+    assert S.sales_totals(lines).first()["average_sales"] == 0.004
+    two = spark.createDataFrame([(1, 10.001), (2, 10.004)], "order_id long, sales double")
+    assert [r["order_id"] for r in CS.orders_above_average(two).collect()] == [2]
+    holes = spark.createDataFrame([(0.001,), (0.002,), (None,)], "v double")
+    assert sorted(r["v"] for r in C.impute(holes, "mean").collect()) == [0.001, 0.0015, 0.002]
+
+
 def test_cap_outliers_caps_to_iqr_fence(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 100]], "v double")
     out = sorted(r["v"] for r in C.cap_outliers(df, ["v"], 1.5).collect())

@@ -31,7 +31,7 @@ def test_totals_round_to_published(spark):
     got = {r["customer_id"]: r["total_sales"] for r in CS.sales_per_customer(_lines(spark)).collect()}
     assert len(got) == 793
     for cid, total, _ in rows:
-        assert abs(got[cid] - float(total)) < 0.006
+        assert abs(got[cid] - float(total)) < 0.00006
 
 
 def test_above_average_set_is_published_set(spark):

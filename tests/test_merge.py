@@ -49,9 +49,8 @@ def test_versioned_table_and_history(spark, scratch):
     t.merge(spark.createDataFrame([(2, "b", 5.0), (3, "c", 3.0)], SCHEMA), "id")
     assert t.versions() == [0, 1]
     assert t.read(0).count() == 2 and t.read(1).count() == 3
-    h = [(r["version"], r["operation"], r["rows_inserted"], r["rows_updated"])
-         for r in t.history().collect()]
-    assert h == [(0, "WRITE", 2, 0), (1, "MERGE", 1, 1)]
+    h = [tuple(r) for r in t.history().collect()]
+    assert h == [(0, "WRITE", 2, 0, 2), (1, "MERGE", 1, 1, 3)]
 
 
 def test_stream_applies_each_batch_file_as_a_version(spark, scratch):
@@ -69,13 +68,54 @@ def test_stream_applies_each_batch_file_as_a_version(spark, scratch):
     assert final == {1: 1.0, 2: 20.0, 3: 30.0, 4: 4.0}
 
 
-def test_replayed_merge_into_the_same_version_is_idempotent(spark, scratch):
+def _started(spark, scratch):
     t = VersionedTable(spark, os.path.join(scratch, "t"))
     t.write_initial(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA))
+    return t
+
+
+def test_replayed_batch_is_applied_once(spark, scratch):
+    t = _started(spark, scratch)
     batch = spark.createDataFrame([(2, "b", 7.0), (3, "c", 3.0)], SCHEMA)
-    t.merge(batch, "id", target=1)
-    first = sorted(tuple(r) for r in t.read(1).collect())
-    t.merge(batch, "id", target=1)          # a micro-batch replayed after a failure
+    assert t.merge(batch, "id", batch_id="s/0") == 1
+    assert t.merge(batch, "id", batch_id="s/0") == 1     # run again after a failure
     assert t.versions() == [0, 1]
-    assert sorted(tuple(r) for r in t.read(1).collect()) == first
-    assert first == [(1, "a", 1.0), (2, "b", 7.0), (3, "c", 3.0)]
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, "a", 1.0), (2, "b", 7.0), (3, "c", 3.0)]
+
+
+def test_restart_with_a_lost_commit_applies_nothing_twice(spark, scratch):
+    t = _started(spark, scratch)
+    batches, ckpt = os.path.join(scratch, "batches"), os.path.join(scratch, "ckpt")
+    write_parquet(spark.createDataFrame([(2, "b", 7.0), (3, "c", 3.0)], SCHEMA).coalesce(1),
+                  os.path.join(batches, "b1"))
+    files = os.path.join(batches, "*")
+    assert run_upserts(spark, files, t, "id", SCHEMA, checkpoint=ckpt) == 1
+    for name in ("0", ".0.crc"):
+        os.remove(os.path.join(ckpt, "commits", name))
+    assert run_upserts(spark, files, VersionedTable(spark, t.root), "id", SCHEMA, checkpoint=ckpt) == 1
+    assert [r["rows_updated"] for r in t.history().collect()] == [0, 1]
+
+
+def test_half_written_version_is_ignored(spark, scratch):
+    t = _started(spark, scratch)
+    for kind in ("data", "changes", "commits"):
+        os.makedirs(os.path.join(t.root, kind, "version=1", "_temporary"))
+    assert t.versions() == [0] and t.read().count() == 2
+    assert t.merge(spark.createDataFrame([(5, "e", 5.0)], SCHEMA), "id") == 1
+    assert t.read().count() == 3
+
+
+def test_only_touched_parts_are_rewritten(spark, scratch):
+    t = VersionedTable(spark, os.path.join(scratch, "t"), parts=8)
+    t.write_initial(spark.range(1000).selectExpr("id", "'x' AS name", "0.0D AS amount"), "id")
+    t.merge(spark.createDataFrame([(3, "y", 1.0)], SCHEMA), "id")
+    assert len([d for d in os.listdir(os.path.join(t.root, "data", "version=1"))
+                if d.startswith("part=")]) == 1
+    assert t.read(1).count() == 1000 and t.read(1).filter("name = 'y'").count() == 1
+    assert t.read(0).filter("name = 'y'").count() == 0
+
+
+def test_batch_that_revises_two_columns(spark):
+    target = spark.createDataFrame([(75, 10.0, 2.5), (101, 1.0, -1.0)], "id long, sales double, profit double")
+    rows = M.make_batch(target, "id", ["sales", "profit"]).collect()
+    assert sorted(tuple(r) for r in rows) == [(75, 11.0, 2.75), (203, 1.0, -1.0)]

@@ -30,10 +30,10 @@ def test_bought_together_hot_orders_are_salted_without_changing_counts(spark):
             if a < b:
                 brute[(names[a], names[b])] += 1
     want = sorted(brute.items(), key=lambda kv: (-kv[1], kv[0]))[:20]
-    for hot in (2000, 10):
+    for chunk in (500, 7, 1):
         got = [((r["product_a"], r["product_b"]), r["times_bought_together"]) for r in
-               R.bought_together(df, prods, 20, hot_products=hot, chunk=7).collect()]
-        assert got == want, hot
+               R.bought_together(df, prods, 20, chunk=chunk).collect()]
+        assert got == want, chunk
 
 
 def test_dense_rank_in_category_with_ties(spark):
@@ -101,5 +101,36 @@ def test_empty_inputs(spark):
 
     empty = spark.createDataFrame([], "id long, v double")
     assert ordered_window(empty, [("v", False), ("id", True)], ntile=("t", 4)).count() == 0
-    assert exact_quantiles(empty, "v", [0.5]) == [None]
+    assert exact_quantiles(empty, {"v": [0.5]}) == {"v": [None]}
     assert top_k_with_ties(empty, "v", 3).count() == 0
+
+
+def test_undated_orders_do_not_count_as_gaps(spark):
+    from datetime import datetime
+
+    day = lambda n: datetime(2020, 1, 1 + n)
+    orders = spark.createDataFrame(
+        [(1, 7, day(0)), (2, 7, day(10)), (3, 7, None),   # gap 10 over one dated pair
+         (4, 8, day(0)), (5, 8, None), (6, 9, day(3))],   # fewer than two dated orders
+        "order_id long, customer_id long, order_date timestamp_ntz")
+    rows = R.order_gaps(orders, risk_days=7).collect()
+    assert {(r["customer_id"], r["risk_flag"]) for r in rows} == {(7, "At Risk")}
+    assert sorted(r["days_gap"] or 0 for r in rows) == [0, 0, 10.0]
+
+
+def test_many_undated_orders(spark):
+    from datetime import datetime, timedelta
+
+    orders = spark.createDataFrame(
+        [(i, i % 40, None if i % 5 == 0 else datetime(2020, 1, 1) + timedelta(hours=7 * i))
+         for i in range(1000)], "order_id long, customer_id long, order_date timestamp_ntz")
+    assert R.order_gaps(orders).count() == sum(1 for i in range(1000) if i % 40 % 5)
+
+
+def test_previous_period_and_ranges():
+    import pytest
+
+    assert R.previous_period("2020-03-01", "2020-03-08") == ("2020-02-23", "2020-03-01")
+    assert R.report_range("daily", "2020-03-01") == ("2020-02-29", "2020-03-01")
+    with pytest.raises(ValueError):
+        R.report_range("yearly", "2020-03-01")

@@ -25,8 +25,7 @@ def _data(spark, n=2000, hot_share=0.34, seed=3):
 def test_global_rank_ntile_running_sum(spark, buckets):
     df = _data(spark)
     got = ordered_window(df, [("v", False), ("id", True)], row_number="rn", rank=("rk", 1),
-                         ntile=("nt", 4), running_sum=("x", "rs"), rows_per_bucket=1,
-                         max_buckets=buckets, min_buckets=buckets, sample_per_bucket=20)
+                         ntile=("nt", 4), running_sum=("x", "rs"), rows_per_bucket=-(-2000 // buckets), min_buckets=1)
     w = Window.orderBy(F.col("v").desc(), "id")
     want = df.select("id", F.row_number().over(w).alias("rn"),
                      F.rank().over(Window.orderBy(F.col("v").desc())).alias("rk"),
@@ -42,8 +41,7 @@ def test_partitioned_row_number_lag_rank_with_hot_key(spark, buckets):
     df = _data(spark, seed=5)
     got = ordered_window(df, [("v", True), ("id", True)], ["k"], row_number="rn",
                          rank=("rk", 1), lag=("v", "prev"), running_sum=("x", "rs"),
-                         rows_per_bucket=1, max_buckets=buckets, min_buckets=buckets,
-                         sample_per_bucket=20)
+                         rows_per_bucket=-(-2000 // buckets), min_buckets=1)
     w = Window.partitionBy("k").orderBy("v", "id")
     want = df.select("id", F.row_number().over(w).alias("rn"),
                      F.rank().over(Window.partitionBy("k").orderBy("v")).alias("rk"),
@@ -94,10 +92,44 @@ def test_identical_keys_on_a_third_of_rows_are_split_and_correct(spark):
     rows = [(i, 0, 7) for i in range(700)] + [(1000 + i, i % 5, i % 11) for i in range(1400)]
     df = spark.createDataFrame(rows, "id long, k long, v long")
     got = ordered_window(df.select("k", "v"), [("v", True)], ["k"], row_number="rn",
-                         lag=("v", "prev"), split_ties=True, rows_per_bucket=1,
-                         max_buckets=30, min_buckets=30, sample_per_bucket=20)
+                         lag=("v", "prev"), split_ties=True, rows_per_bucket=70, min_buckets=1)
     w = Window.partitionBy("k").orderBy("v")
     want = df.select("k", "v", F.row_number().over(w).alias("rn"), F.lag("v").over(w).alias("prev"))
     g = Counter((r["k"], r["v"], r["rn"], r["prev"]) for r in got.collect())
     e = Counter((r["k"], r["v"], r["rn"], r["prev"]) for r in want.collect())
     assert g == e
+
+
+def test_null_sort_keys(spark):
+    rows = [(i, i % 7, None if i % 3 == 0 else i % 50) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, k long, v long")
+    for asc in (True, False):
+        got = ordered_window(df, [("v", asc), ("id", True)], ["k"], row_number="rn",
+                             lag=("v", "prev"), rows_per_bucket=60)
+        w = Window.partitionBy("k").orderBy(F.col("v").asc() if asc else F.col("v").desc(), "id")
+        want = df.select("id", F.row_number().over(w).alias("rn"), F.lag("v").over(w).alias("prev"))
+        assert sorted((r["id"], r["rn"], r["prev"] or -1) for r in got.collect()) == sorted(
+            (r["id"], r["rn"], r["prev"] or -1) for r in want.collect())
+
+
+def test_buckets_stay_small_whatever_the_count(spark):
+    from tillpoint.operators import windows
+
+    kept = {}
+    real = windows.materialize
+    windows.materialize = lambda df, label="t": kept.setdefault(label, real(df, label))
+    try:
+        ordered_window(spark.range(200_000).withColumnRenamed("id", "v"), [("v", True)],
+                       row_number="rn", rows_per_bucket=100).count()
+    finally:
+        windows.materialize = real
+    sizes = [r["count"] for r in kept["ow"].groupBy("_b").count().collect()]
+    assert len(sizes) > 1500 and max(sizes) < 1000
+
+
+def test_bottom_k_ranks_nulls_first(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.0), ("c", None), ("d", 2.0), ("e", 1.0)],
+                               "name string, total double")
+    got = sorted((r["name"], r["rk"]) for r in
+                 top_k_with_ties(df, "total", 3, "rk", descending=False).collect())
+    assert got == [("a", 1), ("b", 3), ("c", 1), ("e", 3)]

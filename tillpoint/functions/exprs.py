@@ -18,7 +18,8 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dec(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
+def dec(c: ColumnOrName, precision: int = 24, scale: int = 6) -> Column:
+    """An amount as DECIMAL; six digits by default, so that nothing is cut before a sum."""
     return _c(c).cast(f"decimal({precision},{scale})")
 
 

@@ -6,9 +6,7 @@ except the handful of statistics an imputation or a capping needs (one value per
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,84 +97,92 @@ def dedup_by_key(df: DataFrame, keys: list[str], order_by: list[str] | None = No
 
 
 # C1 / C2
-def column_means(df: DataFrame, cols: list[str], scale: int = 2, digits: int = 4) -> dict:
-    """Exact means (sum as DECIMAL(., scale) / count), rounded half-up to ``digits``."""
+FILL_DIGITS = 8
+
+
+def column_means(df: DataFrame, cols: list[str], digits: int = FILL_DIGITS) -> dict:
+    """Exact means (sum as DECIMAL with ten digits / count), rounded half-up to ``digits``."""
     row = df.agg(*[
-        round_half_up(F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double")
-                      / F.count(c).cast("double"), digits).alias(c) for c in cols]).collect()[0]
+        round_half_up(F.sum(F.col(c).cast("decimal(28,10)")).cast("double")
+                      / F.count(c).cast("double"), digits).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float], rows_per_bucket: int = 200_000,
-                    max_buckets: int = 1024, sample_per_bucket: int = 32,
-                    seed: int = 13, materialized: bool = False) -> list[float | None]:
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], bins: int = 1024,
+                    leaf: int = 10_000) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``).
 
-    Spark's exact ``percentile`` keeps every distinct value of the column in one aggregation
-    buffer.  Here the values are written once, cut into range buckets at sampled boundaries
-    and counted per bucket; only the buckets that hold a wanted rank are then examined,
-    as (value, count) pairs, so a value repeated on a third of all rows is one row.  The
-    driver only sees the bucket counts (at most ``max_buckets``) and the wanted values.
+    All columns together: one pass counts ``bins`` equal slices of every interval that still
+    holds a wanted rank, the next pass looks into the slice with the rank only, until a slice
+    is one value or at most ``leaf`` rows, whose (value, count) pairs then decide.  The driver
+    sees bin counts and leaves of that bounded size, whatever the number of rows; a
+    value repeated on a third of all rows is one pair.
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    if not materialized:
-        vals = materialize(vals, "q")
-    n = vals.count()
-    if n == 0:
-        return [None for _ in qs]
-    spots = []
-    for q in qs:
-        pos = (n - 1) * float(q)
-        lo = int(math.floor(pos))
-        spots.append((lo, min(lo + 1, n - 1), pos - lo))
-    ranks = sorted({r for lo, hi, _ in spots for r in (lo, hi)})
-    nb = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    bounds: list[float] = []
-    if nb > 1:
-        frac = min(1.0, sample_per_bucket * nb / n)
-        sample = sorted(r[0] for r in vals.sample(False, frac, seed).collect())
-        for i in range(1, nb):
-            b = sample[(len(sample) * i) // nb] if sample else None
-            if b is not None and (not bounds or b != bounds[-1]):
-                bounds.append(b)
-    bucket = _value_bucket(F.col("v"), bounds)
-    keyed = vals.withColumn("_b", bucket)
-    counts = sorted((r["_b"], r["n"]) for r in
-                    keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
-    # Bucket and offset of every wanted rank (at most max_buckets counts to walk).
-    want = []
-    start, i = 0, 0
-    for b, cnt in counts:
-        while i < len(ranks) and ranks[i] < start + cnt:
-            want.append((b, ranks[i] - start, ranks[i]))
-            i += 1
-        start += cnt
-    spark = df.sparkSession
-    targets = spark.createDataFrame(want, "_b int, off long, rank long")
-    per_value = (keyed.filter(F.col("_b").isin([b for b, _, _ in want]))
-                 .groupBy("_b", "v").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding,
-                                                          Window.currentRow)
-    cum = per_value.withColumn("upto", F.sum("c").over(w))
-    hit = cum.join(F.broadcast(targets), "_b").filter(
-        (F.col("off") < F.col("upto")) & (F.col("off") >= F.col("upto") - F.col("c")))
-    at = {r["rank"]: r["v"] for r in hit.select("rank", "v").collect()}
-    return [at[lo] + (at[hi] - at[lo]) * f for lo, hi, f in spots]
-
-
-def _value_bucket(v: Column, bounds: list[float]) -> Column:
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(v >= F.lit(bounds[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
-
-    return build(0, len(bounds))
+    cols = list(wanted)
+    values = materialize(df.select(*[F.col(c).cast("double").alias(f"v{k}")
+                                     for k, c in enumerate(cols)]), "quantile")
+    usable = [F.when(~F.isnan(f"v{k}"), F.col(f"v{k}")) for k in range(len(cols))]
+    stats = values.agg(*[x.alias(f"{n}{k}") for k, v in enumerate(usable) for n, x in (
+        ("n", F.count(v)), ("lo", F.min(v)), ("hi", F.max(v)))]).first()
+    ranks: dict[int, set[int]] = {}
+    for k, c in enumerate(cols):
+        n = stats[f"n{k}"]
+        ranks[k] = {r for q in wanted[c] for r in (int((n - 1) * q), min(int((n - 1) * q) + 1, n - 1))
+                    } if n else set()
+    found: dict[tuple[int, int], float] = {}
+    # (column, lowest value, highest value, rows, rows before) -> ranks to find in it
+    open_ = {(k, stats[f"lo{k}"], stats[f"hi{k}"], stats[f"n{k}"], 0): r
+             for k, r in ranks.items() if r}
+    while open_:
+        for (k, lo, hi, _, _), r in open_.items():
+            found.update({(k, x): lo for x in r if lo == hi})
+        open_ = {i: r for i, r in open_.items() if i[1] != i[2]}
+        spans = list(open_)
+        if not spans:
+            break
+
+        def slice_of(lo: float, hi: float, v: Column, n: int) -> Column:
+            width = hi / 2 - lo / 2  # halves: the difference itself may overflow
+            return F.least(F.floor((v / 2 - F.lit(lo / 2)) / F.lit(width) * bins),
+                           F.lit(bins - 1)).cast("int") if n > leaf else F.lit(-1)
+
+        tagged = values.select(F.explode(F.array(*[
+            F.when(usable[k].between(lo, hi), F.struct(
+                F.lit(j).alias("j"), slice_of(lo, hi, F.col(f"v{k}"), n).alias("b"),
+                F.col(f"v{k}").alias("v"))) for j, (k, lo, hi, n, _) in enumerate(spans)]))
+            .alias("x")).filter("x is not null").select("x.*")
+        pairs = (tagged.groupBy("j", "b", F.when(F.col("b") < 0, F.col("v")).alias("leaf"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                 .collect())
+        by_span: dict[int, list] = {}
+        for row in pairs:
+            by_span.setdefault(row["j"], []).append(row)
+        nxt: dict[tuple, set[int]] = {}
+        for j, span in enumerate(spans):
+            before = span[4]
+            for row in sorted(by_span[j], key=lambda x: x["lo"]):
+                inside = {r for r in open_[span] if before <= r < before + row["n"]}
+                if inside:
+                    nxt[(span[0], row["lo"], row["hi"], row["n"], before)] = inside
+                before += row["n"]
+        open_ = nxt
+    out: dict[str, list[float | None]] = {}
+    for k, c in enumerate(cols):
+        n = stats[f"n{k}"]
+        out[c] = []
+        for q in wanted[c]:
+            at = (n - 1) * float(q)
+            low = int(at)
+            if not n:
+                out[c].append(None)
+                continue
+            a, b = found[k, low], found[k, min(low + 1, n - 1)]
+            out[c].append(a + (b - a) * (at - low))
+    return out
 
 
 def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
-           cols: list[str] | None = None, scale: int = 2, digits: int = 4) -> DataFrame:
+           cols: list[str] | None = None, digits: int = FILL_DIGITS) -> DataFrame:
     """Fill NULLs: text columns with ``text``, numeric columns with their mean or median.
 
     Integer columns are widened to DOUBLE first, so a fractional mean is not truncated.
@@ -185,13 +191,12 @@ def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
     num = [f.name for f in fields if _is_numeric(f.dataType)]
     txt = [f.name for f in fields if _is_text(f.dataType)]
     if numeric == "mean":
-        fill = column_means(df, num, scale, digits) if num else {}
+        fill = column_means(df, num, digits) if num else {}
         fill_cols = {c: F.lit(v).cast("double") for c, v in fill.items()}
     elif numeric == "median":
-        fill_cols = {}
-        for c in num:
-            med = exact_quantiles(df, c, [0.5])[0]
-            fill_cols[c] = round_half_up(F.lit(med).cast("double"), digits)
+        medians = exact_quantiles(df, {c: [0.5] for c in num}) if num else {}
+        fill_cols = {c: round_half_up(F.lit(m[0]).cast("double"), digits)
+                     for c, m in medians.items()}
     else:
         raise ValueError("numeric must be 'mean' or 'median'")
     out = []
@@ -206,14 +211,15 @@ def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
 
 
 # C11
-def cap_outliers(df: DataFrame, cols: list[str], k: float = 1.5, **kw) -> DataFrame:
+def cap_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
     """Cap every column to [q1 - k*iqr, q3 + k*iqr] with exact quartiles.
 
     The input is written once; the quartile passes and the capping pass read that table."""
     df = materialize(df, "cap")
+    quartiles = exact_quantiles(df, {c: [0.25, 0.75] for c in cols})
     out = df
     for c in cols:
-        q1, q3 = exact_quantiles(df, c, [0.25, 0.75], materialized=True, **kw)
+        q1, q3 = quartiles[c]
         if q1 is None:
             continue
         iqr = q3 - q1

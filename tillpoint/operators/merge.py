@@ -1,9 +1,10 @@
 """Keyed upsert (MERGE) of an incremental batch into a table, with a change feed.
 
-``upsert`` is one full outer join on the key.  The batch is checked for repeated keys with
-one partial aggregation (a key repeated on a third of the batch is counted map-side).  A
-NULL key never matches and is inserted; columns of updated rows take the batch value even
-when it is NULL (presence flags, not ``coalesce``).
+The target is only filtered by the batch's keys: an anti join keeps the rows the batch does
+not touch, a semi join finds those it does, and everything else is batch-sized.  Both joins keep
+the target on the probe side, so a small batch is broadcast and the target is not shuffled.  The
+batch is checked for repeated keys with one partial aggregation.  A NULL key never matches and is
+inserted; columns of updated rows take the batch value even when it is NULL.
 """
 
 from __future__ import annotations
@@ -16,18 +17,18 @@ from tillpoint.operators.persist import materialize
 OPS = ("update", "insert", "unchanged")
 
 
-def make_batch(target: DataFrame, key: str, value: str, update_every: int = 75,
+def make_batch(target: DataFrame, key: str, value: str | list[str], update_every: int = 75,
                insert_every: int = 100, insert_offset: int = 1, factor: str = "1.1") -> DataFrame:
     """A deterministic incremental batch derived from the target.
 
-    Updates: rows whose key is a multiple of ``update_every`` with ``value`` revised by
-    ``factor`` (rounded to cents).  Inserts: copies of rows whose key leaves remainder
+    Updates: rows whose key is a multiple of ``update_every`` with ``value`` (one column or
+    several) revised by ``factor`` (rounded to cents).  Inserts: copies of rows whose key leaves remainder
     ``insert_offset`` modulo ``insert_every``, moved to new keys above the current maximum.
     """
     k = F.col(key)
-    revised = F.round(F.col(value).cast("decimal(18,2)") * F.lit(factor).cast("decimal(4,2)"),
-                      2).cast("double")
-    updates = target.filter(F.pmod(k, F.lit(update_every)) == 0).withColumn(value, revised)
+    revised = {v: F.round(F.col(v).cast("decimal(18,2)") * F.lit(factor).cast("decimal(4,2)"),
+                          2).cast("double") for v in ([value] if isinstance(value, str) else value)}
+    updates = target.filter(F.pmod(k, F.lit(update_every)) == 0).withColumns(revised)
     top = target.agg(F.max(k)).scalar()
     inserts = (target.filter(F.pmod(k, F.lit(insert_every)) == insert_offset)
                .withColumn(key, k + top + 1))
@@ -43,31 +44,23 @@ def _checked(batch: DataFrame, key: str) -> DataFrame:
                                       F.lit(f"duplicate {key} in merge batch")).isNull())
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str, check_unique: bool = True) -> DataFrame:
-    """Merged rows (target columns) plus ``_op`` in {update, insert, unchanged}.
+def feed(target: DataFrame, batch: DataFrame, key: str, check_unique: bool = True) -> DataFrame:
+    """The batch's rows with ``_op`` (update or insert) and the target's ``_old_`` values."""
+    b = _checked(batch, key) if check_unique else batch
+    cols = target.columns
+    hit = target.join(batch.select(key), key, "left_semi").select(
+        F.col(key).alias("_key"), *[F.col(c).alias(f"_old_{c}") for c in cols])
+    op = F.when(F.col("_key").isNotNull(), F.lit("update")).otherwise(F.lit("insert"))
+    return b.join(hit, F.col(key) == F.col("_key"), "left").select(
+        *cols, op.alias("_op"), *[f"_old_{c}" for c in cols])
 
-    Rows with a NULL key can never match; they bypass the join (batch ones are inserts,
-    target ones unchanged), so a batch full of NULL keys cannot pile into one join task.
-    """
+
+def upsert(target: DataFrame, batch: DataFrame, key: str, check_unique: bool = True) -> DataFrame:
+    """Merged rows (target columns) plus ``_op`` in {update, insert, unchanged} and old values."""
     cols = target.columns
-    b = _checked(batch, key) if check_unique else batch
-    k = F.col(key)
-    t = target.filter(k.isNotNull()).select(*[F.col(c).alias(f"t__{c}") for c in cols],
-                                            F.lit(True).alias("_in_t"))
-    s = b.filter(k.isNotNull()).select(*[F.col(c).alias(f"b__{c}") for c in cols],
-                                       F.lit(True).alias("_in_b"))
-    j = t.join(s, F.col(f"t__{key}") == F.col(f"b__{key}"), "full_outer")
-    in_b, in_t = F.col("_in_b").isNotNull(), F.col("_in_t").isNotNull()
-    out = [F.when(in_b, F.col(f"b__{c}")).otherwise(F.col(f"t__{c}")).alias(c) for c in cols]
-    op = F.when(in_b & in_t, F.lit("update")).when(in_b, F.lit("insert")).otherwise(
-        F.lit("unchanged"))
-    matched = j.select(*out, op.alias("_op"), *[F.col(f"t__{c}").alias(f"_old_{c}") for c in cols])
-    nulls_b = b.filter(k.isNull()).select(
-        *cols, F.lit("insert").alias("_op"),
-        *[F.lit(None).cast(target.schema[c].dataType).alias(f"_old_{c}") for c in cols])
-    nulls_t = target.filter(k.isNull()).select(
+    kept = target.join(batch.select(key), key, "left_anti").select(
         *cols, F.lit("unchanged").alias("_op"), *[F.col(c).alias(f"_old_{c}") for c in cols])
-    return matched.unionByName(nulls_b).unionByName(nulls_t)
+    return kept.unionByName(feed(target, batch, key, check_unique))
 
 
 def merged(result: DataFrame) -> DataFrame:
@@ -86,8 +79,7 @@ def validation(target: DataFrame, result: DataFrame, batch: DataFrame, key: str,
     """One row: counts before / after, inserted / updated / unchanged, repeated keys after the
     merge, and whether every updated row carries the batch value.
 
-    The merge result is read by several checks, so it is written once and re-read instead
-    of running the full outer join once per check."""
+    The merge result is read by several checks, so it is written once and re-read."""
     result = materialize(result, "merge-result")
     before = target.agg(F.count(F.lit(1))).scalar()
     dup_after = (result.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -104,16 +96,3 @@ def validation(target: DataFrame, result: DataFrame, batch: DataFrame, key: str,
     return agg.select(before.alias("rows_before"), "rows_after", "inserted", "updated",
                       "unchanged", dup_after.alias("duplicate_keys_after"),
                       spot.alias("updated_values_match"))
-
-
-def history(target: DataFrame, result: DataFrame) -> DataFrame:
-    """Version log: version 0 is the initial load, version 1 the merge."""
-    load = target.agg(F.lit(0).cast("bigint").alias("version"), F.lit("WRITE").alias("operation"),
-                      F.count(F.lit(1)).alias("rows_inserted"),
-                      F.lit(0).cast("bigint").alias("rows_updated"),
-                      F.count(F.lit(1)).alias("rows_total"))
-    merge = result.agg(F.lit(1).cast("bigint").alias("version"), F.lit("MERGE").alias("operation"),
-                       F.count_if(F.col("_op") == "insert").alias("rows_inserted"),
-                       F.count_if(F.col("_op") == "update").alias("rows_updated"),
-                       F.count(F.lit(1)).alias("rows_total"))
-    return load.unionByName(merge)

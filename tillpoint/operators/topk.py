@@ -16,14 +16,18 @@ from pyspark.sql import functions as F
 
 def top_k_with_ties(df: DataFrame, value: str, k: int, rank_col: str = "rank",
                     descending: bool = True) -> DataFrame:
+    """``df`` with the rank of ``value``, rows ranked at most ``k`` only.
+
+    NULLs come last in descending and first in ascending order, where they rank like any value.
+    """
     v = F.col(value)
-    order = v.desc() if descending else v.asc()
-    cand = df.select(value).filter(v.isNotNull()).orderBy(order).limit(k)
+    order = v.desc_nulls_last() if descending else v.asc_nulls_first()
+    cand = df.select(value).orderBy(order).limit(k)
     # Rank of each candidate value: 1 + number of candidates strictly ahead of it.
     counts = cand.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ahead = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(value, (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) + 1)
+    ranks = counts.select(v.alias("_v"), (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) + 1)
                           .cast("bigint").alias(rank_col))
     # Fewer than k rows are strictly better than the k-th value, so the rows at or beyond
     # it are exactly the rows whose value is a candidate value: one broadcast join.
-    return df.join(F.broadcast(ranks), value, "inner")
+    return df.join(F.broadcast(ranks), v.eqNullSafe(F.col("_v"))).drop("_v")

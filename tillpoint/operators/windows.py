@@ -5,17 +5,16 @@ row goes to one task.  A ``partitionBy(key)`` window does the same for all rows
 key.  ``ordered_window`` computes row_number / rank / ntile / running sum / lag with the same
 results but splits the rows into range buckets of the full sort key:
 
-1. the input is written once to the checkpoint folder (it is read three times);
-2. a bounded sample of the sort key (``sample_per_bucket`` rows per bucket) is collected
-   and cut into bucket boundaries; the bucket of a row is a pure function of its key
-   (a binary search over the boundaries written as nested CASE), so recomputation after
-   a lost executor yields the same bucket;
-3. each bucket is windowed locally (``partitionBy(bucket, partition keys)``), and small
+1. the rows go through one range exchange on the full key (``repartitionByRange`` samples the
+   key itself) into ``rows / rows_per_bucket`` buckets, and are written with the number of
+   their bucket, so every later pass, and a pass after a lost executor, sees the same buckets;
+2. each bucket is windowed locally (``partitionBy(bucket, partition keys)``), and small
    per-bucket statistics (at most 2 rows per bucket) give each bucket the counts, sums and
    the last value of the same partition key in the buckets before it.
 
-The sort key must be a total order within a partition (add a unique tie-breaker) and its
-columns non-null; descending order is supported for numeric columns.
+The sort key must be a total order within a partition (add a unique tie-breaker, or let
+``split_ties`` add one).  NULLs sort first in ascending order and last in descending order, which
+is supported for numeric columns.
 """
 
 from __future__ import annotations
@@ -32,29 +31,6 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
 
-def _lit(v, dtype) -> Column:
-    if v is not None and isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return F.lit(str(v)).cast(dtype)
-    return F.lit(v).cast(dtype)
-
-
-def _lit_struct(values, fields) -> Column:
-    return F.struct(*[_lit(v, f.dataType).alias(f.name) for v, f in zip(values, fields)])
-
-
-def _bucket_expr(key: Column, bounds: list, fields) -> Column:
-    """Index of the bucket holding ``key``: number of boundaries that are <= key."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key >= _lit_struct(bounds[mid - 1], fields), build(mid, hi)).otherwise(
-            build(lo, mid - 1))
-
-    return build(0, len(bounds))
-
-
 def _carries(bucketed: DataFrame, keys: list[str], metrics: dict[str, Column],
              last_value: Column | None = None) -> DataFrame:
     """Per bucket: totals of the rows that share the bucket's first key in earlier buckets.
@@ -98,9 +74,7 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
                    ntile: tuple[str, int] | None = None,
                    running_sum: tuple[str, str] | None = None,
                    lag: tuple[str, str] | None = None,
-                   rows_per_bucket: int = 500_000, max_buckets: int = 1024,
-                   min_buckets: int | None = None, sample_per_bucket: int = 32,
-                   seed: int = 11, materialized: bool = False,
+                   rows_per_bucket: int = 500_000, min_buckets: int | None = None,
                    split_ties: bool = False) -> DataFrame:
     """Add window columns over ``order_by`` (list of (column, ascending)).
 
@@ -109,54 +83,35 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     ntile:       (output name, n) -> NTILE(n); only without ``partition_by``
     running_sum: (value column, output name) -> SUM over ROWS UNBOUNDED PRECEDING..CURRENT
     lag:         (value column, output name) -> LAG(value, 1)
-    materialized: the input is already a written table, or a deterministic projection of
-                  immutable files that is cheap to re-read (skip writing it)
-    split_ties:   append the row's position in the written input as a last sort key, so
-                  rows with identical keys (one key and value on a third of the rows) can
-                  still be cut into several buckets; positions are stable on every re-read
+    split_ties:  number the rows in a written copy of the input and append that number as a last
+                 sort key, so rows with identical keys (one key and value on a third of the rows)
+                 can still be cut into several buckets
     """
     partition_by = list(partition_by)
     if ntile is not None and partition_by:
         raise ValueError("ntile is only supported over the whole relation")
     spark = df.sparkSession
-    # Row positions are only stable on a table this function wrote itself, so tie splitting
-    # always writes its input.
-    base = df if (materialized and not split_ties) else materialize(df, "ow")
     if split_ties:
         order_by = list(order_by) + [("_tie", True)]
-        base = base.withColumn("_tie", F.monotonically_increasing_id())
-    schema = base.schema
-    okeys = []
+        df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "ow-ties")
+    schema = df.schema
+    kcols = [F.col(p).alias(f"_p{i}") for i, p in enumerate(partition_by)]
     for i, (name, asc) in enumerate(order_by):
         c = F.col(name)
         if not asc:
             if not isinstance(schema[name].dataType, _NUMERIC):
                 raise ValueError(f"descending order needs a numeric column, got {name}")
-            c = -c
-        okeys.append(c.alias(f"_o{i}"))
-    kcols = [F.col(p).alias(f"_p{i}") for i, p in enumerate(partition_by)] + okeys
-    keyed = base.withColumn("_K", F.struct(*kcols))
-    fields = keyed.schema["_K"].dataType.fields
-
-    n_total = base.count()
+            # NULLs last: a flag ahead of the negated value
+            c = F.struct(c.isNull().alias("n"), (-c).alias("v"))
+        kcols.append(c.alias(f"_o{i}"))
+    keyed = df.withColumn("_K", F.struct(*kcols))
+    rows = df.count()
     if min_buckets is None:
         min_buckets = spark.sparkContext.defaultParallelism
-    nb = max(math.ceil(n_total / rows_per_bucket), min(min_buckets, math.ceil(n_total / 64)))
-    nb = max(1, min(max_buckets, nb))
-    bounds: list = []
-    if nb > 1:
-        frac = min(1.0, sample_per_bucket * nb / max(n_total, 1))
-        # The sample is bounded (about sample_per_bucket rows per bucket); it is ordered on
-        # the driver, where tuple order equals Spark's order for these non-null keys.
-        sample = sorted(tuple(r[0]) for r in
-                        keyed.select("_K").sample(False, frac, seed).collect())
-        if sample:
-            picks = [sample[(len(sample) * i) // nb] for i in range(1, nb)]
-            for p in picks:
-                if not bounds or p != bounds[-1]:
-                    bounds.append(p)
-    bucketed = keyed.withColumn("_b", _bucket_expr(F.col("_K"), bounds, fields)
-                                if bounds else F.lit(0))
+    buckets = max(1, math.ceil(rows / rows_per_bucket), min(min_buckets, math.ceil(rows / 64)))
+    bucketed = materialize(keyed.repartitionByRange(buckets, "_K")
+                           .withColumn("_b", F.spark_partition_id()), "ow")
+    n_total = rows
 
     order_cols = [F.col(f"_K._o{i}") for i in range(len(order_by))]
     w_local = Window.partitionBy("_b", *partition_by).orderBy(*order_cols)

@@ -3,29 +3,30 @@
 Input: order lines (order_id, customer_id, product_id, quantity, sales) and a customer
 dimension (customer_id, customer_name).  A dimension may repeat a key; joining to it
 would multiply the totals, so the named reports first keep one row per key
-(``unique_dimension``), and ``fanout_keys`` lists the repeated keys for the quality report.
+(``unique_dimension``).  Totals are exact and rounded to four digits at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.functions.exprs import dec, money
+from tillpoint.functions.exprs import dec
+from tillpoint.functions.exprs import money as _money
 from tillpoint.operators.topk import top_k_with_ties
 from tillpoint.operators.windows import global_rank, ordered_window
 
 
+def money(c) -> Column:
+    return _money(c, 4)
+
+
 def unique_dimension(dim: DataFrame, key: str = "customer_id",
                      value: str = "customer_name") -> DataFrame:
     """One row per key; the smallest value wins when a key repeats (partial aggregation)."""
     return dim.groupBy(key).agg(F.min(value).alias(value))
 
 
-def fanout_keys(dim: DataFrame, key: str = "customer_id") -> DataFrame:
-    return dim.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-
-
 def _totals(lines: DataFrame, key: str = "customer_id") -> DataFrame:
     return lines.groupBy(key).agg(F.sum(dec("sales")).alias("total"))
 
@@ -124,9 +125,3 @@ def top_order_per_customer(lines: DataFrame, customers: DataFrame) -> DataFrame:
     best = lines.join(mx, ["customer_id", "sales"])
     return best.join(unique_dimension(customers), "customer_id").select(
         "customer_name", "order_id", "sales")
-
-
-# S9
-def insert_distinct(lines: DataFrame, cols=("order_id", "customer_id", "product_id",
-                                            "quantity", "sales")) -> DataFrame:
-    return lines.select(*cols).distinct()

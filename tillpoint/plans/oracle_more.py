@@ -6,16 +6,21 @@ from __future__ import annotations
 from tillpoint.plans import params as P
 from tillpoint.plans.oracle_views import money, round_half_up, with_views
 
-DEC = "CAST({} AS DECIMAL(18,2))"
+# Amounts have four decimals; eight digits cut nothing.
+AMOUNT = "CAST({} AS DECIMAL(30,8))"
 
 
-def avg2(col: str, scale: int = 2) -> str:
-    return round_half_up(f"CAST(SUM(CAST({col} AS DECIMAL(38,{scale}))) AS DOUBLE) "
-                         f"/ CAST(COUNT({col}) AS DOUBLE)", 4)
+def avg2(col: str, digits: int = 4) -> str:
+    return round_half_up(f"CAST(SUM(CAST({col} AS DECIMAL(30,8))) AS DOUBLE) "
+                         f"/ CAST(COUNT({col}) AS DOUBLE)", digits)
 
 
-def sum2(col: str, scale: int = 2) -> str:
-    return money(f"SUM(CAST({col} AS DECIMAL(18,{scale})))")
+def sum2(col: str) -> str:
+    return money4(f"SUM({AMOUNT.format(col)})")
+
+
+def money4(expr: str) -> str:
+    return money(expr, 4)
 
 
 SALES_COLS = ["order_id", "order_date", "ship_date", "customer_id", "customer_name", "segment",
@@ -31,7 +36,8 @@ PARSED = """parsed AS (
 DIM = """cdim AS (SELECT customer_id, MIN(customer_name) AS customer_name
                  FROM customer_names GROUP BY customer_id)"""
 
-TOTALS = "tot AS (SELECT customer_id, SUM(CAST(sales AS DECIMAL(18,2))) AS total FROM order_lines GROUP BY customer_id)"
+TOTALS = f"tot AS (SELECT customer_id, SUM({AMOUNT.format('sales')}) AS total FROM order_lines GROUP BY ALL)"
+NAMED = f"{TOTALS}, {DIM}, named AS (SELECT customer_name, SUM(total) AS total FROM tot NATURAL JOIN cdim GROUP BY ALL)"
 
 
 def _cs(sql: str) -> str:
@@ -52,72 +58,57 @@ def _parsed(sql: str) -> str:
 
 
 CUSTOMER_SALES_SQL = {
-    "above_avg_orders": _cs("""
-SELECT * FROM order_lines
-WHERE CAST(sales AS DECIMAL(18,2)) > (SELECT AVG(CAST(sales AS DECIMAL(18,2))) FROM order_lines)"""),
+    "above_avg_orders": _cs(f"""
+SELECT o.* FROM order_lines o
+JOIN (SELECT SUM({AMOUNT.format('sales')}) AS s, COUNT(sales) AS n FROM order_lines) ON {AMOUNT.format('o.sales')} * n > s"""),
     "max_per_customer": _cs("""
 SELECT customer_id, MAX(sales) AS max_sales FROM order_lines GROUP BY customer_id"""),
     "sales_per_customer": _cs(f"""
 SELECT customer_id, {sum2('sales')} AS total_sales FROM order_lines GROUP BY customer_id"""),
     "customers_above_avg": _cs(f"""
 WITH {TOTALS}
-SELECT customer_id, {money('total')} AS total_sales FROM tot
-WHERE total > (SELECT AVG(total) FROM tot)"""),
+SELECT customer_id, {money4('total')} AS total_sales FROM tot
+JOIN (SELECT SUM(total) AS s, COUNT(*) AS n FROM tot) ON total * n > s"""),
     "customer_sales_rank": _cs(f"""
 WITH {TOTALS}
-SELECT customer_id, {money('total')} AS total_sales,
-       CAST(RANK() OVER (ORDER BY total DESC) AS BIGINT) AS sales_rank
-FROM tot"""),
+SELECT customer_id, {money4('total')} AS total_sales,
+       1 + (SELECT COUNT(*) FROM tot b WHERE b.total > a.total) AS sales_rank
+FROM tot a"""),
     "order_row_number": _cs("""
 SELECT order_id, customer_id,
        CAST(ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY order_id) AS BIGINT) AS row_num
 FROM order_lines"""),
     "top_customers_rank": _cs(f"""
-WITH rc AS (
-    SELECT customer_id, SUM(CAST(sales AS DECIMAL(18,2))) AS total,
-           RANK() OVER (ORDER BY SUM(CAST(sales AS DECIMAL(18,2))) DESC) AS sales_rank
-    FROM order_lines GROUP BY customer_id)
-SELECT customer_id, {money('total')} AS total_sales FROM rc WHERE sales_rank <= 3"""),
+WITH {TOTALS}
+SELECT customer_id, {money4('total')} AS total_sales FROM tot a
+WHERE (SELECT COUNT(*) FROM tot b WHERE b.total > a.total) < 3"""),
     "customer_rank_named": _cs(f"""
 WITH {TOTALS}, {DIM},
-rc AS (SELECT customer_id, total, RANK() OVER (ORDER BY total DESC) AS sales_rank FROM tot)
-SELECT c.customer_name, {money('rc.total')} AS total_sales, CAST(rc.sales_rank AS BIGINT) AS sales_rank
-FROM rc JOIN cdim c ON rc.customer_id = c.customer_id"""),
+levels AS (SELECT total, COUNT(*) AS n FROM tot GROUP BY ALL),
+places AS (SELECT total, 1 + COALESCE(SUM(n) OVER (ORDER BY total DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p
+           FROM levels)
+SELECT customer_name, {money4('total')} AS total_sales, CAST(p AS BIGINT) AS sales_rank
+FROM places NATURAL JOIN tot NATURAL JOIN cdim"""),
     "top5_named": _cs(f"""
-WITH {DIM},
-rcs AS (
-    SELECT c.customer_name, SUM(CAST(o.sales AS DECIMAL(18,2))) AS total,
-           RANK() OVER (ORDER BY SUM(CAST(o.sales AS DECIMAL(18,2))) DESC) AS sales_rank
-    FROM order_lines o JOIN cdim c ON o.customer_id = c.customer_id
-    GROUP BY c.customer_name)
-SELECT customer_name, {money('total')} AS total_sales, CAST(sales_rank AS BIGINT) AS sales_rank
-FROM rcs WHERE sales_rank <= 5"""),
+WITH {NAMED}, ahead AS (SELECT a.customer_name, a.total, COUNT(b.total) AS n
+                        FROM named a LEFT JOIN named b ON b.total > a.total GROUP BY ALL)
+SELECT customer_name, {money4('total')} AS total_sales, n + 1 AS sales_rank FROM ahead WHERE n < 5"""),
     "bottom_customers": _cs(f"""
-WITH {DIM},
-rcs AS (
-    SELECT c.customer_name, SUM(CAST(o.sales AS DECIMAL(18,2))) AS total,
-           RANK() OVER (ORDER BY SUM(CAST(o.sales AS DECIMAL(18,2)))) AS sales_rank
-    FROM order_lines o JOIN cdim c ON o.customer_id = c.customer_id
-    GROUP BY c.customer_name)
-SELECT customer_name, {money('total')} AS total_sales, CAST(sales_rank AS BIGINT) AS sales_rank
-FROM rcs WHERE sales_rank <= 5"""),
+WITH {NAMED}, below AS (SELECT a.customer_name, a.total, COUNT(b.total) AS n
+                        FROM named a LEFT JOIN named b ON b.total < a.total GROUP BY ALL)
+SELECT customer_name, {money4('total')} AS total_sales, n + 1 AS sales_rank FROM below WHERE n < 5"""),
     "single_order_customers": _cs(f"""
 WITH {DIM}
-SELECT c.customer_name
-FROM cdim c JOIN (SELECT customer_id FROM order_lines GROUP BY customer_id
-                  HAVING COUNT(DISTINCT order_id) = 1) oc ON c.customer_id = oc.customer_id"""),
+SELECT ANY_VALUE(customer_name) AS customer_name FROM order_lines NATURAL JOIN cdim
+GROUP BY customer_id HAVING MIN(order_id) = MAX(order_id)"""),
     "above_avg_named": _cs(f"""
 WITH {TOTALS}, {DIM}
-SELECT c.customer_name, {money('t.total')} AS total_sales, t.customer_id
-FROM tot t JOIN cdim c ON t.customer_id = c.customer_id
-WHERE t.total > (SELECT AVG(total) FROM tot)"""),
+SELECT customer_name, {money4('total')} AS total_sales, customer_id FROM tot NATURAL JOIN cdim
+WHERE total * (SELECT COUNT(*) FROM tot) > (SELECT SUM(total) FROM tot)"""),
     "top_order_per_customer": _cs(f"""
 WITH {DIM}
-SELECT c.customer_name, o.order_id, o.sales
-FROM order_lines o
-JOIN cdim c ON o.customer_id = c.customer_id
-JOIN (SELECT customer_id, MAX(sales) AS ms FROM order_lines GROUP BY customer_id) m
-  ON o.customer_id = m.customer_id AND o.sales = m.ms"""),
+SELECT customer_name, order_id, sales FROM order_lines NATURAL JOIN cdim
+QUALIFY sales = MAX(sales) OVER (PARTITION BY customer_id)"""),
     "insert_distinct": _cs("""
 SELECT DISTINCT order_id, customer_id, product_id, quantity, sales FROM order_lines"""),
 }
@@ -143,7 +134,7 @@ GROUP BY customer_name HAVING SUM(quantity) > {P.QUANTITY_OVER}"""),
 SELECT customer_name, {sum2('sales')} AS total_sales FROM sales GROUP BY customer_name
 ORDER BY total_sales DESC, customer_name LIMIT 10"""),
     "profit_by_region": _sales(f"""
-SELECT region, {sum2('profit', 4)} AS profit FROM sales GROUP BY region"""),
+SELECT region, {sum2('profit')} AS profit FROM sales GROUP BY region"""),
     "top10_products": _sales(f"""
 SELECT product_name, {sum2('sales')} AS total_sales FROM sales GROUP BY product_name
 ORDER BY total_sales DESC, product_name LIMIT 10"""),
@@ -209,7 +200,7 @@ _dup_cols = "customer_name, category, region, segment"
 
 def _mean_fill_sql(src: str, cols_sql: str, text_cols: list[str], num_cols: list[str],
                    keep: list[str], order: list[str]) -> str:
-    means = ", ".join(f"{avg2(c)} AS m_{c}" for c in num_cols)
+    means = ", ".join(f"{avg2(c, 8)} AS m_{c}" for c in num_cols)
     out = []
     for c in order:
         if c in text_cols:
@@ -267,8 +258,8 @@ WITH {_impute_mean}
 SELECT * FROM filled"""),
     "impute_median": _parsed(f"""
 WITH raw AS (SELECT {', '.join(_impute_cols)} FROM parsed),
-m AS (SELECT {round_half_up('quantile_cont(CAST(sales AS DOUBLE), 0.5)', 4)} AS m_sales,
-             {round_half_up('quantile_cont(CAST(quantity AS DOUBLE), 0.5)', 4)} AS m_quantity FROM raw)
+m AS (SELECT {round_half_up('quantile_cont(CAST(sales AS DOUBLE), 0.5)', 8)} AS m_sales,
+             {round_half_up('quantile_cont(CAST(quantity AS DOUBLE), 0.5)', 8)} AS m_quantity FROM raw)
 SELECT order_id, COALESCE(customer_name, 'Unknown') AS customer_name, category,
        COALESCE(CAST(sales AS DOUBLE), m.m_sales) AS sales,
        COALESCE(CAST(quantity AS DOUBLE), m.m_quantity) AS quantity
@@ -339,11 +330,10 @@ _rules = [
           r"SELECT customer_id FROM customers WHERE NOT regexp_matches(COALESCE(email, ''), '^[^@\s]+@[^@\s]+\.[^@\s]+$')",
           "customer_id"),
     _rule("items_without_order",
-          "SELECT order_id FROM order_items oi WHERE NOT EXISTS "
-          "(SELECT 1 FROM orders_v o WHERE o.order_id = oi.order_id)", "order_id"),
-    _rule("items_negative_quantity", "SELECT 1 AS x FROM order_items WHERE quantity < 0", None),
-    _rule("items_discount_over_100", "SELECT 1 AS x FROM order_items WHERE discount_percent > 100", None),
-    _rule("items_zero_quantity", "SELECT 1 AS x FROM order_items WHERE quantity = 0", None),
+          "SELECT order_id FROM order_items_dirty ANTI JOIN orders_v USING (order_id)", "order_id"),
+    _rule("items_negative_quantity", "SELECT 1 AS x FROM order_items_dirty WHERE quantity < 0", None),
+    _rule("items_discount_over_100", "SELECT 1 AS x FROM order_items_dirty WHERE discount_percent > 100", None),
+    _rule("items_zero_quantity", "SELECT 1 AS x FROM order_items_dirty WHERE quantity = 0", None),
     _rule("orders_in_future",
           f"SELECT order_id FROM orders_v WHERE order_date > TIMESTAMP '{AS_OF}'", "order_id"),
     _rule("customers_repeated_key",
@@ -355,19 +345,22 @@ QUALITY_SQL = {
 SELECT customer_id, email FROM customers
 WHERE NOT regexp_matches(COALESCE(email, ''), '^[^@\s]+@[^@\s]+\.[^@\s]+$')""", "customers"),
     "dq_orphans": with_views("""
-SELECT order_id, product_id, line_number FROM order_items oi
-WHERE NOT EXISTS (SELECT 1 FROM orders_v o WHERE o.order_id = oi.order_id)""",
-                             "order_items", "orders_v"),
+SELECT order_id, product_id, line_number FROM order_items_dirty ANTI JOIN orders_v USING (order_id)""",
+                             "order_items_dirty", "orders_v"),
     "dq_discount": with_views("""
-SELECT order_id, product_id, line_number, discount_percent FROM order_items
-WHERE discount_percent > 100""", "order_items"),
+SELECT order_id, product_id, line_number, discount_percent FROM order_items_dirty
+WHERE discount_percent > 100""", "order_items_dirty"),
     "dq_zero_qty": with_views("""
-SELECT order_id, product_id, line_number, quantity FROM order_items WHERE quantity = 0""",
-                              "order_items"),
+SELECT order_id, product_id, line_number, quantity FROM order_items_dirty WHERE quantity = 0""",
+                              "order_items_dirty"),
+    "items_revenue": with_views(f"""
+SELECT order_id, product_id, line_number,
+       {money("CAST(quantity AS DECIMAL(18,0)) * CAST(unit_price AS DECIMAL(18,2)) * (100 - CAST(discount_percent AS DECIMAL(9,2))) / 100", 4)} AS revenue
+FROM order_items_dirty""", "order_items_dirty"),
     "dq_future": with_views(f"""
 SELECT order_id, order_date FROM orders_v WHERE order_date > TIMESTAMP '{AS_OF}'""", "orders_v"),
     "dq_report": with_views("\nUNION ALL\n".join(_rules),
-                            "orders_dirty", "customers", "order_items", "orders_v"),
+                            "orders_dirty", "customers", "order_items_dirty", "orders_v"),
 }
 
 SOURCES_SQL = {
@@ -375,6 +368,9 @@ SOURCES_SQL = {
     "csv_null_policy": with_views("""
 SELECT order_id, NULLIF(customer_id, '') AS customer_id, order_date, status FROM orders_dirty""",
                                   "orders_dirty"),
+    "csv_inferred": with_views("""
+SELECT CAST(product_id AS INTEGER) AS product_id, category, cost_price FROM products""", "products"),
+    "scan_limit": "SELECT * FROM customer ORDER BY c_custkey LIMIT 100",
     "parquet_roundtrip": _sales("SELECT * FROM sales"),
     "load_counts": with_views("""
 SELECT 'customers' AS table_name, COUNT(*) AS row_count FROM customers
@@ -434,5 +430,17 @@ SELECT CAST(1 AS BIGINT), 'MERGE', COUNT(*) FILTER (WHERE op = 'insert'),
        COUNT(*) FILTER (WHERE op = 'update'), COUNT(*) FROM res"""),
 }
 
+_TWO = """tgt AS (SELECT order_id, SUM(CAST(sales AS DECIMAL(30,8))) AS s, SUM(CAST(profit AS DECIMAL(30,8))) AS p
+        FROM sales GROUP BY order_id),
+t2 AS (SELECT order_id, CAST(ROUND(s, 2) AS DOUBLE) AS sales, CAST(ROUND(p, 2) AS DOUBLE) AS profit FROM tgt),
+b2 AS (SELECT order_id, CAST(ROUND(CAST(sales AS DECIMAL(18,2)) * CAST(1.1 AS DECIMAL(4,2)), 2) AS DOUBLE) AS sales,
+              CAST(ROUND(CAST(profit AS DECIMAL(18,2)) * CAST(1.1 AS DECIMAL(4,2)), 2) AS DOUBLE) AS profit
+       FROM t2 WHERE order_id % 75 = 0
+       UNION ALL
+       SELECT order_id + (SELECT MAX(order_id) FROM t2) + 1, sales, profit FROM t2 WHERE order_id % 100 = 1)"""
+MERGE_SQL["merge_two_columns"] = _sales(f"""
+WITH {_TWO}
+SELECT * FROM b2 UNION ALL SELECT * FROM t2 ANTI JOIN b2 USING (order_id)""")
+
 MORE_SQL = {**CUSTOMER_SALES_SQL, **SALES_SQL, **PARSED_SQL, **PROFILE_CLEAN_SQL, **QUALITY_SQL,
             **SOURCES_SQL, **MERGE_SQL}

@@ -45,7 +45,8 @@ VIEW_SQL: dict[str, str] = {
         SELECT l_orderkey AS order_id, o_orderdate AS order_date, l_shipdate AS ship_date,
                o_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS segment,
                g.n_name AS city, g.r_name AS region, l_partkey AS product_id,
-               p_name AS product_name, p_type AS category, l_extendedprice AS sales,
+               p_name AS product_name, p_type AS category,
+               CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) AS sales,
                CAST(l_quantity AS INTEGER) AS quantity, l_discount AS discount,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
                     - CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS DECIMAL(18,0)) AS DOUBLE) AS profit
@@ -60,7 +61,7 @@ VIEW_SQL: dict[str, str] = {
                segment, city, region, product_id, product_name, category,
                CASE WHEN product_id % 50 = 0 THEN 'null' WHEN product_id % 50 = 1 THEN ''
                     WHEN product_id % 50 = 2 THEN 'NULL'
-                    ELSE CAST(CAST(sales AS DECIMAL(18,2)) AS VARCHAR) END AS sales,
+                    ELSE CAST(CAST(sales AS DECIMAL(18,4)) AS VARCHAR) END AS sales,
                quantity, discount, profit
         FROM sales""",
     "orders_dirty": """
@@ -85,7 +86,8 @@ VIEW_SQL: dict[str, str] = {
 
 VIEW_SQL["order_lines"] = """
         SELECT l_orderkey AS order_id, o_custkey AS customer_id, l_partkey AS product_id,
-               CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS sales
+               CAST(l_quantity AS INTEGER) AS quantity,
+               CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) AS sales
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 VIEW_SQL["customer_names"] = """
         SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer"""
@@ -97,7 +99,24 @@ VIEW_SQL["mixed_date_text"] = """
                END AS order_date
         FROM orders"""
 
+VIEW_SQL["orders_clean"] = """
+        SELECT d.order_id, TRY_CAST(NULLIF(d.customer_id, '') AS BIGINT) AS customer_id,
+               COALESCE(TRY_STRPTIME(d.order_date, '%Y-%m-%d %H:%M:%S'),
+                        TRY_STRPTIME(d.order_date, '%d-%m-%Y')) AS order_date,
+               d.status, g.r_name AS region_code
+        FROM orders_dirty d LEFT JOIN geo g ON TRY_CAST(NULLIF(d.customer_id, '') AS BIGINT) = g.c_custkey"""
+VIEW_SQL["order_items_dirty"] = """
+        SELECT CASE WHEN l_orderkey % 211 = 5 THEN l_orderkey + 1000000000 ELSE l_orderkey END AS order_id,
+               l_partkey AS product_id, l_linenumber AS line_number,
+               CASE WHEN l_partkey % 50 = 3 THEN 0
+                    ELSE CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS INTEGER) END AS quantity,
+               l_extendedprice AS unit_price,
+               CASE WHEN l_suppkey % 10 = 7 THEN CAST(150.0 AS DOUBLE)
+                    ELSE ROUND(l_discount * CAST(100.0 AS DOUBLE), 2) END AS discount_percent
+        FROM lineitem"""
+
 VIEW_DEPS = {
+    "orders_clean": ["orders_dirty", "geo"],
     "orders_v": ["geo"],
     "sales": ["geo"],
     "sales_dirty": ["sales"],

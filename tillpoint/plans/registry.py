@@ -36,15 +36,13 @@ def _category_revenue(spark, sf):
 
 @register("sql_category_revenue")
 def _sql_category_revenue(spark, sf):
-    """The same report as SQL text over temp views (S4)."""
+    """The same report as SQL text (S4): lines are summed per product before they meet it."""
     t = _t(spark, sf)
-    V.order_items(t).createOrReplaceTempView("order_items")
-    V.products(t).createOrReplaceTempView("products")
     return spark.sql("""
-        SELECT p.category, CAST(ROUND(SUM(oi.revenue), 2) AS DOUBLE) AS total_revenue
-        FROM order_items oi JOIN products p ON p.product_id = oi.product_id
-        GROUP BY p.category
-        ORDER BY total_revenue DESC""")
+        WITH sold AS (SELECT product_id, sum(revenue) AS amount FROM {items} GROUP BY product_id)
+        SELECT category, CAST(round(sum(amount), 2) AS DOUBLE) AS total_revenue
+        FROM sold INNER JOIN {products} USING (product_id)
+        GROUP BY category ORDER BY 2 DESC, 1""", items=V.order_items(t), products=V.products(t))
 
 
 @register("top10_customers")
@@ -141,11 +139,63 @@ def _period_report(spark, sf):
                            P.PERIOD_START, P.PERIOD_END)
 
 
-@register("period_report_weekly")
-def _period_report_weekly(spark, sf):
+def _period_for(kind):
+    def query(spark, sf):
+        t = _t(spark, sf)
+        return R.period_report_for(V.order_items(t), V.orders(t), V.products(t), kind,
+                                   P.REPORT_ANCHOR)
+    return query
+
+
+for _kind in R.REPORT_DAYS:
+    QUERIES[f"period_report_{_kind}"] = _period_for(_kind)
+
+
+# The reports as the raw pipeline feeds them: cleaned orders with NULL customers and dates.
+
+@register("clean_top10_customers")
+def _clean_top10_customers(spark, sf):
+    t = _t(spark, sf)
+    return R.top_customers(V.order_items(t), V.orders_clean(t), 10)
+
+
+@register("clean_monthly_orders_12m")
+def _clean_monthly_orders_12m(spark, sf):
+    return R.monthly_orders_last_12m(V.orders_clean(_t(spark, sf)))
+
+
+@register("clean_never_delivered")
+def _clean_never_delivered(spark, sf):
+    return R.never_delivered(V.orders_clean(_t(spark, sf)))
+
+
+@register("clean_running_revenue")
+def _clean_running_revenue(spark, sf):
+    t = _t(spark, sf)
+    return R.running_revenue(V.order_items(t), V.orders_clean(t))
+
+
+@register("clean_order_gaps")
+def _clean_order_gaps(spark, sf):
+    return R.order_gaps(V.orders_clean(_t(spark, sf)), risk_days=P.RISK_DAYS)
+
+
+@register("clean_revenue_tiers")
+def _clean_revenue_tiers(spark, sf):
+    t = _t(spark, sf)
+    return R.revenue_tiers(V.order_items(t), V.orders_clean(t), P.HIGH_TIER, P.MEDIUM_TIER)
+
+
+@register("clean_yoy_revenue")
+def _clean_yoy_revenue(spark, sf):
+    t = _t(spark, sf)
+    return R.yoy_revenue(V.order_items(t), V.orders_clean(t))
+
+
+@register("clean_cohort_retention")
+def _clean_cohort_retention(spark, sf):
     t = _t(spark, sf)
-    return R.period_report_for(V.order_items(t), V.orders(t), V.products(t), "weekly",
-                               P.REPORT_ANCHOR)
+    return R.cohort_retention(V.orders_clean(t), V.customers(t))
 
 
 # -- customer sales statements ---------------------------------------------------------------
@@ -316,7 +366,7 @@ def _top10_products(spark, sf):
 
 @register("profile_shape")
 def _profile_shape(spark, sf):
-    return S.shape(_sales(spark, sf))
+    return PR.shape(_sales(spark, sf))
 
 
 @register("dup_groups")
@@ -539,19 +589,19 @@ def _dq_email(spark, sf):
 @register("dq_orphans")
 def _dq_orphans(spark, sf):
     t = _t(spark, sf)
-    return Q.orphans(V.order_items(t), V.orders(t), "order_id").select(
+    return Q.orphans(V.order_items_dirty(t), V.orders(t), "order_id").select(
         "order_id", "product_id", "line_number")
 
 
 @register("dq_discount")
 def _dq_discount(spark, sf):
-    return Q.discount_over_100(V.order_items(_t(spark, sf))).select(
+    return Q.discount_over_100(V.order_items_dirty(_t(spark, sf))).select(
         "order_id", "product_id", "line_number", "discount_percent")
 
 
 @register("dq_zero_qty")
 def _dq_zero_qty(spark, sf):
-    return Q.zero_quantity(V.order_items(_t(spark, sf))).select(
+    return Q.zero_quantity(V.order_items_dirty(_t(spark, sf))).select(
         "order_id", "product_id", "line_number", "quantity")
 
 
@@ -560,10 +610,17 @@ def _dq_future(spark, sf):
     return Q.future_orders(V.orders(_t(spark, sf)), AS_OF).select("order_id", "order_date")
 
 
+@register("items_revenue")
+def _items_revenue(spark, sf):
+    from tillpoint.functions.exprs import money
+    return V.order_items_dirty(_t(spark, sf)).select(
+        "order_id", "product_id", "line_number", money("revenue", 4).alias("revenue"))
+
+
 @register("dq_report")
 def _dq_report(spark, sf):
     t = _t(spark, sf)
-    return Q.dq_report(C.clean_orders(V.orders_dirty(t)), V.customers(t), V.order_items(t),
+    return Q.dq_report(C.clean_orders(V.orders_dirty(t)), V.customers(t), V.order_items_dirty(t),
                        V.orders(t), AS_OF)
 
 
@@ -576,7 +633,19 @@ from tillpoint.sources import files as FS  # noqa: E402
 def _csv_roundtrip(spark, sf):
     df = V.products_dirty(_t(spark, sf))
     path = FS.write_csv(df, FS.scratch_path(spark, "products-csv"))
-    return FS.read_csv(spark, path, schema=df.schema)
+    return FS.read_csv(spark, path, schema=df.schema, multi_line=True)  # names with line breaks
+
+
+@register("csv_inferred")
+def _csv_inferred(spark, sf):
+    df = V.products(_t(spark, sf)).select("product_id", "category", "cost_price")
+    path = FS.write_csv(df, FS.scratch_path(spark, "products-inferred"))
+    return FS.read_csv(spark, path, infer=True)
+
+
+@register("scan_limit")
+def _scan_limit(spark, sf):
+    return _t(spark, sf).customer.orderBy("c_custkey").limit(100)
 
 
 @register("csv_null_policy")
@@ -628,9 +697,21 @@ def _merge_upsert(spark, sf):
     return M.merged(_merge(spark, sf)[2])
 
 
+@register("merge_two_columns")
+def _merge_two_columns(spark, sf):
+    """A batch that revises sales and profit of an order."""
+    from tillpoint.functions.exprs import dec, money
+    from pyspark.sql import functions as F
+    target = _sales(spark, sf).groupBy("order_id").agg(
+        *[money(F.sum(dec(c))).alias(c) for c in ("sales", "profit")])
+    return M.merged(M.upsert(target, M.make_batch(target, "order_id", ["sales", "profit"]),
+                             "order_id"))
+
+
 @register("merge_changes")
 def _merge_changes(spark, sf):
-    return M.changes(_merge(spark, sf)[2], "order_id", "total_price")
+    target, batch, _ = _merge(spark, sf)
+    return M.changes(M.feed(target, batch, "order_id"), "order_id", "total_price")
 
 
 @register("merge_validation")
@@ -639,10 +720,19 @@ def _merge_validation(spark, sf):
     return M.validation(target, result, batch, "order_id", "total_price")
 
 
+def _loaded(spark, sf):
+    target = V.orders(_t(spark, sf))
+    table = FS.VersionedTable(spark, FS.scratch_path(spark, "orders-versions"))
+    table.write_initial(target, "order_id")
+    return table
+
+
 @register("merge_history")
 def _merge_history(spark, sf):
-    target, _, result = _merge(spark, sf)
-    return M.history(target, result)
+    """The log of a versioned table after one merge, read from its commit records."""
+    table = _loaded(spark, sf)
+    table.merge(M.make_batch(table.read(0), "order_id", "total_price"), "order_id")
+    return table.history()
 
 
 @register("merge_stream")
@@ -650,16 +740,12 @@ def _merge_stream(spark, sf):
     """The same upsert, applied by a file stream with foreachBatch onto a versioned table."""
     import os
 
-    from tillpoint.sources.files import VersionedTable, scratch_path, write_parquet
     from tillpoint.streaming.incremental import run_upserts
 
-    target = V.orders(_t(spark, sf))
-    root = scratch_path(spark, "orders-versions")
-    table = VersionedTable(spark, root)
-    table.write_initial(target)
-    batches = scratch_path(spark, "orders-batches")
-    write_parquet(M.make_batch(table.read(0), "order_id", "total_price"),
-                  os.path.join(batches, "batch-0001"))
+    table = _loaded(spark, sf)
+    batches = FS.scratch_path(spark, "orders-batches")
+    FS.write_parquet(M.make_batch(table.read(0), "order_id", "total_price"),
+                     os.path.join(batches, "batch-0001"))
     schema = table.read(0).schema
     version = run_upserts(spark, os.path.join(batches, "*"), table, "order_id", schema)
     return table.read(version)

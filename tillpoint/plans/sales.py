@@ -1,8 +1,8 @@
 """Single-table statements over the denormalised sales line table.
 
 Filters, global and grouped aggregates, HAVING, top-n, duplicate groups, and the
-clean-then-aggregate pipeline over raw sales text.  Money is summed as DECIMAL; averages
-are the exact sum divided by the count, rounded half-up.
+clean-then-aggregate pipeline over raw sales text.  Money is summed as DECIMAL with six
+digits; totals and averages are rounded half-up to four digits at the very end.
 """
 
 from __future__ import annotations
@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 from tillpoint.functions.exprs import dec, money, round_half_up
 from tillpoint.operators import clean as C
 
-AVG_DIGITS = 4
+DIGITS = 4
 
 
-def avg_money(col: str, digits: int = AVG_DIGITS) -> Column:
-    """Exact average of a 2-decimal amount (NULLs skipped), rounded half-up."""
+def avg_money(col: str, digits: int = DIGITS) -> Column:
+    """Exact sum over count (NULLs skipped), rounded half-up."""
     return round_half_up(F.sum(dec(col)).cast("double") / F.count(col).cast("double"), digits)
 
 
-def sum_money(col: str, scale: int = 2) -> Column:
-    return money(F.sum(dec(col, 18, scale)))
+def sum_money(col: str, digits: int = DIGITS) -> Column:
+    return money(F.sum(dec(col)), digits)
 
 
 def filter_eq(df: DataFrame, col: str, value) -> DataFrame:
@@ -42,9 +42,8 @@ def sales_totals(df: DataFrame) -> DataFrame:
                   avg_money("sales").alias("average_sales"))
 
 
-def sum_by(df: DataFrame, key: str, col: str = "sales", out: str = "total_sales",
-           scale: int = 2) -> DataFrame:
-    return df.groupBy(key).agg(sum_money(col, scale).alias(out))
+def sum_by(df: DataFrame, key: str, col: str = "sales", out: str = "total_sales") -> DataFrame:
+    return df.groupBy(key).agg(sum_money(col).alias(out))
 
 
 def avg_by(df: DataFrame, key: str, col: str = "sales", out: str = "average_sales") -> DataFrame:
@@ -70,7 +69,7 @@ def top_n_by_sales(df: DataFrame, key: str, n: int = 10) -> DataFrame:
 
 
 def profit_by_region(df: DataFrame) -> DataFrame:
-    return (sum_by(df, "region", "profit", "profit", scale=4)
+    return (sum_by(df, "region", "profit", "profit")
             .orderBy(F.col("profit").desc(), "region"))
 
 
@@ -79,11 +78,6 @@ def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("duplicate_count") > 1))
 
 
-def shape(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        "row_count", F.lit(len(df.columns)).cast("bigint").alias("column_count"))
-
-
 # -- raw sales text (A5 pipeline) ----------------------------------------------------------
 
 def parsed(dirty: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from tillpoint.operators.persist import materialize
 from tillpoint.session import checkpoint_dir
 
-# CSV options that keep text exactly as written: no trimming, quoted line breaks allowed.
+# CSV options that keep text exactly as written: no trimming.
 _KEEP_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -33,10 +33,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True, null_value: str | None = None,
-             infer: bool = False) -> DataFrame:
+             infer: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV with a header.  With ``schema`` the types are explicit (no inference job);
-    ``null_value=""`` makes only the empty field NULL, so a text such as ``NA`` survives."""
-    r = (spark.read.option("header", header).option("multiLine", "true")
+    ``null_value=""`` makes only the empty field NULL, so a text such as ``NA`` survives.
+    Large files are split over tasks; ``multi_line`` reads quoted line breaks, but then a file
+    is one task."""
+    r = (spark.read.option("header", header).option("multiLine", multi_line)
          .options(**_KEEP_TEXT))
     if null_value is not None:
         r = r.option("nullValue", null_value)
@@ -77,76 +79,117 @@ def append_distinct(target_path: str, raw: DataFrame, cols: list[str]) -> DataFr
 
 
 class VersionedTable:
-    """A table kept as one Parquet folder per version under ``root/version=<n>``.
+    """A keyed table with versions, kept as Parquet folders that are never changed.
 
-    A merge reads version n and writes version n + 1 (never overwriting what it reads);
-    the change feed of each version is kept beside it under ``root/_changes/version=<n>``.
+    Rows lie in ``parts`` hash parts of the key.  A version stores the parts its batch touches
+    (``data/version=<n>/part=<p>``) and takes every other part from the newest version below it.
+    The change feed is in ``changes/version=<n>``.  The commit record, written last in
+    ``commits/version=<n>``, makes the version exist: without its ``_SUCCESS`` file
+    whatever a dead writer left is ignored and overwritten.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    COMMIT = ("version long, operation string, rows_inserted long, rows_updated long, "
+              "rows_total long, batch string, parts array<int>, key string, n_parts int")
 
-    def _vpath(self, n: int) -> str:
-        return os.path.join(self.root, f"version={n}")
+    def __init__(self, spark: SparkSession, root: str, key: str | None = None, parts: int = 16):
+        self.spark, self.root, self.key, self.parts = spark, root, key, parts
+
+    def _path(self, kind: str, version: int) -> str:
+        return os.path.join(self.root, kind, f"version={version}")
 
     def versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        fs_path = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(fs_path):
+        """Committed versions, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, "commits"))
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
             return []
-        out = []
-        for st in fs.listStatus(fs_path):
-            name = st.getPath().getName()
-            if name.startswith("version="):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+        found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("version=")]
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(int(p.getName().split("=")[1]) for p in found
+                      if fs.exists(done(p, "_SUCCESS")))
 
     def latest(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest() if version is None else version
-        return self.spark.read.parquet(self._vpath(v))
-
-    def write_initial(self, df: DataFrame) -> int:
-        write_parquet(df, self._vpath(0))
-        ch = df.select(F.lit("insert").alias("op"), *df.columns)
-        write_parquet(ch, os.path.join(self.root, "_changes", "version=0"))
-        return 0
+    def _commits(self, upto: int) -> list:
+        have = [v for v in self.versions() if v <= upto]
+        if upto not in have:
+            raise ValueError(f"no version {upto}; committed: {have}")
+        return self.spark.read.schema(self.COMMIT).parquet(
+            *[self._path("commits", v) for v in have]).orderBy("version").collect()
 
-    def merge(self, batch: DataFrame, key: str, target: int | None = None) -> int:
-        """Upsert ``batch`` into the latest version below ``target`` and write ``target``
-        (default: latest + 1).
+    def _newest(self, version: int) -> dict[int, str]:
+        """Folder of every part as of a version."""
+        return {p: os.path.join(self._path("data", c["version"]), f"part={p}")
+                for c in self._commits(version) for p in c["parts"]}
 
-        Writing a fixed target version makes a replay idempotent: running the same batch
-        for the same target again reads the same base and rewrites the same rows.
+    def read(self, version: int | None = None) -> DataFrame:
+        v = self.latest() if version is None else version
+        if v is None:
+            raise ValueError("the table has no version yet")
+        paths = sorted(self._newest(v).values())
+        empty = self.spark.read.parquet(os.path.join(self.root, "schema"))
+        return self.spark.read.schema(empty.schema).parquet(*paths) if paths else empty
+
+    def _part(self, key: str, parts: int):
+        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+    def _write(self, rows: DataFrame, feed: DataFrame, version: int, operation: str, key: str,
+               n_parts: int, replaced: list[int], before: int, batch: str | None) -> int:
+        write_parquet(feed, self._path("changes", version))
+        (rows.withColumn("part", self._part(key, n_parts)).write.mode("overwrite")
+         .partitionBy("part").parquet(self._path("data", version)))
+        done = self.spark.read.parquet(self._path("changes", version)).agg(
+            F.count_if(F.col("op") == "insert"), F.count_if(F.col("op") == "update")).first()
+        commit = [(version, operation, done[0], done[1], before + done[0], batch, replaced, key,
+                   n_parts)]
+        write_parquet(self.spark.createDataFrame(commit, self.COMMIT).coalesce(1),
+                      self._path("commits", version))
+        return version
+
+    def write_initial(self, df: DataFrame, key: str | None = None) -> int:
+        key = key or self.key or df.columns[0]
+        write_parquet(df.limit(0), os.path.join(self.root, "schema"))
+        held = materialize(df.withColumn("part", self._part(key, self.parts)), "version-0")
+        present = sorted(r[0] for r in held.select("part").distinct().collect())
+        rows = held.drop("part")
+        return self._write(rows, rows.select(F.lit("insert").alias("op"), *df.columns), 0, "WRITE",
+                           key, self.parts, present, 0, None)
+
+    def merge(self, batch: DataFrame, key: str, batch_id: str | None = None) -> int:
+        """Upsert ``batch`` into the newest version and commit the next one.
+
+        A ``batch_id`` that a committed version already carries is not applied again: that
+        version is returned, whatever happened to the caller's own bookkeeping since.
         """
-        from tillpoint.operators.merge import merged, upsert
-
-        have = self.versions()
-        nxt = (have[-1] + 1) if target is None else target
-        below = [v for v in have if v < nxt]
-        if not below:
-            raise ValueError(f"no version below {nxt} to merge into")
-        cur = below[-1]
-        # Written once: the change feed and the new version both read it, so the full outer
-        # join runs once.
-        result = materialize(upsert(self.read(cur), batch, key), "merge-result")
-        # Write the change feed first from the same result; the new version is committed
-        # by the folder appearing, so a failed job leaves the previous version current.
-        feed = result.filter(F.col("_op") != "unchanged").select(
-            F.col("_op").alias("op"), *[c for c in result.columns if not c.startswith("_")])
-        write_parquet(feed, os.path.join(self.root, "_changes", f"version={nxt}"))
-        write_parquet(merged(result), self._vpath(nxt))
-        return nxt
+        from tillpoint.operators.merge import feed, merged, upsert
+
+        now = self.latest()
+        if now is None:
+            raise ValueError("write the initial version of the table first")
+        commits = self._commits(now)
+        if batch_id is not None:
+            for c in commits:
+                if c["batch"] == batch_id:
+                    return c["version"]
+        if commits[0]["key"] != key:
+            raise ValueError(f"the table is keyed by {commits[0]['key']}")
+        n_parts, before = commits[0]["n_parts"], commits[-1]["rows_total"]
+        batch = materialize(batch, "merge-batch")
+        touched = sorted(r[0] for r in batch.select(self._part(key, n_parts)).distinct().collect())
+        have = self._newest(now)
+        paths = [have[p] for p in touched if p in have]
+        empty = self.spark.read.parquet(os.path.join(self.root, "schema"))
+        current = self.spark.read.schema(empty.schema).parquet(*paths) if paths else empty
+        changed = materialize(feed(current, batch, key), "merge-feed")
+        log = changed.select(F.col("_op").alias("op"), *empty.columns)
+        return self._write(merged(upsert(current, batch, key, check_unique=False)), log, now + 1,
+                           "MERGE", key, n_parts, touched, before, batch_id)
 
     def history(self) -> DataFrame:
-        ch = self.spark.read.parquet(os.path.join(self.root, "_changes"))
-        return (ch.groupBy("version").agg(
-            F.count_if(F.col("op") == "insert").alias("rows_inserted"),
-            F.count_if(F.col("op") == "update").alias("rows_updated"))
-            .withColumn("operation", F.when(F.col("version") == 0, F.lit("WRITE"))
-                        .otherwise(F.lit("MERGE")))
-            .orderBy("version"))
+        """Version log: version, operation, rows_inserted, rows_updated, rows_total."""
+        return (self.spark.read.schema(self.COMMIT)
+                .parquet(*[self._path("commits", v) for v in self.versions()])
+                .select("version", "operation", "rows_inserted", "rows_updated", "rows_total")
+                .orderBy("version"))

@@ -21,52 +21,16 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# A file this large read as fewer splits than there are cores is spread over the cores.
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.getContentSummary(jvm_path).getLength()
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Parquet reader; an under-split input is spread over the cores.
-
-    Parquet splits at row-group boundaries, so a large file written as one row group is read
-    by one task and everything up to the first shuffle (projections, broadcast joins, partial
-    aggregation) runs single-threaded.  When the scan has fewer splits than the default
-    parallelism and the data is large, a hash ``repartition`` on the leading key column
-    spreads the rows.  On a
-    cluster reading many files the scan already has thousands of splits and nothing is added.
-    Column pruning and filters are still pushed below the repartition into the scan.
-    """
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet reader of one table; Spark splits files into tasks by size."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and _size(spark, path) >= SPREAD_MIN_BYTES:
-            # Hash on the leading key column: deterministic on a retried task without the
-            # per-row sort a round-robin repartition needs for that.
-            df = df.repartition(cores, df.columns[0])
-    return df
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 # Readers are plain logical plans over immutable input files; building one lists the files
 # and reads the footers (about a quarter second each), so they are kept per session.
 _READERS: dict[tuple, DataFrame] = {}
-_SIZES: dict[tuple, int] = {}
-
-
-def _bytes(text: str) -> int:
-    t = str(text).strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if t and t[-1] in mult:
-        return int(float(t[:-1]) * mult[t[-1]])
-    return int(t)
 
 
 class Tables:
@@ -83,16 +47,3 @@ class Tables:
         if key not in _READERS:
             _READERS[key] = read_table(self.spark, self.sf_dir, name)
         return _READERS[key]
-
-    def size(self, name: str) -> int:
-        """Bytes on disk of a table (cached per session)."""
-        key = (id(self.spark), self.spark.sparkContext.applicationId, self.sf_dir, name, "size")
-        if key not in _SIZES:
-            _SIZES[key] = _size(self.spark, table_path(self.sf_dir, name))
-        return _SIZES[key]
-
-    def broadcastable(self, *names: str, expansion: int = 3) -> bool:
-        """True when the tables, expanded from their compressed size, fit under Spark's
-        broadcast threshold together: a proven bound for an explicit broadcast."""
-        limit = _bytes(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-        return limit > 0 and sum(self.size(n) for n in names) * expansion <= limit

@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.functions.exprs import dec
+from tillpoint.functions.exprs import dec, line_revenue
+from tillpoint.operators.clean import clean_orders
 from tillpoint.sources.tables import Tables
 
 # Order status codes of the test tables and their retail names.
@@ -36,8 +37,13 @@ def _status(code: Column) -> Column:
     return out.otherwise(code)
 
 
+def _net(price: Column, discount: Column) -> Column:
+    """Price after discount: an amount with four decimals."""
+    return dec(price, 18, 2) * (F.lit(1).cast("decimal(1,0)") - dec(discount, 4, 2))
+
+
 def _signed_revenue(flag: Column, price: Column, discount: Column) -> Column:
-    amount = dec(price, 18, 2) * (F.lit(1).cast("decimal(1,0)") - dec(discount, 4, 2))
+    amount = _net(price, discount)
     return F.when(flag == "R", -amount).otherwise(amount)
 
 
@@ -121,17 +127,12 @@ def sales(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey").join(
         geo, F.col("c_nationkey") == F.col("n_nationkey"))
     p = t.part.select("p_partkey", "p_name", "p_type", "p_retailprice")
-    net = dec("l_extendedprice", 18, 2) * (F.lit(1).cast("decimal(1,0)") - dec("l_discount", 4, 2))
+    net = _net(F.col("l_extendedprice"), F.col("l_discount"))
     cost = dec("p_retailprice", 18, 2) * dec("l_quantity", 18, 0)
-    if t.broadcastable("orders", "customer"):
-        # Proven small (checked file sizes): both sides are broadcast into the line scan.
-        joined = (li.join(F.broadcast(o), F.col("l_orderkey") == F.col("o_orderkey"))
-                  .join(F.broadcast(c), F.col("o_custkey") == F.col("c_custkey")))
-    else:
-        # Orders meet customers and geography first (an orders-sized join); the line items
-        # are then shuffled once by order key and once by part key, not again by customer.
-        oc = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-        joined = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Orders meet customers and geography first (an orders-sized join), so lines are shuffled
+    # once by order key and once by part key; AQE broadcasts what turns out to be small.
+    oc = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    joined = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
     return (joined.join(p, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("l_orderkey").alias("order_id"),
@@ -145,7 +146,7 @@ def sales(t: Tables) -> DataFrame:
                 F.col("l_partkey").alias("product_id"),
                 F.col("p_name").alias("product_name"),
                 F.col("p_type").alias("category"),
-                F.col("l_extendedprice").alias("sales"),
+                net.cast("double").alias("sales"),
                 F.col("l_quantity").cast("int").alias("quantity"),
                 F.col("l_discount").alias("discount"),
                 (net - cost).cast("double").alias("profit"),
@@ -159,7 +160,7 @@ def sales_dirty(t: Tables) -> DataFrame:
     ok = F.pmod(F.col("order_id"), F.lit(20))
     sales_text = (F.when(pk == 0, F.lit("null")).when(pk == 1, F.lit(""))
                   .when(pk == 2, F.lit("NULL"))
-                  .otherwise(dec("sales", 18, 2).cast("string")))
+                  .otherwise(dec("sales", 18, 4).cast("string")))
     name = (F.when(ok == 0, F.lit(None).cast("string")).when(ok == 1, F.lit("  "))
             .otherwise(F.col("customer_name")))
     return s.withColumn("sales", sales_text).withColumn("customer_name", name)
@@ -178,6 +179,37 @@ def orders_dirty(t: Tables) -> DataFrame:
                     "status")
 
 
+def orders_clean(t: Tables) -> DataFrame:
+    """``orders_dirty`` after cleaning, as the reports meet it: NULL customers and dates.
+
+    The region of an order comes from its customer; orders without one have none.
+    """
+    o = clean_orders(orders_dirty(t)).withColumn("customer_id", F.col("customer_id").cast("bigint"))
+    cr = customer_regions(t).select("c_custkey", F.col("r_name").alias("region_code"))
+    return (o.join(cr, F.col("customer_id") == F.col("c_custkey"), "left")
+            .select("order_id", "customer_id", "order_date", "status", "region_code"))
+
+
+def order_items_dirty(t: Tables) -> DataFrame:
+    """Order items with orphans, discounts of 150 % and quantities of 0, by modulo rules.
+
+    The unit price is the line's price, and the revenue follows the general formula.
+    """
+    li = t.lineitem
+    sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
+    lost = F.pmod(F.col("l_orderkey"), F.lit(211)) == 5
+    items = li.select(
+        F.when(lost, F.col("l_orderkey") + 1_000_000_000).otherwise(F.col("l_orderkey"))
+        .alias("order_id"),
+        F.col("l_partkey").alias("product_id"), F.col("l_linenumber").alias("line_number"),
+        F.when(F.pmod(F.col("l_partkey"), F.lit(50)) == 3, F.lit(0))
+        .otherwise((sign * F.col("l_quantity")).cast("int")).alias("quantity"),
+        F.col("l_extendedprice").alias("unit_price"),
+        F.when(F.pmod(F.col("l_suppkey"), F.lit(10)) == 7, F.lit(150.0))
+        .otherwise(F.round(F.col("l_discount") * F.lit(100.0), 2)).alias("discount_percent"))
+    return items.withColumn("revenue", line_revenue())
+
+
 def products_dirty(t: Tables) -> DataFrame:
     """Product names padded with spaces / tabs, or in upper case, by product id."""
     p = products(t)
@@ -199,7 +231,7 @@ def order_lines(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("sales"),
+        _net(F.col("l_extendedprice"), F.col("l_discount")).cast("double").alias("sales"),
     )
 
 
