@@ -110,12 +110,20 @@ def viable_chain(difference: np.ndarray, segments: int, distance: int) -> np.nda
     return found
 
 
-def _meet(segments: int, distance: int, bucket_limit: int):
-    """Rows (k, fp) sorted by k to verified pairs (a, b) of one k; b is null for crowded ones."""
-    def verified(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _meet(segments: int, distance: int, masks: list[int], low: int, bucket_limit: int):
+    """Rows (k, fp) sorted by k to verified pairs (a, b) of one k; b is null for crowded ones.
+
+    The ``low`` last bits of k number its mask.  A pair that agrees under several masks is
+    reported under the first of them alone.
+    """
+    ordered = np.array(masks, np.uint64)
+
+    def verified(a, b, k) -> tuple[np.ndarray, np.ndarray]:
         x = (a ^ b).view(np.uint64)
         keep = np.flatnonzero(viable_chain(x, segments, distance))
         keep = keep[np.bitwise_count(x[keep]) <= distance]
+        first = ((x[keep, None] & ordered) == 0).argmax(axis=1)
+        keep = keep[first == (k[keep] & ((1 << low) - 1))]
         return np.minimum(a[keep], b[keep]), np.maximum(a[keep], b[keep])
 
     def batch(a, b=None) -> pa.RecordBatch:
@@ -145,14 +153,15 @@ def _meet(segments: int, distance: int, bucket_limit: int):
                 yield batch(fp[at:at + n])
                 crowded = k[at]
             two = first[(size == 2) & ~many]
-            left, right = [fp[two]], [fp[two + 1]]
+            left, right, key = [fp[two]], [fp[two + 1]], [k[two]]
             for at, n in zip(first[(size > 2) & ~many], size[(size > 2) & ~many]):
                 i, j = np.triu_indices(n, 1)
                 part = fp[at:at + n]
                 close = np.bitwise_count((part[i] ^ part[j]).view(np.uint64)) <= distance
                 left.append(part[i[close]])
                 right.append(part[j[close]])
-            yield batch(*verified(np.concatenate(left), np.concatenate(right)))
+                key.append(np.full(len(left[-1]), k[at]))
+            yield batch(*verified(*map(np.concatenate, (left, right, key))))
 
     return run
 
@@ -164,13 +173,16 @@ def links(fps: DataFrame, distance: int, segments: int, prefix: int,
     Every pair within ``distance`` bits is linked, directly or, in crowded buckets, through a
     third fingerprint; no pair beyond it is linked directly.
     """
-    masks = F.array(*[F.lit(_signed(m)) for m in chain_masks(segments, distance, prefix)])
-    filed = fps.select(F.explode(F.transform(
-        masks, lambda m: F.xxhash64(m, F.col("fp").bitwiseAND(m)))).alias("k"), "fp")
+    masks = chain_masks(segments, distance, prefix)
+    low = len(masks).bit_length()
+    listed = F.array(*[F.struct(F.lit(_signed(m)).alias("m"), F.lit(k).alias("k"))
+                       for k, m in enumerate(masks)])
+    filed = fps.select(F.explode(F.transform(listed, lambda x: F.shiftleft(F.xxhash64(
+        x["m"], F.col("fp").bitwiseAND(x["m"])), low).bitwiseOR(x["k"]))).alias("k"), "fp")
     met = materialize(
         filed.repartition(partitions(fps.sparkSession), "k").sortWithinPartitions("k")
-        .mapInArrow(_meet(segments, distance, bucket_limit), "a long, b long").distinct(),
-        "simhash-met")
+        .mapInArrow(_meet(segments, distance, masks, low, bucket_limit), "a long, b long")
+        .distinct(), "simhash-met")
     pairs = met.filter("b is not null")
 
     near, far = distance // 2, distance - distance // 2
