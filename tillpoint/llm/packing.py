@@ -51,7 +51,7 @@ class Words:
 
     _STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
