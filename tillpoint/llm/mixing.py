@@ -133,18 +133,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
     placed = materialize(
         rows.join(offsets, ["sk", "bucket"]).withColumn("start", F.col("offset") + own)
         .withColumn("fits", F.col("start") + F.col("size") <= F.col("rest"))
-        .select("doc_id", "sk", "size", "start", "fits", "source_size", "tier", "target", "passes",
-                "rest", "h"), "mix-placed")
+        .select("doc_id", "sk", "bucket", "size", "start", "fits", "source_size", "tier", "target",
+                "passes", "rest", "h"), "mix-placed")
 
     gaps = placed.groupBy("sk").agg(
         F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0)).alias("got"),
         F.max("rest").alias("most")).withColumn("gap", F.col("most") - F.col("got"))
-    nearest = (placed.filter("not fits and size > 0 and rest > 0").join(gaps, "sk")
+    # Documents meet what is known of their source by (source, bucket), which no source crowds.
+    places = cells.select("sk", "bucket")
+    nearest = (placed.filter("not fits and size > 0 and rest > 0")
+               .join(places.join(gaps, "sk"), ["sk", "bucket"])
                .withColumn("miss", F.abs(F.col("size") - F.col("gap")))
-               .filter(F.col("miss") < F.col("gap")).groupBy("sk")
-               .agg(F.min(F.struct("miss", "start", "size")).alias("extra")))
-    ends = materialize(gaps.join(nearest, "sk", "left").select(
-        "sk", "got", F.col("extra.start").alias("extra_start"),
+               .filter(F.col("miss") < F.col("gap")).groupBy("sk", "bucket")
+               .agg(F.min(F.struct("miss", "start", "size")).alias("extra"))
+               .groupBy("sk").agg(F.min("extra").alias("extra")))
+    ends = materialize(places.join(gaps.join(nearest, "sk", "left"), "sk").select(
+        "sk", "bucket", "got", F.col("extra.start").alias("extra_start"),
         F.coalesce("extra.size", F.lit(0)).alias("extra_size")), "mix-ends")
 
     is_extra = F.coalesce((F.col("start") == F.col("extra_start")) & (F.col("size") > 0),
@@ -163,7 +167,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
             out = F.when(F.col("tier") % len(schedules) == t, inverse(schedules[t], u)).otherwise(out)
         return out
 
-    result = (placed.join(ends, "sk").withColumn("is_extra", is_extra).withColumn("copies", copies)
+    result = (placed.join(ends, ["sk", "bucket"]).withColumn("is_extra", is_extra).withColumn("copies", copies)
               .withColumn("words", words)
               .withColumn("positions", F.when(F.col("copies") > 0, F.transform(
                   F.sequence(F.lit(0), F.col("copies") - 1), times))
