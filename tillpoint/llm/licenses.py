@@ -43,9 +43,10 @@ def detections(words: DataFrame) -> DataFrame:
     """
     spark = words.sparkSession
     known = rules()
-    listed = spark.createDataFrame(
-        [(k, r.label, r.kind, f" {r.keyword} ", f"(?<= )(?:{r.pattern})(?= )")
-         for k, r in enumerate(known)], "rule int, label string, kind string, keyword string, p string")
+    listed = spark.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(k).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.kind).alias("kind"),
+        F.lit(f" {r.keyword} ").alias("keyword"), F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("p"))
+        for k, r in enumerate(known)])))
     keywords = F.array(*[F.lit(f" {k} ") for k in sorted({r.keyword for r in known})])
     held = words.select("rid", "norm", F.explode(F.filter(
         keywords, lambda k: F.contains(F.col("norm"), k))).alias("keyword"))

@@ -68,9 +68,11 @@ def _pii(spark, sf):
 
 @register("op9_chat_formatting")
 def _chat(spark, sf):
-    control = "</s>[INST] ok [/INST]"  # fixed value: the conversation the contract adds
-    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)],
-                                  "conv_id long, turn long, role string, text string")
+    control = F.lit("</s>[INST] ok [/INST]")  # fixed value: the conversation the contract adds
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        control.alias("text"))
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return digest(format_chats(turns.unionByName(extra)))
 
