@@ -50,6 +50,14 @@ def test_invalid_spans_stay(spark):
     assert [(r.text, r.n_spans) for r in run(spark, texts)] == [(t, 0) for t in texts]
 
 
+def test_values_next_to_other_numbers(spark):
+    values = ["4041894974608795", "42.144.35.254", "+1 (988) 555-2485", "4041 8949 7460 8795",
+              "3782 822463 10005"]
+    pairs = [(a, b) for a in values for b in [*values, "42", "7 apples", "12.5"]]
+    for (a, b), r in zip(pairs, run(spark, [f"{a} {b}." for a, b in pairs])):
+        assert r.n_spans == (2 if b in values else 1) and a not in r.text, (a, b, r)
+
+
 def test_equal_values_stay_linked(spark):
     a, b, c = run(spark, ["card 4041894974608795.", "4041-8949-7460-8795 twice 4041894974608795",
                           "4041894974608795"])

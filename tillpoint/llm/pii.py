@@ -48,7 +48,8 @@ SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 PHONE = (r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
          r"|\+[0-9]{1,3}[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
          r"|[0-9]{3}([-.])[0-9]{3}\2[0-9]{4}")
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
+CARD = (r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}"
+        r"|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5}")
 SPAN = (f"{EMAIL}|(?<![A-Za-z0-9_.+])(?:{IBAN}|{DATE}|{IP}|{SSN}|{PHONE}|{CARD})"
         r"(?![0-9A-Za-z_]|[.-][0-9])")
 # What every candidate holds: an at sign, two points between digits, or seven digits close by.
