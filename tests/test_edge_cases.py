@@ -73,3 +73,24 @@ def test_dq_report_sample_is_numeric_order_and_bounded(spark):
     assert ids == list(range(2, 42, 2))
     assert rep["customers_repeated_key"]["n_bad"] == 1
     assert rep["items_without_order"]["n_bad"] == 0
+
+
+def test_scratch_folder_must_be_named_off_local_mode(tmp_path):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tillpoint.session import checkpoint_dir
+
+    def session(master, named=None, known=None):
+        option = SimpleNamespace(isDefined=lambda: known is not None, get=lambda: known)
+        sc = SimpleNamespace(getCheckpointDir=lambda: option)
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: named or default),
+            sparkContext=SimpleNamespace(master=master, setCheckpointDir=lambda p: None,
+                                         _jsc=SimpleNamespace(sc=lambda: sc)))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session("yarn"))
+    assert checkpoint_dir(session("yarn", named="hdfs://x/y")) == "hdfs://x/y"
+    assert checkpoint_dir(session("k8s://h", known="hdfs://x/z")) == "hdfs://x/z"

@@ -17,7 +17,8 @@ def head(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
 
 
 def tail(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    return df.orderBy(*[F.col(c).desc() for c in order_by]).limit(n)
+    """The last ``n`` rows, in ascending order like the rest of the table."""
+    return df.orderBy(*[F.col(c).desc() for c in order_by]).limit(n).orderBy(*order_by)
 
 
 def shape(df: DataFrame) -> DataFrame:
