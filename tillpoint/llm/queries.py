@@ -37,7 +37,15 @@ def _simhash(spark, sf):
 
 @register("op8_exact_dedup")
 def _exact_dedup(spark, sf):
-    return exact_groups(table(spark, sf, "documents"))
+    return exact_groups(table(spark, sf, "documents")).drop("bucket", "chain")
+
+
+ORACLE_SQL["op8_exact_dedup"] = r"""
+WITH bare AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
+              FROM documents)
+SELECT doc_id, MIN(doc_id) OVER same AS keep_id, COUNT(*) OVER same AS group_size,
+       doc_id = MIN(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM bare WINDOW same AS (PARTITION BY body)"""
 
 
 @register("op5_best_fit_packing")
@@ -61,6 +69,20 @@ def _topk(spark, sf):
     return top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0)
 
 
+ORACLE_SQL["op6_exact_topk"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+    WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(ROW_NUMBER() OVER best AS INTEGER) AS rank, vec_id, score
+FROM pairs WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY ROW_NUMBER() OVER best <= 5"""
+
+
 @register("op7_pii_pseudonyms")
 def _pii(spark, sf):
     return pseudonymise(table(spark, sf, "documents"))
@@ -77,6 +99,30 @@ def _chat(spark, sf):
     return digest(format_chats(turns.unionByName(extra)))
 
 
+# Marks around a text are 15 characters for a system turn, 13 for a user, 7 for an assistant, 21
+# beside the role for any other.  A conversation with an opening string or a backslash in a text or
+# role has those escaped: each backslash and each control string is a character longer.
+ORACLE_SQL["op9_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+sized AS (
+    SELECT *, CASE WHEN role IN ('system', 'user', 'assistant') THEN text ELSE text || chr(0) || role END AS said,
+           CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 20 END AS marks
+    FROM turns),
+grown AS (
+    SELECT *, regexp_matches(said, '\\|<<SYS>>|\[INST\]|<s>|<<ROLE>>') AS odd,
+           len(regexp_extract_all(said, '\\|<</?SYS>>|\[/?INST\]|</?s>|<</?ROLE>>')) AS more
+    FROM sized)
+SELECT conv_id, COUNT(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(COALESCE(SUM(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(SUM(length(said) + marks) + CASE WHEN bool_or(odd) THEN SUM(more) ELSE 0 END AS BIGINT) AS formatted_chars
+FROM grown GROUP BY conv_id"""
+
+
 @register("op1_license_scan")
 def _licenses(spark, sf):
     return scan_licenses(table(spark, sf, "documents"))
