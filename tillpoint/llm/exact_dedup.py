@@ -207,8 +207,10 @@ def drop_copies(docs: DataFrame, **parameters) -> DataFrame:
     kept = groups.filter("kept").select("doc_id", "text_sha256")
     repeated = groups.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     same_id = F.col("doc_id").eqNullSafe(F.col("k"))
-    once = docs.join(kept.join(repeated, kept["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti")
-                     .select(F.col("doc_id").alias("k")), same_id, "left_semi")
+    if repeated.isEmpty():
+        return docs.join(kept.select(F.col("doc_id").alias("k")), same_id, "left_semi")
+    alone = kept.join(repeated, kept["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti")
+    once = docs.join(alone.select(F.col("doc_id").alias("k")), same_id, "left_semi")
     body = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
     again = (docs.join(repeated.select(F.col("doc_id").alias("k")), same_id, "left_semi")
              .withColumn("__sha", F.sha2(body, 256)))
