@@ -41,17 +41,42 @@ def unsigned_hex(column: Column) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's edges, those that join two of its trees: same components, fewer edges."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent.setdefault(top, top) != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        kept = []
+        for k, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            ra, rb = root(a), root(b)
+            if ra != rb:
+                parent[max(ra, rb)] = min(ra, rb)
+                kept.append(k)
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
 def connected_components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) of the undirected graph ``edges(a, b)``; component = smallest node.
 
-    Min-label propagation with pointer jumping.  Labels and edges stay distributed; each
+    Each task first thins its edges to a spanning forest, so that a crowded group brings edges in
+    proportion to its nodes.  Then min-label propagation with pointer jumping.  Labels and edges stay distributed; each
     round is written to the checkpoint folder, so a lost executor costs a re-read and the
     lineage never grows.  The join on the far end of an edge is followed by a partial
     aggregation, so AQE may split the partition of a node with very many links.
     """
+    thin = materialize(edges.select("a", "b").mapInArrow(_forest, "a long, b long"),
+                       f"{label}-forest")
     both = materialize(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .distinct(), f"{label}-edges")
+        thin.unionByName(thin.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
+        f"{label}-edges")
     labels = materialize(
         both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
         .select("node", F.least("node", "m").alias("component")), f"{label}-labels")
