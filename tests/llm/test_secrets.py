@@ -73,3 +73,24 @@ def test_many_parts_in_one_text(spark):
     text = f"{KEY} {TOKEN} " * 3000
     r = one(spark, text)
     assert r.n_access == 3000 and r.n_linked == 3000
+
+
+def test_tokens_behind_a_name_and_of_any_length(spark):
+    long = "wJalrXUtnFEMI/K7MDENG+" * 300
+    cases = []
+    for name in ("aws_secret_access_key=", "AccountKey=", "x==", "Key = ", "k: '"):
+        for size in (20, 40, 100, 101, 120, 5000):
+            text, start = f"{KEY} {name}{long[:size]}== end", len(f"{KEY} {name}")
+            cases += [(text, f"access:0:20,token:{start}:{start + size + 2}"),
+                      (f"{name}{long[:size]}", "")]
+    n = len(long)  # linked at both ends, and inside
+    cases += [(f"{KEY} {long}", f"access:0:20,token:21:{n + 21}"),
+              (f"{long} {KEY}", f"token:0:{n},access:{n + 1}:{n + 21}"),
+              (f"{long}/{KEY}/{long}", f"token:0:{2 * n + 22},access:{n + 1}:{n + 21}"),
+              (f"{long} {'x ' * 300} {KEY}", f"access:{n + 602}:{n + 622}")]  # out of scope
+    cases += [(f"{KEY} {plain}", "access:0:20") for plain in (
+        "z" * 120, "A1" * 60, "z1" * 60, "Ab" * 60, "MyLongVariableName123=abc")]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in find_secrets(docs).collect()}
+    for k, (text, spans) in enumerate(cases):
+        assert found[k] == spans, text[:100]

@@ -8,8 +8,12 @@ complementary parts stand in its scope, i.e. within ``scope`` code points of it:
 * a bare token or short value needs an access identifier or an endpoint;
 * an endpoint needs an access identifier, an assigned secret, or a short value.
 
-The link is an interval join: a weak part is filed under the cell of ``scope`` code points where it
-starts, any part under all cells that its scope touches; the two sides meet on (document, cell) and
+A bare token is a run of 20 or more characters, of any length, that holds digits, small letters and
+capitals.  It may stand right behind an equals sign (``aws_secret_access_key=...``); a run right
+before one with a value behind is a name, no token.
+
+The link is an interval join: a weak part is filed under all cells of ``scope`` code points that it
+touches, any part under all cells that its scope touches; the two sides meet on (document, cell) and
 are compared by distance.  Parts of one kind do not overlap and have a least length, so a cell holds a bounded number of
 them, however long the document; no join key is hot.
 
@@ -23,6 +27,9 @@ an empty table gives no row.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +51,8 @@ HEX = "[0-9a-f]{16,}"
 ENDPOINT = (r"(?:https?|wss?|ftp|jdbc:[a-z]+|s3|redis|mongodb|postgres(?:ql)?|mysql|amqp)://"
             r"[A-Za-z0-9_@:.-]{4,200}"
             r"|(?<![A-Za-z0-9.-])[a-z0-9-]{1,60}(?:\.[a-z0-9-]{1,60}){1,6}:[0-9]{2,5}(?![0-9])")
-TOKEN = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{0,99}[0-9])(?=[A-Za-z0-9+/_-]{0,99}[a-z])"
-         r"(?=[A-Za-z0-9+/_-]{0,99}[A-Z])[A-Za-z0-9+/_-]{20,100}={0,2}(?![A-Za-z0-9+/_=-])")
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])"
+_MIXED = ("[0-9]", "[a-z]", "[A-Z]")  # what a run must hold to be a token
 KINDS = ("assign", "access", "hex", "endpoint", "short", "token")  # as listed in spans
 BASE = ("assign", "access", "hex")
 PATTERNS = {"assign": (ASSIGN, 2), "access": (ACCESS, 0), "hex": (HEX, 0),
@@ -56,16 +63,23 @@ _GATES = {  # a cheap necessary condition for each expression
     "token": "[A-Za-z0-9+/_-]{20}"}
 
 
-def _matches(text: Column, pattern: str, group: int) -> Column:
+def _matches(text: Column, pattern: str, group: int, holds: tuple[str, ...] = ()) -> Column:
     """Array of (gap, size, inner): text before a match, its length, that of ``group``.
 
-    The last entry is the text behind the last match and has no size.
+    ``inner`` is null if ``group`` lacks one of ``holds``.  The last entry is the text behind the
+    last match and has neither size nor inner.
     """
-    lengths = lambda a, name: F.transform(a, lambda m: F.length(m).cast("long")).alias(name)
+    def lengths(a, name, holds=()):
+        def size(m):
+            length = F.length(m).cast("long")
+            return F.when(reduce(and_, [m.rlike(h) for h in holds]), length) if holds else length
+
+        return F.transform(a, size).alias(name)
+
     return F.arrays_zip(
         lengths(F.split(text, pattern, -1), "gap"),
         lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), "size"),
-        lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), "inner"))
+        lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), "inner", holds))
 
 
 def parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +88,8 @@ def parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     scanned = doc_text(docs)
     for kind, (pattern, group) in PATTERNS.items():
         scanned = scanned.withColumn(kind, F.when(text.rlike(_GATES[kind]),
-                                                  _matches(text, pattern, group)))
+                                                  _matches(text, pattern, group,
+                                                           _MIXED if kind == "token" else ())))
     rows = materialize(scanned.withColumn("rid", F.monotonically_increasing_id()).drop("text"),
                        "secret-rows")
     each = (rows.filter(F.coalesce(*PATTERNS).isNotNull())
@@ -84,7 +99,7 @@ def parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             .select("rid", "kind", "i", "m.gap", "m.size", "m.inner"))
     so_far = F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(
         Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
-    placed = (each.withColumn("end", so_far).filter(F.col("size").isNotNull())
+    placed = (each.withColumn("end", so_far).filter(F.col("inner").isNotNull())
               .select("rid", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "inner"))
     return rows.select("rid", "doc_id"), placed
 
@@ -94,11 +109,12 @@ def linked(weak: DataFrame, others: DataFrame, scope: int) -> DataFrame:
 
     Columns: rid, kind, start, end, near (distinct kinds within scope), covered.
     """
-    w = weak.select("rid", "kind", "start", "end", F.floor(F.col("start") / scope).alias("cell"))
+    w = weak.select("rid", "kind", "start", "end", F.explode(F.sequence(
+        F.floor(F.col("start") / scope), F.floor(F.col("end") / scope))).alias("cell"))
     o = others.select(
         F.col("rid").alias("o_rid"), F.col("kind").alias("o_kind"), F.col("start").alias("o_start"),
         F.col("end").alias("o_end"),
-        F.explode(F.sequence(F.floor((F.col("start") - 2 * scope) / scope),
+        F.explode(F.sequence(F.floor((F.col("start") - scope) / scope),
                              F.floor((F.col("end") + scope) / scope))).alias("o_cell"))
     gap = F.greatest(F.col("o_start") - F.col("end"), F.col("start") - F.col("o_end"))
     same = (F.col("o_kind") == F.col("kind")) & (F.col("o_start") == F.col("start"))
