@@ -89,3 +89,51 @@ def _samples(pattern):
         for alternative in p.split("|"):
             yield re.sub(r".\?", "", alternative).strip()
             yield alternative.replace("?", "").strip()
+
+
+def _every(tree):
+    """Every text of a parsed pattern; a repeat at its least and most, a class by its ends."""
+    out = [""]
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(arg)]
+        elif op == "SUBPATTERN":
+            more = _every(arg[3])
+        elif op == "BRANCH":
+            more = [t for branch in arg[1] for t in _every(branch)]
+        elif op == "NOT_LITERAL":
+            more = ["x"]
+        elif op == "IN":
+            more = [chr(c) for k, v in arg for c in (v if str(k) == "RANGE" else (v,))]
+        else:
+            assert op == "MAX_REPEAT", op
+            one, times = _every(arg[2]), {arg[0], min(int(arg[1]), max(arg[0], 1))}
+            more = [t * n for n in times for t in (one if n else [""])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_every_match_holds_a_keyword():
+    """A notice has its name's keywords, which the name's own rule tries."""
+    for r in rules():
+        if r.kind != "notice":
+            for text in _every(re._parser.parse(r.pattern)):
+                assert re.search(f"(?<= )(?:{r.pattern})(?= )", f" {text} "), (r, text)
+                assert any(f" {k} " in f" {text} " for k in r.keywords), (r, text)
+
+
+def test_alternatives_have_their_own_keywords(spark):
+    cases = {"Released under the GPLv3": "gpl-3", "GPLv2.": "gpl-2", "GPL3": "gpl-3", "GPL v2": "gpl-2",
+             "gplversion 3": "gpl-3", "the Expat License": "mit", "the PSF license": "python-2",
+             "OpenRAIL license": "rail", "a Responsible AI License": "rail",
+             "Beer-Ware License": "beerware", "for noncommercial use only": "noncommercial",
+             "for non-commercial use only": "noncommercial",
+             "GNU General Public License as published by the Free Software Foundation; either "
+             "version 3": "gpl-3"}
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    out = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    for k, (text, label) in enumerate(cases.items()):
+        assert out[k].labels == label and out[k].score > 0.5, (text, out[k])
+    both = spark.createDataFrame([(1, "gpl gplv3 gpl 3")], "doc_id long, text string")
+    assert scan_licenses(both).first().n_found == 3  # two of gpl-3, one of gpl

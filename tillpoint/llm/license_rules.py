@@ -1,7 +1,8 @@
 """Signature rules of the license scan.
 
 A rule is matched on a text's words, lower case, with one blank between (so "2.0" is "2 0" and
-"MPL-2.0" is "mpl 2 0").  ``keyword`` is a word or phrase without which the expression cannot match.
+"MPL-2.0" is "mpl 2 0").  ``keywords`` are words of which every match holds at least one, one for each
+alternative ("gpl|gplv3" in the lists below).
 Rules are ordered: class first (see ``CLASSES``), then their place in this list.
 """
 
@@ -13,7 +14,7 @@ from typing import NamedTuple
 class Rule(NamedTuple):
     label: str
     kind: str  # a key of CLASSES
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
 
 
@@ -23,9 +24,11 @@ CLASSES = {"base": (0, 0.9), "tag": (1, 1.0), "text": (2, 0.95), "notice": (3, 0
 
 _V = r"(?:(?:version|v|ver) ?)?"
 _LIC = r"licen[sc]e"
-# label, keyword, name as it stands in prose, SPDX tags (words)
+# First words of "gpl ?{_V}N".
+_GPL = "gpl|gplv|gplver|gplversion|gpl{0}|gplv{0}|gplver{0}|gplversion{0}"
+# label, keywords, name as it stands in prose, SPDX tags (words)
 LICENSES = [
-    ("mit", "mit", rf"(?:mit|expat)(?: x11)? {_LIC}", "mit"),
+    ("mit", "mit|expat", rf"(?:mit|expat)(?: x11)? {_LIC}", "mit"),
     ("mit-0", "mit", rf"mit(?: 0| no attribution) {_LIC}", "mit 0"),
     ("apache-2", "apache", rf"apache(?: software)? {_LIC}s? {_V}2(?: 0)?", "apache 2 0"),
     ("apache-1-1", "apache", rf"apache(?: software)? {_LIC} {_V}1 1", "apache 1 1"),
@@ -40,8 +43,8 @@ LICENSES = [
     ("gpl-3", "gnu", rf"gnu general public {_LIC} {_V}3(?: 0)?", "gpl 3 0(?: only| or later)?"),
     ("gpl-2", "gnu", rf"gnu general public {_LIC} {_V}2(?: 0)?", "gpl 2 0(?: only| or later)?"),
     ("gpl-1", "gnu", rf"gnu general public {_LIC} {_V}1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    ("gpl-3", "gpl", rf"gpl ?{_V}3(?: 0)?", "gpl 3"),
-    ("gpl-2", "gpl", rf"gpl ?{_V}2(?: 0)?", "gpl 2"),
+    ("gpl-3", _GPL.format(3), rf"gpl ?{_V}3(?: 0)?", "gpl 3"),
+    ("gpl-2", _GPL.format(2), rf"gpl ?{_V}2(?: 0)?", "gpl 2"),
     ("lgpl-3", "gnu", rf"gnu (?:lesser|library) general public {_LIC} {_V}3(?: 0)?",
      "lgpl 3 0(?: only| or later)?"),
     ("lgpl-2-1", "gnu", rf"gnu (?:lesser|library) general public {_LIC} {_V}2 1",
@@ -78,7 +81,7 @@ LICENSES = [
     ("artistic-2", "artistic", rf"artistic {_LIC} {_V}2(?: 0)?", "artistic 2 0"),
     ("artistic-1", "artistic", rf"artistic {_LIC}(?: {_V}1(?: 0)?)?", "artistic 1 0(?: perl)?"),
     ("perl", "perl", rf"same terms as perl(?: itself| 5)?|perl {_LIC}", "perl"),
-    ("python-2", "python", rf"python software foundation {_LIC}(?: {_V}2)?|psf {_LIC}",
+    ("python-2", "python|psf", rf"python software foundation {_LIC}(?: {_V}2)?|psf {_LIC}",
      "(?:psf|python) 2 0"),
     ("php-3", "php", rf"php {_LIC}(?: {_V}3 ?0?1?)?", "php 3 01?"),
     ("ruby", "ruby", rf"ruby {_LIC}", "ruby"),
@@ -105,12 +108,13 @@ LICENSES = [
     ("sleepycat", "sleepycat", rf"sleepycat {_LIC}", "sleepycat"),
     ("sspl-1", "server", rf"server side public {_LIC}(?: {_V}1)?", "sspl 1 0"),
     ("elastic-2", "elastic", rf"elastic {_LIC}(?: {_V}2(?: 0)?)?", "elastic 2 0"),
-    ("rail", "rail", rf"(?:open ?)?(?:rail|responsible ai) {_LIC}", "openrail"),
+    ("rail", "rail|openrail|responsible|openresponsible",
+     rf"(?:open ?)?(?:rail|responsible ai) {_LIC}", "openrail"),
     ("json", "json", rf"json {_LIC}", "json"),
     ("icu", "icu", rf"icu {_LIC}", "icu"),
     ("unicode", "unicode", rf"unicode {_LIC}(?: agreement| v3)?", "unicode (?:dfs 2016|3 0)"),
     ("bsd-source-code", "source", rf"source code bsd {_LIC}", "bsd source code"),
-    ("beerware", "beerware", rf"beerware(?: {_LIC})?|beer ware {_LIC}", "beerware"),
+    ("beerware", "beerware|beer", rf"beerware(?: {_LIC})?|beer ware {_LIC}", "beerware"),
     ("mulan-2", "mulan", rf"mulan (?:psl|permissive software {_LIC})(?: {_V}2)?", "mulanpsl 2 0"),
     ("cecill-2-1", "cecill", rf"cecill(?: free software)?(?: {_LIC})?(?: agreement)?(?: {_V}2 1)?",
      "cecill 2 1"),
@@ -137,8 +141,8 @@ TEXTS = [
     ("wtfpl", "fuck", "you just do what the fuck you want to"),
     ("apache-2", "compliance", "you may not use this file except in compliance with the license"),
     ("gpl", "gnu", rf"terms of the gnu general public {_LIC} as published by the free software foundation"),
-    ("gpl-3", "later", rf"gnu general public {_LIC} as published by the free software foundation either version 3"),
-    ("gpl-2", "later", rf"gnu general public {_LIC} as published by the free software foundation either version 2"),
+    ("gpl-3", "gnu", rf"gnu general public {_LIC} as published by the free software foundation either version 3"),
+    ("gpl-2", "gnu", rf"gnu general public {_LIC} as published by the free software foundation either version 2"),
     ("lgpl", "lesser", rf"terms of the gnu lesser general public {_LIC}"),
     ("agpl-3", "affero", rf"terms of the gnu affero general public {_LIC}"),
     ("mpl-2", "mozilla", "this source code form is subject to the terms of the mozilla public license"),
@@ -149,7 +153,7 @@ TEXTS = [
     ("proprietary", "proprietary", "proprietary and confidential"),
     ("proprietary", "unauthorized", "unauthorized (?:copying|use|reproduction|distribution) of this (?:file|software|document|material)"),
     ("proprietary", "reserved", "copyright (?:c )?(?:[0-9]{4} )?[^ ]+(?: [^ ]+){0,5} all rights reserved"),
-    ("noncommercial", "commercial", "for non ?commercial (?:use|purposes) only"),
+    ("noncommercial", "commercial|noncommercial", "for non ?commercial (?:use|purposes) only"),
     ("noncommercial", "commercial", "not for commercial use"),
     ("research", "research", "for research (?:use|purposes) only"),
     ("freeware", "freeware", rf"freeware {_LIC}"),
@@ -214,14 +218,14 @@ BASE = [("mit", "mit", "under the mit license"), ("apache-2", "apache", "apache
 
 
 def rules() -> list[Rule]:
-    out = [Rule(label, "base", k, p) for label, k, p in BASE]
-    out += [Rule(label, "tag", "spdx", f"spdx license identifier (?:{tag})")
+    out = [(label, "base", k, p) for label, k, p in BASE]
+    out += [(label, "tag", "spdx", f"spdx license identifier (?:{tag})")
             for label, _, _, tag in LICENSES]
-    out += [Rule(label, "text", k, p) for label, k, p in TEXTS]
-    out += [Rule(label, "notice", k, f"{_UNDER}(?:{name})") for label, k, name, _ in LICENSES]
-    out += [Rule(label, "notice", "creative", f"{_UNDER}(?:{name})") for label, name in FULL]
-    out += [Rule(label, "url", k, p) for label, k, p in URLS]
-    out += [Rule(label, "name", k, name) for label, k, name, _ in LICENSES]
-    out += [Rule(label, "name", "creative", name) for label, name in FULL]
-    out += [Rule(label, "generic", k, p) for label, k, p in GENERIC]
-    return out
+    out += [(label, "text", k, p) for label, k, p in TEXTS]
+    out += [(label, "notice", k, f"{_UNDER}(?:{name})") for label, k, name, _ in LICENSES]
+    out += [(label, "notice", "creative", f"{_UNDER}(?:{name})") for label, name in FULL]
+    out += [(label, "url", k, p) for label, k, p in URLS]
+    out += [(label, "name", k, name) for label, k, name, _ in LICENSES]
+    out += [(label, "name", "creative", name) for label, name in FULL]
+    out += [(label, "generic", k, p) for label, k, p in GENERIC]
+    return [Rule(label, kind, tuple(k.split("|")), p) for label, kind, k, p in out]

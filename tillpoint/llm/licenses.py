@@ -2,8 +2,9 @@ r"""License scan by ordered signature rules.
 
 1. A gate expression every rule implies picks the texts that can hold a signature; only these are
    brought to words (lower case, one blank between).
-2. Keyword prefilter: a rule is tried on a text only if the text holds the rule's keyword.
-   Texts meet the rules by an equi-join on the keyword; the rules are a fixed list.
+2. Keyword prefilter: a rule is tried on a text, once, only if the text holds one of the
+   rule's keywords.  The keywords held give the rules' numbers, and texts meet the rules by an
+   equi-join on the number; the rules are a fixed list.
 3. Matches are marked in the text, whose words then give the word intervals of the detections.
 4. A detection is suppressed if an interval of a class with higher priority contains it, or one
    of its own class that is longer or, for the same interval, comes earlier in the list.  The sweep
@@ -45,12 +46,19 @@ def detections(words: DataFrame) -> DataFrame:
     known = rules()
     listed = spark.range(1).select(F.inline(F.array(*[F.struct(
         F.lit(k).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.kind).alias("kind"),
-        F.lit(f" {r.keyword} ").alias("keyword"), F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("p"))
+        F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("p"))
         for k, r in enumerate(known)])))
-    keywords = F.array(*[F.lit(f" {k} ") for k in sorted({r.keyword for r in known})])
-    held = words.select("rid", "norm", F.explode(F.filter(
-        keywords, lambda k: F.contains(F.col("norm"), k))).alias("keyword"))
-    tried = (held.join(F.broadcast(listed), "keyword")  # a few hundred rules, a constant
+    by_keyword = {}
+    for k, r in enumerate(known):
+        for word in r.keywords:
+            by_keyword.setdefault(f" {word} ", []).append(k)
+    keywords = F.array(*map(F.lit, sorted(by_keyword)))
+    numbers = F.create_map(*[x for word, ks in by_keyword.items()
+                             for x in (F.lit(word), F.array(*map(F.lit, ks)))])
+    held = F.filter(keywords, lambda k: F.contains(F.col("norm"), k))
+    named = words.select("rid", "norm", F.explode(F.array_distinct(F.flatten(
+        F.transform(held, lambda k: F.element_at(numbers, k))))).alias("rule"))
+    tried = (named.join(F.broadcast(listed), "rule")  # a few hundred rules, a constant
              .filter(F.expr("norm rlike p"))
              .withColumn("marked", F.split(F.trim(F.expr(
                  r"regexp_replace(norm, p, '\u0001$0\u0002')")), " ")))
