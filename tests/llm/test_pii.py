@@ -94,3 +94,15 @@ def test_whole_table_and_edges(spark, documents, texts, edge_docs, no_docs):
 @pytest.mark.parametrize("text", ["", "\\1 $1 \\E +1 (988) 555-2485 $0"])
 def test_odd_characters(spark, text):
     assert run(spark, [run(spark, [text])[0].text], back=True)[0].text == text
+
+
+def test_dates_of_timestamps_stay_linked(spark):
+    texts = ["at 1980-02-29T10:00:00Z, 1980-02-29", "1980-02-29T10:00", "1980-02-29 10:00",
+             "1981-02-29T10:00:00Z", "1980-02-29Tx", "x1980-02-29T10:00"]
+    out = run(spark, texts)
+    day = out[0].text[3:13]
+    assert day != texts[0][3:13] and out[0].text == f"at {day}T10:00:00Z, {day}"
+    assert (out[1].text, out[2].text) == (f"{day}T10:00", f"{day} 10:00")
+    assert [r.n_date for r in out] == [2, 1, 1, 0, 0, 0]
+    assert [r.text for r in out[3:]] == texts[3:]
+    assert [r.text for r in run(spark, [r.text for r in out], back=True)] == texts

@@ -13,7 +13,8 @@ phone  10 digits, area code in brackets, after a     the 10 digits; country code
        country code, or 3-3-4 between - or .
 ssn    3-2-4 digits                                  the 9 digits
 iban   up to 34 characters, remainder 1 modulo 97    the account; check digits are the new ones
-date   a day of the calendar, years 1600 to 2399     the days of its 400 years (189 x 773)
+date   a day of the calendar, years 1600 to 2399;    the days of its 400 years (189 x 773)
+       a time may follow (T and two digits)
 email  local part, domain                            letters and digits of the local part
 =====  ============================================  ============================================
 
@@ -42,7 +43,8 @@ KINDS = ("card", "ip", "phone", "ssn", "iban", "date", "email")
 EMAIL = (r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?"
          r"@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}")
 IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"
-DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4}"
+ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+DATE = rf"{ISO}|[0-9]{{2}}([./])[0-9]{{2}}\1[0-9]{{4}}"
 IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 PHONE = (r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
@@ -51,7 +53,8 @@ PHONE = (r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
 CARD = (r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}"
         r"|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5}")
 SPAN = (f"{EMAIL}|(?<![A-Za-z0-9_.+])(?:{IBAN}|{DATE}|{IP}|{SSN}|{PHONE}|{CARD})"
-        r"(?![0-9A-Za-z_]|[.-][0-9])")
+        r"(?![0-9A-Za-z_]|[.-][0-9])"
+        f"|(?<![A-Za-z0-9_.+]){ISO}(?=T[0-9]{{2}})")
 # What every candidate holds: an at sign, two points between digits, or seven digits close by.
 _GATE = r"@|[0-9]\.[0-9]{1,3}\.[0-9]|[0-9](?:[ .()/+-]{0,3}[0-9]){6}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]"
 LOW_DAYS, HIGH_DAYS = 189, 773  # together the 146,097 days of 400 years
