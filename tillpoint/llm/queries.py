@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillpoint.llm.common import table
 from tillpoint.llm.chat import digest, format_chats
 from tillpoint.llm.exact_dedup import exact_groups
+from tillpoint.llm.fertility import judge
 from tillpoint.llm.licenses import scan_licenses
 from tillpoint.llm.mixing import mix
 from tillpoint.llm.packing import pack
@@ -131,3 +132,8 @@ def _licenses(spark, sf):
 @register("op4_secret_scan")
 def _secrets(spark, sf):
     return find_secrets(table(spark, sf, "documents"))
+
+
+@register("op11_fertility_rules")
+def _fertility(spark, sf):
+    return judge(table(spark, sf, "documents")).withColumn("outside", F.array_join("outside", ","))
