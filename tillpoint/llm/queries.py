@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillpoint.llm.common import table
 from tillpoint.llm.chat import digest, format_chats
+from tillpoint.llm.divergence import audit
 from tillpoint.llm.exact_dedup import exact_groups
 from tillpoint.llm.fertility import judge
 from tillpoint.llm.licenses import scan_licenses
@@ -137,3 +138,44 @@ def _secrets(spark, sf):
 @register("op11_fertility_rules")
 def _fertility(spark, sf):
     return judge(table(spark, sf, "documents")).withColumn("outside", F.array_join("outside", ","))
+
+
+@register("op12_source_divergence")
+def _divergence(spark, sf):
+    return audit(table(spark, sf, "documents"))
+
+
+ORACLE_SQL["op12_source_divergence"] = r"""
+WITH docs AS (
+    SELECT ROW_NUMBER() OVER () AS r, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+           translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(
+              text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, COUNT(*) AS total FROM words GROUP BY lang, term
+         HAVING COUNT(DISTINCT r) >= 30),
+langs AS (SELECT lang, COUNT(*) AS v, SUM(total) AS n FROM kept GROUP BY lang),
+spoken AS (SELECT lang, source, term, COUNT(*) AS n FROM words JOIN kept USING (lang, term)
+           GROUP BY lang, source, term),
+sizes AS (SELECT lang, source, SUM(n) AS n FROM spoken GROUP BY lang, source),
+parts AS (SELECT DISTINCT lang, source FROM docs),
+shares AS (
+    SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n,
+           1 + (CAST(1000000000 AS HUGEINT) * (COALESCE(c.n, 0) + 5)) // (COALESCE(s.n, 0) + 5 * l.v) AS p,
+           1 + (CAST(1000000000 AS HUGEINT) * (k.total + 5)) // (l.n + 5 * l.v) AS q
+    FROM parts g JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN spoken c USING (lang, source, term) LEFT JOIN sizes s USING (lang, source)),
+apart AS (
+    SELECT x.lang, x.source, y.source AS item, SUM(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY x.lang, x.source, y.source),
+items AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(f.value, 0) AS value
+    FROM parts a JOIN parts b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(ROW_NUMBER() OVER best AS INTEGER) AS rank
+FROM items WINDOW best AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
+QUALIFY part = 'pair' OR ROW_NUMBER() OVER best <= 50"""
