@@ -20,6 +20,7 @@ from tillpoint.llm.quality import score_documents
 from tillpoint.llm.secrets import find_secrets
 from tillpoint.llm.simhash import near_duplicates
 from tillpoint.llm.topk import top_k
+from tillpoint.llm.trie import prefix_trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -179,3 +180,62 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
        CAST(ROW_NUMBER() OVER best AS INTEGER) AS rank
 FROM items WINDOW best AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
 QUALIFY part = 'pair' OR ROW_NUMBER() OVER best <= 50"""
+
+
+@register("op13_prefix_trie")
+def _trie(spark, sf):
+    return prefix_trie(table(spark, sf, "conversations"))
+
+
+# The checksum of an id is folded bit by bit: a digit is followed by eight shifts (-1).
+ORACLE_SQL["op13_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
+           ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''),
+                              COALESCE(text, '')) AS pos
+    FROM conversations),
+ids AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS leader, xor(list_reduce(
+               flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                   lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+               lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+                                 ELSE xor(a >> 1, 3988292384 * (a & 1)) END,
+               CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM conversations)),
+rebuilt AS (
+    SELECT i.conv_id, 0 AS own, t.pos, t.role, t.text
+    FROM ids i JOIN turns t ON t.conv_id = i.leader AND t.pos <= i.h
+    UNION ALL
+    SELECT i.conv_id, 1, t.pos, t.role, t.text
+    FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.pos > i.h),
+steps AS (SELECT conv_id, role, text, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth
+          FROM rebuilt),
+prefixes AS (
+    SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+           string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+               OVER (PARTITION BY conv_id ORDER BY depth) AS path
+    FROM steps
+    UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+nodes AS (SELECT depth, path, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs, MIN(words) AS words
+          FROM prefixes GROUP BY depth, path),
+above AS (SELECT n.depth, n.path, a.depth AS over_depth, a.path AS over
+          FROM nodes n JOIN prefixes a ON a.conv_id = n.conv_id AND a.depth <= n.depth),
+children AS (SELECT over_depth AS depth, over AS path, COUNT(*) AS n_children FROM above
+             WHERE over_depth = depth - 1 GROUP BY over_depth, over),
+whole AS (
+    SELECT n.*, COALESCE(c.n_children, 0) AS n_children
+    FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.path = n.path),
+sums AS (
+    SELECT a.over_depth AS depth, a.over AS path, COUNT(*) FILTER (w.n_children = 0) AS n_leaves,
+           SUM((w.n_convs - 1) * w.words) AS saved_tokens
+    FROM above a JOIN whole w ON w.depth = a.depth AND w.path = a.path GROUP BY a.over_depth, a.over),
+ends AS (
+    SELECT depth, path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+    FROM (SELECT * FROM prefixes QUALIFY depth = MAX(depth) OVER (PARTITION BY conv_id))
+    GROUP BY depth, path)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(COALESCE(e.ids, '')) AS ends_sha256
+FROM whole w JOIN sums s ON s.depth = w.depth AND s.path = w.path
+LEFT JOIN ends e ON e.depth = w.depth AND e.path = w.path
+LEFT JOIN above a ON a.depth = w.depth AND a.path = w.path AND a.over_depth = w.depth - 1
+LEFT JOIN nodes p ON p.depth = a.over_depth AND p.path = a.over"""
