@@ -79,6 +79,46 @@ def test_period_report_reads_lines_once(spark):
     assert "lineitem" not in plan and "orders.parquet" not in plan
 
 
+def test_period_report_never_moves_other_lines(spark):
+    """Picked orders go to the lines; beyond the broadcast limit lines are reduced before they move."""
+    from tillpoint.operators.joins import join_selected
+    from tillpoint.operators.persist import materialize
+    from tillpoint.sources import views as V
+    from tillpoint.sources.tables import Tables
+
+    t = Tables(spark, SF)
+    lines = V.order_items(t).select("order_id", "product_id", "revenue")
+    picked = materialize(V.orders(t).filter("order_id % 50 = 7").select("order_id"))
+    small = join_selected(lines, picked, "order_id")
+    assert "hashpartitioning" not in _plan(small)
+    large = join_selected(lines, picked, "order_id", broadcast_rows=0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(join_selected(lines, picked, "order_id", broadcast_rows=0)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    at = [k for k, line in enumerate(plan) if "lineitem" in line][0]
+    moved = [k for k, line in enumerate(plan[:at]) if "hashpartitioning(order_id" in line][-1]
+    reduced = [k for k, line in enumerate(plan[:at]) if "BroadcastHashJoin [_word" in line][-1]
+    assert moved < reduced < at
+    whole = lines.join(picked, "order_id", "left_semi")
+    want = sorted(tuple(r) for r in whole.collect())
+    assert want and sorted(tuple(r) for r in small.collect()) == want
+    assert sorted(tuple(r) for r in large.collect()) == want
+
+
+def test_reduced_facts_keep_every_selected_key(spark):
+    from pyspark.sql import functions as F
+
+    from tillpoint.operators.joins import reduce_facts
+
+    facts = spark.range(20_000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    keys = facts.filter("k % 100 = 3").select("k")
+    left = {r.k for r in reduce_facts(facts, keys, "k", words=1 << 12).collect()}
+    assert set(range(3, 20_000, 100)) <= left and len(left) < 1000
+
+
 def test_merge_keeps_the_target_on_the_probe_side(spark):
     for name in ("merge_upsert", "merge_changes"):
         plan = _plan(E.queries()[name](spark, SF))
