@@ -147,3 +147,75 @@ def test_csv_with_inferred_types_and_parquet_round_trip(spark, scratch):
     p = FS.write_parquet(df, scratch + "/p")
     assert sorted(tuple(r) for r in FS.read_parquet(spark, p).collect()) == \
         sorted(tuple(r) for r in df.collect())
+
+
+EXTREMES = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1023, 2.2250738585072011e-308,
+            1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), 1e300, 0.1,
+            1 - 2.0**-53, 1 + 2.0**-52, 2 - 2.0**-52, 4.0, 3.9999999999999996, 2.0**1023, 1e-300]
+
+
+def test_order_image_is_the_bits_of_the_double(spark):
+    import random
+    import struct
+
+    rng = random.Random(2)
+    values = list(EXTREMES)
+    while len(values) < 20_000:
+        v = struct.unpack("<d", rng.randbytes(8))[0]
+        if v == v:
+            values += [v, 2.0 ** rng.randint(-1074, 1023), rng.uniform(-1e6, 1e6)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in C.with_image(frame, "v", "i").collect():
+        bits = struct.unpack("<Q", struct.pack("<d", abs(r.v)))[0]
+        assert r.i == (-bits if r.v < 0 else bits), r.v
+        assert C.double_of(r.i) == r.v
+
+
+def test_quantiles_of_infinite_and_far_values(spark, monkeypatch):
+    inf = float("inf")
+    rows = [(-inf, 1e300, 1.0), (inf, 1.0, 2.0), (1.0, 2.0, inf), (2.0, 3.0, inf), (3.0, 4.0, inf),
+            (None, None, float("nan"))]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = C.exact_quantiles(df, {c: [0.0, 0.5, 0.75, 1.0] for c in "abc"}, leaf=1)
+    assert got == {"a": [-inf, 2.0, 3.0, inf], "b": [1.0, 3.0, 4.0, 1e300], "c": [1.0, inf, inf, inf]}
+    filled = C.impute(df, "median", cols=["a", "b"]).filter("isnan(c)").first()
+    assert filled.a == 2.0 and filled.b == 3.0
+    capped = C.cap_outliers(df, ["a", "b", "c"]).collect()
+    assert max(r.b for r in capped if r.b is not None) == 7.0
+    assert {r.c for r in capped} >= {inf}
+
+
+def test_quantile_passes_are_bounded(spark, monkeypatch):
+    """Values over the whole range of doubles, every one its own: six passes and the first."""
+    import random
+    import struct
+
+    from pyspark.sql import DataFrame
+
+    rng = random.Random(3)
+    values = [v for v in (struct.unpack("<d", rng.randbytes(8))[0] for _ in range(5000)) if v == v]
+    df = spark.createDataFrame([(v,) for v in values + EXTREMES], "v double")
+    passes, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: passes.append(1) or collect(self))
+    got = C.exact_quantiles(df, {"v": [0.25, 0.5]}, leaf=0)["v"]
+    assert len(passes) <= 6 + 1  # first() collects once too
+    ordered = sorted(values + EXTREMES)
+    for q, x in zip((0.25, 0.5), got):
+        low = int((len(ordered) - 1) * q)
+        assert ordered[low] <= x <= ordered[low + 1]
+
+
+def test_approximate_median_is_near_in_rank(spark):
+    import random
+
+    rng = random.Random(4)
+    values = [rng.gauss(0, 1) ** 3 for _ in range(50_000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    for accuracy in (100, 10_000):
+        got = C.approximate_quantiles(df, {"v": [0.25, 0.5]}, accuracy)["v"]
+        for q, x in zip((0.25, 0.5), got):
+            assert abs(sum(v <= x for v in values) / len(values) - q) <= 1 / accuracy + 1e-4
+    empty = spark.createDataFrame([], "v double")
+    assert C.approximate_quantiles(empty, {"v": [0.5]}) == {"v": [None]}
+    filled = C.impute(df, "median", accuracy=100).filter("v is null").count()
+    assert filled == 0

