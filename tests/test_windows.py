@@ -133,3 +133,19 @@ def test_bottom_k_ranks_nulls_first(spark):
     got = sorted((r["name"], r["rk"]) for r in
                  top_k_with_ties(df, "total", 3, "rk", descending=False).collect())
     assert got == [("a", 1), ("b", 3), ("c", 1), ("e", 3)]
+
+
+def test_input_is_computed_once(spark):
+    """Counting, sampling and bucketing read the written rows, not the input again."""
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x * 7 % 1000
+
+    df = spark.range(3000).select("id", counted("id").alias("v"))
+    rows = global_rank(df, "v", "id", min_buckets=8).collect()
+    assert len(rows) == 3000 and seen.value == 3000

@@ -75,7 +75,7 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
                    running_sum: tuple[str, str] | None = None,
                    lag: tuple[str, str] | None = None,
                    rows_per_bucket: int = 500_000, min_buckets: int | None = None,
-                   split_ties: bool = False) -> DataFrame:
+                   split_ties: bool = False, written: bool = False) -> DataFrame:
     """Add window columns over ``order_by`` (list of (column, ascending)).
 
     row_number:  output name for ROW_NUMBER
@@ -86,6 +86,8 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     split_ties:  number the rows in a written copy of the input and append that number as a last
                  sort key, so rows with identical keys (one key and value on a third of the rows)
                  can still be cut into several buckets
+    written:     the input is a written table; any other is computed once and written, because
+                 counting, sampling and bucketing each read it
     """
     partition_by = list(partition_by)
     if ntile is not None and partition_by:
@@ -93,7 +95,9 @@ def ordered_window(df: DataFrame, order_by: list[tuple[str, bool]],
     spark = df.sparkSession
     if split_ties:
         order_by = list(order_by) + [("_tie", True)]
-        df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "ow-ties")
+        df = df.withColumn("_tie", F.monotonically_increasing_id())
+    if split_ties or not written:
+        df = materialize(df, "ow-input")
     schema = df.schema
     kcols = [F.col(p).alias(f"_p{i}") for i, p in enumerate(partition_by)]
     for i, (name, asc) in enumerate(order_by):
