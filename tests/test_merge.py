@@ -98,19 +98,59 @@ def test_restart_with_a_lost_commit_applies_nothing_twice(spark, scratch):
 
 def test_half_written_version_is_ignored(spark, scratch):
     t = _started(spark, scratch)
-    for kind in ("data", "changes", "commits"):
-        os.makedirs(os.path.join(t.root, kind, "version=1", "_temporary"))
+    for kind in ("current", "changes"):
+        os.makedirs(os.path.join(t.root, kind, ".spark-staging-1", "_version=1", "_temporary"))
     assert t.versions() == [0] and t.read().count() == 2
     assert t.merge(spark.createDataFrame([(5, "e", 5.0)], SCHEMA), "id") == 1
     assert t.read().count() == 3
 
 
+def test_batch_cut_short_is_applied_by_the_next_call(spark, scratch, monkeypatch):
+    """The writer dies between the changes and the ranges; nothing is lost or applied twice."""
+    t = _started(spark, scratch)
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_apply", lambda self, version: None)
+        assert t.merge(spark.createDataFrame([(2, "b", 7.0), (None, "n", 1.0)], SCHEMA), "id",
+                       batch_id="s/0") == 1
+    assert t.merge(spark.createDataFrame([(2, "b", 7.0), (None, "n", 1.0)], SCHEMA), "id",
+                   batch_id="s/0") == 1
+    assert sorted(map(str, t.read().collect())) == sorted(map(str, spark.createDataFrame(
+        [(1, "a", 1.0), (2, "b", 7.0), (None, "n", 1.0)], SCHEMA).collect()))
+    t._apply(1)  # once more changes nothing, rows without a key included
+    assert t.read().count() == 3 and t.merge(
+        spark.createDataFrame([(2, "b", 9.0)], SCHEMA), "id") == 2
+    assert [tuple(r) for r in t.history().collect()] == [
+        (0, "WRITE", 2, 0, 2), (1, "MERGE", 1, 1, 3), (2, "MERGE", 0, 1, 3)]
+
+
+def test_older_versions_are_read_from_the_changes(spark, scratch):
+    t = VersionedTable(spark, os.path.join(scratch, "t"), parts=3)
+    states = [{k: float(k) for k in range(-5, 20)}]
+    t.write_initial(spark.createDataFrame([(k, "x", v) for k, v in states[0].items()], SCHEMA), "id")
+    for n, batch in enumerate(({1: 10.0, 30: 1.0}, {1: 11.0, -5: None, 40: 2.0}, {30: 3.0}), 1):
+        assert t.merge(spark.createDataFrame([(k, "y", v) for k, v in batch.items()], SCHEMA),
+                       "id") == n
+        states.append({**states[-1], **batch})
+    for n, state in enumerate(states):
+        assert {r.id: r.amount for r in t.read(n).collect()} == state
+        assert t.read(n).count() == len(state)
+    with pytest.raises(ValueError):
+        t.read(9)
+
+
 def test_only_touched_parts_are_rewritten(spark, scratch):
     t = VersionedTable(spark, os.path.join(scratch, "t"), parts=8)
     t.write_initial(spark.range(1000).selectExpr("id", "'x' AS name", "0.0D AS amount"), "id")
+
+    def files():
+        return {d: sorted(os.listdir(os.path.join(t.root, "current", d)))
+                for d in os.listdir(os.path.join(t.root, "current")) if d.startswith("_range=")}
+
+    before = files()
     t.merge(spark.createDataFrame([(3, "y", 1.0)], SCHEMA), "id")
-    assert len([d for d in os.listdir(os.path.join(t.root, "data", "version=1"))
-                if d.startswith("part=")]) == 1
+    after = files()
+    assert len(before) == len(after) == 8
+    assert [d for d in before if before[d] != after[d]] == ["_range=0"]
     assert t.read(1).count() == 1000 and t.read(1).filter("name = 'y'").count() == 1
     assert t.read(0).filter("name = 'y'").count() == 0
 

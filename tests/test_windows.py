@@ -139,6 +139,8 @@ def test_input_is_computed_once(spark):
     """Counting, sampling and bucketing read the written rows, not the input again."""
     from pyspark.sql import functions as F
 
+    from tillpoint.operators.windows import global_rank
+
     seen = spark.sparkContext.accumulator(0)
 
     @F.udf("long")

@@ -748,7 +748,7 @@ def _loaded(spark, sf):
 
 @register("merge_history")
 def _merge_history(spark, sf):
-    """The log of a versioned table after one merge, read from its commit records."""
+    """The history of a versioned table after one merge, read from its changes."""
     table = _loaded(spark, sf)
     table.merge(M.make_batch(table.read(0), "order_id", "total_price"), "order_id")
     return table.history()

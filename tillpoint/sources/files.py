@@ -1,5 +1,5 @@
 """File sources and sinks: CSV with explicit schemas and null policy, Parquet, table loads,
-and a versioned table (one Parquet folder per version).
+and a versioned table (key ranges and a change feed).
 
 Paths default to folders under ``spark.checkpoint.dir`` (a shared file system on a cluster),
 never a machine-local temporary folder.
@@ -7,11 +7,14 @@ never a machine-local temporary folder.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from tillpoint.operators.persist import materialize
@@ -79,117 +82,138 @@ def append_distinct(target_path: str, raw: DataFrame, cols: list[str]) -> DataFr
 
 
 class VersionedTable:
-    """A keyed table with versions, kept as Parquet folders that are never changed.
-
-    Rows lie in ``parts`` hash parts of the key.  A version stores the parts its batch touches
-    (``data/version=<n>/part=<p>``) and takes every other part from the newest version below it.
-    The change feed is in ``changes/version=<n>``.  The commit record, written last in
-    ``commits/version=<n>``, makes the version exist: without its ``_SUCCESS`` file
-    whatever a dead writer left is ignored and overwritten.
+    """A keyed table whose batches rewrite only the key ranges they touch.
+
+    ``current/_range=<r>`` holds the rows of one range of keys, each with the version that wrote
+    it last, ``changes/_version=<n>`` the rows of batch n with what they replaced.  A batch is
+    written to the changes first and then applied by a dynamic partition overwrite; applying it
+    again gives the same rows, so one that was cut short is applied again by the next call.
+    Versions, history and older states are queries over the changes.  A frame from ``read`` is
+    to be used before the next batch.
     """
 
-    COMMIT = ("version long, operation string, rows_inserted long, rows_updated long, "
-              "rows_total long, batch string, parts array<int>, key string, n_parts int")
-
     def __init__(self, spark: SparkSession, root: str, key: str | None = None, parts: int = 16):
         self.spark, self.root, self.key, self.parts = spark, root, key, parts
 
-    def _path(self, kind: str, version: int) -> str:
-        return os.path.join(self.root, kind, f"version={version}")
+    def _layout(self):
+        try:  # one row, written last by the first load
+            return self.spark.read.parquet(os.path.join(self.root, "layout")).first()
+        except AnalysisException:
+            return None
 
-    def versions(self) -> list[int]:
-        """Committed versions, in order."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, "commits"))
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("version=")]
-        done = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(int(p.getName().split("=")[1]) for p in found
-                      if fs.exists(done(p, "_SUCCESS")))
+    def _known(self):
+        layout = self._layout()
+        if layout is None:
+            raise ValueError("write the initial version of the table first")
+        return layout, StructType.fromJson(json.loads(layout["columns"]))
 
-    def latest(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+    def _table(self, kind: str, **more) -> DataFrame:
+        fields = [T.StructField(name, kind_of) for name, kind_of in more.items()]
+        schema = StructType(self._known()[1].fields + fields)
+        return self.spark.read.schema(schema).parquet(os.path.join(self.root, kind))
 
-    def _commits(self, upto: int) -> list:
-        have = [v for v in self.versions() if v <= upto]
-        if upto not in have:
-            raise ValueError(f"no version {upto}; committed: {have}")
-        return self.spark.read.schema(self.COMMIT).parquet(
-            *[self._path("commits", v) for v in have]).orderBy("version").collect()
+    def _current(self) -> DataFrame:
+        return self._table("current", _since=T.LongType(), _range=T.LongType())
 
-    def _newest(self, version: int) -> dict[int, str]:
-        """Folder of every part as of a version."""
-        return {p: os.path.join(self._path("data", c["version"]), f"part={p}")
-                for c in self._commits(version) for p in c["parts"]}
+    def changes(self) -> DataFrame:
+        """Batches' rows: the columns, _op, _batch, _old_<column> and _version."""
+        old = {f"_old_{f.name}": f.dataType for f in self._known()[1]}
+        return self._table("changes", _op=T.StringType(), _batch=T.StringType(), **old,
+                           _version=T.LongType())
 
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest() if version is None else version
-        if v is None:
-            raise ValueError("the table has no version yet")
-        paths = sorted(self._newest(v).values())
-        empty = self.spark.read.parquet(os.path.join(self.root, "schema"))
-        return self.spark.read.schema(empty.schema).parquet(*paths) if paths else empty
-
-    def _part(self, key: str, parts: int):
-        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-
-    def _write(self, rows: DataFrame, feed: DataFrame, version: int, operation: str, key: str,
-               n_parts: int, replaced: list[int], before: int, batch: str | None) -> int:
-        write_parquet(feed, self._path("changes", version))
-        (rows.withColumn("part", self._part(key, n_parts)).write.mode("overwrite")
-         .partitionBy("part").parquet(self._path("data", version)))
-        done = self.spark.read.parquet(self._path("changes", version)).agg(
-            F.count_if(F.col("op") == "insert"), F.count_if(F.col("op") == "update")).first()
-        commit = [(version, operation, done[0], done[1], before + done[0], batch, replaced, key,
-                   n_parts)]
-        write_parquet(self.spark.createDataFrame(commit, self.COMMIT).coalesce(1),
-                      self._path("commits", version))
-        return version
+    def _put(self, rows: DataFrame, kind: str, by: str) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by)
+         .parquet(os.path.join(self.root, kind)))
 
     def write_initial(self, df: DataFrame, key: str | None = None) -> int:
         key = key or self.key or df.columns[0]
-        write_parquet(df.limit(0), os.path.join(self.root, "schema"))
-        held = materialize(df.withColumn("part", self._part(key, self.parts)), "version-0")
-        present = sorted(r[0] for r in held.select("part").distinct().collect())
-        rows = held.drop("part")
-        return self._write(rows, rows.select(F.lit("insert").alias("op"), *df.columns), 0, "WRITE",
-                           key, self.parts, present, 0, None)
+        low, high = df.agg(F.min(key), F.max(key)).first()
+        width = ((high or 0) - (low or 0)) // self.parts + 1
+        self._put(df.withColumns({"_since": F.lit(0).cast("long"), "_range": _range(key, width)}), "current",
+                  "_range")
+        self._put(df.limit(0).withColumn("_version", F.lit(0)), "changes", "_version")
+        write_parquet(self.spark.createDataFrame(
+            [(key, width, df.schema.json())], "key string, width long, columns string"),
+            os.path.join(self.root, "layout"))
+        return 0
 
-    def merge(self, batch: DataFrame, key: str, batch_id: str | None = None) -> int:
-        """Upsert ``batch`` into the newest version and commit the next one.
+    def versions(self) -> list[int]:
+        if self._layout() is None:
+            return []
+        return [0, *sorted(r[0] for r in self.changes().select("_version").distinct().collect())]
 
-        A ``batch_id`` that a committed version already carries is not applied again: that
-        version is returned, whatever happened to the caller's own bookkeeping since.
-        """
-        from tillpoint.operators.merge import feed, merged, upsert
+    def latest(self) -> int | None:
+        return (self.versions() or [None])[-1]
+
+    def _apply(self, version: int) -> None:
+        """Overwrite the ranges of a version's rows, unless all of them are there already."""
+        layout, columns = self._known()
+        rows = self.changes().filter(F.col("_version") == version).select(
+            *columns.names, F.lit(version).cast("long").alias("_since"),
+            _range(layout["key"], layout["width"]).alias("_range"))
+        now = self._current()
+        if now.filter(F.col("_since") == version).count() == rows.count():
+            return
+        touched = [r[0] for r in rows.select("_range").distinct().collect()]
+        kept = now.filter(F.col("_range").isin(touched) & (F.col("_since") < version)).join(
+            rows.select(layout["key"]), layout["key"], "left_anti")
+        self._put(materialize(kept.select(rows.columns).unionByName(rows), "merge-ranges"),
+                  "current", "_range")
 
-        now = self.latest()
-        if now is None:
-            raise ValueError("write the initial version of the table first")
-        commits = self._commits(now)
+    def merge(self, batch: DataFrame, key: str, batch_id: str | None = None) -> int:
+        """Upsert ``batch`` and return its version; one with a known ``batch_id`` is not repeated."""
+        from tillpoint.operators.merge import feed
+
+        layout, columns = self._known()
+        if layout["key"] != key:
+            raise ValueError(f"the table is keyed by {layout['key']}")
+        last = self.latest()
+        if last:
+            self._apply(last)
         if batch_id is not None:
-            for c in commits:
-                if c["batch"] == batch_id:
-                    return c["version"]
-        if commits[0]["key"] != key:
-            raise ValueError(f"the table is keyed by {commits[0]['key']}")
-        n_parts, before = commits[0]["n_parts"], commits[-1]["rows_total"]
-        batch = materialize(batch, "merge-batch")
-        touched = sorted(r[0] for r in batch.select(self._part(key, n_parts)).distinct().collect())
-        have = self._newest(now)
-        paths = [have[p] for p in touched if p in have]
-        empty = self.spark.read.parquet(os.path.join(self.root, "schema"))
-        current = self.spark.read.schema(empty.schema).parquet(*paths) if paths else empty
-        changed = materialize(feed(current, batch, key), "merge-feed")
-        log = changed.select(F.col("_op").alias("op"), *empty.columns)
-        return self._write(merged(upsert(current, batch, key, check_unique=False)), log, now + 1,
-                           "MERGE", key, n_parts, touched, before, batch_id)
+            known = self.changes().filter(F.col("_batch") == batch_id).agg(F.min("_version"))
+            if known.first()[0] is not None:
+                return known.first()[0]
+        batch = materialize(batch.select(columns.names), "merge-batch")
+        touched = [r[0] for r in batch.select(_range(key, layout["width"])).distinct().collect()]
+        if not touched:
+            return last
+        target = self._current().filter(F.col("_range").isin(touched)).select(columns.names)
+        self._put(feed(target, batch, key).withColumns(
+            {"_batch": F.lit(batch_id).cast("string"), "_version": F.lit(last + 1)}), "changes",
+            "_version")
+        self._apply(last + 1)
+        return last + 1
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The rows as of a version: those not written since, and what later batches replaced."""
+        layout, columns = self._known()
+        if version is not None and version not in self.versions():
+            raise ValueError(f"no version {version}; there are {self.versions()}")
+        now = self._current()
+        if version in (None, self.latest()):
+            return now.select(columns.names)
+        first = self.changes().filter(F.col("_version") > version).groupBy(layout["key"]).agg(
+            F.min_by(F.struct("_op", *[F.col(f"_old_{c}").alias(c) for c in columns.names]),
+                     "_version").alias("_x"))
+        return now.filter(F.col("_since") <= version).select(columns.names).unionByName(
+            first.filter("_x._op = 'update'").select("_x.*").select(columns.names))
 
     def history(self) -> DataFrame:
-        """Version log: version, operation, rows_inserted, rows_updated, rows_total."""
-        return (self.spark.read.schema(self.COMMIT)
-                .parquet(*[self._path("commits", v) for v in self.versions()])
-                .select("version", "operation", "rows_inserted", "rows_updated", "rows_total")
-                .orderBy("version"))
+        """One row per version: version, operation, rows_inserted, rows_updated, rows_total."""
+        batches = self.changes().groupBy(F.col("_version").alias("version")).agg(
+            F.lit("MERGE").alias("operation"), F.count_if(F.col("_op") == "insert").alias("i"),
+            F.count_if(F.col("_op") == "update").alias("rows_updated"))
+        later = self.changes().filter("_op = 'insert'").count()
+        loaded = self._current().agg((F.count(F.lit(1)) - later).alias("i")).select(
+            F.lit(0).cast("long").alias("version"), F.lit("WRITE").alias("operation"), "i",
+            F.lit(0).cast("long").alias("rows_updated"))
+        upto = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, 0)  # of versions
+        return loaded.unionByName(batches).select(
+            "version", "operation", F.col("i").alias("rows_inserted"), "rows_updated",
+            F.sum("i").over(upto).alias("rows_total")).orderBy("version")
+
+
+def _range(key: str, width: int) -> Column:
+    """Number of a key's range; rows without a key share the first one."""
+    return F.coalesce(F.floor(F.col(key) / F.lit(width)), F.lit(0)).cast("long")

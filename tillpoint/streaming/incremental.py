@@ -1,9 +1,9 @@
 """Incremental loads on Structured Streaming.
 
 New batch files land in a folder; a file stream picks them up and every micro-batch is
-upserted into a ``VersionedTable`` with ``foreachBatch``.  The version's commit record carries
-the stream's name and the number of the micro-batch, so one that Structured Streaming runs
-again after a failure, also after a restart that lost the commit, finds its version and is not
+upserted into a ``VersionedTable`` with ``foreachBatch``.  The rows of a version carry the
+stream's name and the number of the micro-batch, so one that Structured Streaming runs
+again after a failure, also after a restart that lost its commit, finds its version and is not
 applied twice.  Progress lives in the checkpoint location, by default a folder of the table
 itself, so that a restart goes on where the last run stopped.
 """
