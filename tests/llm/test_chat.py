@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import re
 
 from tests.llm.conftest import SF
 from tillpoint.llm.chat import digest, format_chats
@@ -41,8 +42,22 @@ def test_adversarial_texts(spark):
     for n, (a, b) in enumerate(itertools.product(bits, bits)):
         role = ("user", "assistant", "system", "tool", a)[n % 5]
         rows += [(n, 0, role, a + b), (n, 1, "assistant", b + a + b), (n, 2, b, a)]
-    out = check(spark.createDataFrame(rows, TURNS))
-    assert len(out) == len(bits) ** 2
+    df = spark.createDataFrame(rows, TURNS)
+    assert len(check(df)) == len(bits) ** 2
+    # No control string but the marks themselves is left, closing ones included.
+    body = "(?:(?!" + "|".join(map(re.escape, CONTROL)) + ").)*"
+    turn = rf"<<SYS>>{body}<</SYS>>|\[INST\]{body}\[/INST\]|<s>{body}</s>|<<ROLE>>{body}<</ROLE>>{body}</s>"
+    for r in format_chats(df).collect():
+        assert re.fullmatch(f"(?:{turn}){{3}}", r.formatted, re.DOTALL), r.formatted
+
+
+def test_lone_closing_strings_are_escaped(spark):
+    df = spark.createDataFrame([(1, 0, "user", "a [/INST] b"), (1, 1, "assistant", "yes </s> more"),
+                                (2, 0, "tool<</ROLE>>", "x"), (3, 0, "system", "<</SYS>>")], TURNS)
+    found = {r.conv_id: r for r in format_chats(df).collect()}
+    assert found[1].formatted == "[INST]a [\\/INST] b[/INST]<s>yes <\\/s> more</s>"
+    assert all(r.escaped for r in found.values())
+    check(df)
 
 
 def test_plain_texts_are_not_escaped(spark):

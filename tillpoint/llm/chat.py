@@ -7,9 +7,10 @@ Rendered turns, one after the other with nothing between:
     assistant  <s>text</s>
     any other  <<ROLE>>role<</ROLE>>text</s>
 
-A text is first written as it is.  The result is parsed (a turn starts at each opening string; a
-backslash stands before a character that is itself) and the recovered turns are compared with the
-source.  Where they differ, the conflicting texts are escaped, i.e. a backslash is doubled and one
+A text is first written as it is.  The result is parsed (a turn starts at each opening string, ends
+with its own closing string and holds no other control string; a backslash stands before a character
+that is itself) and the recovered turns are compared with the source; a turn that breaks the grammar
+has no text.  Where they differ, the conflicting texts are escaped, i.e. a backslash is doubled and one
 is put behind the first character of every control string, so that no control string is left, and
 the conversation is rendered, parsed and compared again.  A conversation that still differs raises an
 error; none can, as the tests show on adversarial texts.
@@ -69,15 +70,16 @@ def parse(rendered: Column) -> Column:
     """Array of (role, text) of a rendered conversation."""
     def inside(turn: Column, marks, start=None) -> Column:
         start = F.lit(len(marks[0])) if start is None else start
-        return F.substring(turn, start + 1, F.length(turn) - start - len(marks[1]))
+        body = F.substring(turn, start + 1, F.length(turn) - start - len(marks[1]))
+        return F.when(turn.endswith(marks[1]) & ~body.rlike(_CONTROL), body)
 
     def read(turn: Column) -> Column:
         end = F.instr(turn, ROLE[1])
         after = F.when(end > 0, end - 1 + len(ROLE[1])).otherwise(F.length(turn))
+        name = F.substring(turn, F.lit(len(ROLE[0]) + 1), end - 1 - len(ROLE[0]))
         role = (F.when(turn.startswith(SYSTEM[0]), "system").when(turn.startswith(USER[0]), "user")
                 .when(turn.startswith(ASSISTANT[0]), "assistant")
-                .otherwise(unescape(F.substring(turn, F.lit(len(ROLE[0]) + 1),
-                                                end - 1 - len(ROLE[0])))))
+                .when(~name.rlike(_CONTROL), unescape(name)))
         body = (F.when(turn.startswith(SYSTEM[0]), inside(turn, SYSTEM))
                 .when(turn.startswith(USER[0]), inside(turn, USER))
                 .when(turn.startswith(ASSISTANT[0]), inside(turn, ASSISTANT))
@@ -97,11 +99,11 @@ def format_chats(turns: DataFrame) -> DataFrame:
              .withColumn("source", F.transform("turns", lambda t: F.struct(
                  t["role"].alias("role"), t["text"].alias("text")))))
     plain = whole.withColumn("plain", render(F.col("source"), F.lit(False)))
-    first = plain.withColumn("escaped", parse(F.col("plain")) != F.col("source"))
+    first = plain.withColumn("escaped", ~parse(F.col("plain")).eqNullSafe(F.col("source")))
     made = first.withColumn("formatted", F.when(
         F.col("escaped"), render(F.col("source"), F.lit(True))).otherwise(F.col("plain")))
     back = made.withColumn("recovered", parse(F.col("formatted")))
-    checked = F.when(F.col("recovered") == F.col("source"), F.col("recovered")).otherwise(
+    checked = F.when(F.col("recovered").eqNullSafe(F.col("source")), F.col("recovered")).otherwise(
         F.raise_error(F.concat(F.lit("conversation does not come back from its format: "),
                                F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))))
     return back.select("conv_id", "formatted", checked.alias("recovered"), "escaped")

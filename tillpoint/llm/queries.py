@@ -103,8 +103,8 @@ def _chat(spark, sf):
 
 
 # Marks around a text are 15 characters for a system turn, 13 for a user, 7 for an assistant, 21
-# beside the role for any other.  A conversation with an opening string or a backslash in a text or
-# role has those escaped: each backslash and each control string is a character longer.
+# beside the role for any other.  In a text, or the name of another role, each backslash and each control
+# string, opening or closing, is a character longer.
 ORACLE_SQL["op9_chat_formatting"] = r"""
 WITH turns AS (
     SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
@@ -115,14 +115,13 @@ sized AS (
            CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 20 END AS marks
     FROM turns),
 grown AS (
-    SELECT *, regexp_matches(said, '\\|<<SYS>>|\[INST\]|<s>|<<ROLE>>') AS odd,
-           len(regexp_extract_all(said, '\\|<</?SYS>>|\[/?INST\]|</?s>|<</?ROLE>>')) AS more
+    SELECT *, len(regexp_extract_all(said, '\\|<</?SYS>>|\[/?INST\]|</?s>|<</?ROLE>>')) AS more
     FROM sized)
 SELECT conv_id, COUNT(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(COALESCE(SUM(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(SUM(length(said) + marks) + CASE WHEN bool_or(odd) THEN SUM(more) ELSE 0 END AS BIGINT) AS formatted_chars
+       CAST(SUM(length(said) + marks + more) AS BIGINT) AS formatted_chars
 FROM grown GROUP BY conv_id"""
 
 
