@@ -7,12 +7,13 @@ pseudonyms in every document, different values different ones, and the key holde
 =====  ============================================  ============================================
 kind   valid if                                      permuted
 =====  ============================================  ============================================
-card   13 to 19 digits, Luhn sum right               all digits but the last, which is the new sum
+card   13 to 19 digits, Luhn sum right; in groups    all digits but the last, which is the new sum
+       4-4-4-n, 4-4-4-4-n, 4-6-5 or none
 ip     four numbers of at most 255                   the 32 bits
 phone  10 digits, area code in brackets, after a     the 10 digits; country code and signs stay
        country code, or 3-3-4 between - or .
 ssn    3-2-4 digits                                  the 9 digits
-iban   up to 34 characters, remainder 1 modulo 97    the account; check digits are the new ones
+iban   its country's length, remainder 1 modulo 97   the account; check digits are the new ones
 date   a day of the calendar, years 1600 to 2399;    the days of its 400 years (189 x 773)
        a time may follow (T and two digits)
 email  local part, domain                            letters and digits of the local part
@@ -22,11 +23,15 @@ Characters go through an eight-round Feistel network over the halves of the bare
 blanks and signs): a round adds SHA-256 values of key, kind, round and the other half to each
 character, digits modulo 10, letters modulo 26.  Addresses and dates do the same with two numbers.
 
-Everything is column expressions on one text at a time: one regular expression finds the
-candidates, the text is split around them and put together again.  No row leaves its partition.
+Everything is column expressions on one text at a time.  A regular expression that looks ahead finds
+a candidate at every place one can start, overlapping ones too, and the text is split at these
+places.  Of the valid candidates the leftmost is taken, then the next that begins behind it; one
+that fails validation takes nothing from those that overlap it.  Of a card of five groups the first
+four are tried before the whole.  No row leaves its partition.
 
 Edge cases: a null text gives an empty one; a text without a valid span comes back as it is; spans
-that fail validation stay; rows that share an id are treated each on its own.
+that fail validation stay; rows that share an id are treated each on its own.  The way back is
+exact unless a pseudonym makes a candidate valid that overlaps it from the left.
 """
 
 from __future__ import annotations
@@ -40,21 +45,31 @@ from tillpoint.llm.common import doc_text
 
 ROUNDS = 8
 KINDS = ("card", "ip", "phone", "ssn", "iban", "date", "email")
-EMAIL = (r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?"
+# Lengths of the account numbers of the countries that have IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+EMAIL = (r"(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?"
          r"@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}")
-IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"
+IBAN = "|".join(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{length - 4}}}"
+                for length, countries in IBAN_LENGTHS.items())
 ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
-DATE = rf"{ISO}|[0-9]{{2}}([./])[0-9]{{2}}\1[0-9]{{4}}"
+DATE = rf"{ISO}|[0-9]{{2}}(?<dot>[./])[0-9]{{2}}\k<dot>[0-9]{{4}}"
 IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 PHONE = (r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
          r"|\+[0-9]{1,3}[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
-         r"|[0-9]{3}([-.])[0-9]{3}\2[0-9]{4}")
-CARD = (r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}"
-        r"|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5}")
-SPAN = (f"{EMAIL}|(?<![A-Za-z0-9_.+])(?:{IBAN}|{DATE}|{IP}|{SSN}|{PHONE}|{CARD})"
-        r"(?![0-9A-Za-z_]|[.-][0-9])"
-        f"|(?<![A-Za-z0-9_.+]){ISO}(?=T[0-9]{{2}})")
+         r"|[0-9]{3}(?<sign>[-.])[0-9]{3}\k<sign>[0-9]{4}")
+CARD = (r"[0-9]{13,19}|[0-9]{4}(?<gap>[ -])[0-9]{4}\k<gap>[0-9]{4}\k<gap>"
+        r"(?:[0-9]{4}\k<gap>[0-9]{1,3}(?![0-9A-Za-z_])|[0-9]{1,7})"
+        r"|[0-9]{4}(?<space>[ -])[0-9]{6}\k<space>[0-9]{5}")
+# Check digits vouch for cards and accounts, so a point or hyphen and a digit may follow them.
+CANDIDATE = (f"{EMAIL}|(?<![A-Za-z0-9_]|[0-9][.])(?:{IBAN}|{CARD})(?![0-9A-Za-z_])"
+             rf"|(?<![A-Za-z0-9_.+])(?:{DATE}|{IP}|{SSN}|{PHONE})(?![0-9A-Za-z_]|[.-][0-9])"
+             rf"|(?<![A-Za-z0-9_.+]){ISO}(?=T[0-9]{{2}})")
 # What every candidate holds: an at sign, two points between digits, or seven digits close by.
 _GATE = r"@|[0-9]\.[0-9]{1,3}\.[0-9]|[0-9](?:[ .()/+-]{0,3}[0-9]){6}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]"
 LOW_DAYS, HIGH_DAYS = 189, 773  # together the 146,097 days of 400 years
@@ -167,6 +182,11 @@ def _card(span: Column, key: str, back: bool) -> Column:
     return let(_bare(span), made)
 
 
+def _shorter(span: Column) -> Column:
+    """A card of five groups without the last one."""
+    return F.when(span.rlike(r"^[0-9]{4}(?:[ -][0-9]{4}){3}[ -]"), F.substring(span, 1, 19))
+
+
 def _mod97(text: Column) -> Column:
     """Remainder of the number that text gives with A = 10 to Z = 35."""
     def step(total: Column, i: Column) -> Column:
@@ -243,43 +263,91 @@ def _email(span: Column, key: str, back: bool) -> Column:
     return F.concat(new, F.lit("@"), F.substring_index(span, "@", -1))
 
 
-def pseudonym(span: Column, key: str, back: bool = False) -> Column:
-    """struct (kind, text) of a candidate span; kind is null where it is not valid."""
+def _kind(span: Column) -> Column:
     bare = F.length(_bare(span))
-    kind = (F.when(F.contains(span, F.lit("@")), "email")
+    return (F.when(F.contains(span, F.lit("@")), "email")
             .when(span.rlike(f"^(?:{IP})$"), "ip").when(span.rlike(f"^(?:{DATE})$"), "date")
-            .when(span.rlike(f"^(?:{SSN})$"), "ssn")
-            .when(span.rlike(f"^(?:{PHONE.replace(chr(92) + '2', chr(92) + '1')})$"), "phone")
+            .when(span.rlike(f"^(?:{SSN})$"), "ssn").when(span.rlike(f"^(?:{PHONE})$"), "phone")
             .when(span.rlike("^[A-Z]"), "iban").when(bare.between(13, 19), "card"))
 
+
+def pseudonym(span: Column, key: str, back: bool = False) -> Column:
+    """struct (kind, text, length) of a candidate; kind is null where it is not valid.
+
+    ``length``: characters of the candidate that ``text`` replaces.
+    """
     def made(k: Column) -> Column:
         new = (F.when(k == "email", _email(span, key, back)).when(k == "ip", _ip(span, key, back))
                .when(k == "date", _date(span, key, back))
                .when(k == "ssn", _refill(span, permute(_bare(span), key, "ssn", back)))
                .when(k == "phone", _phone(span, key, back)).when(k == "iban", _iban(span, key, back))
                .when(k == "card", _card(span, key, back)))
-        return let(new, lambda t: F.struct(F.when(t.isNotNull(), k).alias("kind"),
-                                           F.coalesce(t, span).alias("text")))
 
-    return let(kind, made)
+        def result(text: Column, length: Column) -> Column:
+            return F.struct(F.when(text.isNotNull(), k).alias("kind"), text.alias("text"),
+                            length.alias("length"))
+
+        whole = let(new, lambda t: result(t, F.length(span)))
+        less = _shorter(span)
+        return F.when((k == "card") & less.isNotNull(), let(
+            _card(less, key, back),
+            lambda t: F.when(t.isNotNull(), result(t, F.length(less))).otherwise(whole))
+        ).otherwise(whole)
+
+    return let(_kind(span), made)
+
+
+def _covered(new: Column, body: Column) -> Column:
+    """For each candidate -1 if it is taken, else the characters behind its start already covered.
+
+    ``body``: the text from each candidate's start to the next one's.
+    """
+    def step(state: Column, i: Column) -> Column:
+        here, size = F.get(new, i), F.length(F.get(body, i))
+        hidden = state["left"] > 0
+        taken = ~hidden & here["kind"].isNotNull()
+        reach = F.when(taken, here["length"]).otherwise(state["left"])
+        return F.struct(
+            F.greatest(reach - size, F.lit(0)).alias("left"),
+            F.concat(state["out"], F.array(F.when(taken, -1).otherwise(state["left"]))).alias("out"))
+
+    start = F.struct(F.lit(0).alias("left"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(new) - 1), start, step, lambda s: s["out"])
 
 
-def pseudonymise(docs: DataFrame, key: str = "tillpoint", back: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     """One row per document: doc_id, text with pseudonyms, n_spans and a count for each kind.
 
     ``back`` inverts the permutation under the same key.
     """
-    text = F.col("text")
+    text, ahead = F.col("text"), f"(?=({CANDIDATE}))"
+    n = F.size("found")
     found = (doc_text(docs)
              .withColumn("found", F.when(text.rlike(_GATE), F.regexp_extract_all(
-                 text, F.lit(SPAN), F.lit(0))).otherwise(F.array().cast("array<string>")))
+                 text, F.lit(ahead), F.lit(1))).otherwise(F.array().cast("array<string>")))
              .withColumn("new", F.transform("found", lambda s: pseudonym(s, key, back)))
-             .withColumn("parts", F.when(F.size("found") > 0, F.split(text, SPAN, -1))))
-    joined = F.array_join(F.transform(
-        F.sequence(F.lit(0), F.size("parts") - 1),
-        lambda i: F.concat(F.get("parts", i), F.coalesce(F.get("new", i)["text"], F.lit("")))), "")
-    count = lambda k: F.size(F.filter("new", lambda s: s["kind"] == k)).cast("long")
-    return found.select(
-        "doc_id", F.when(F.size("found") > 0, joined).otherwise(text).alias("text"),
-        F.size(F.filter("new", lambda s: s["kind"].isNotNull())).cast("long").alias("n_spans"),
-        *[count(k).alias(f"n_{k}") for k in KINDS])
+             .withColumn("parts", F.when(n > 0, F.split(text, f"(?={CANDIDATE})", -1)))
+             .withColumn("body", F.slice("parts", F.size("parts") - n + 1, n)))
+    # Candidates that end before the next one starts need no comparison.
+    apart = F.forall(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(
+        F.get("new", i)["kind"].isNull()
+        | (F.get("new", i)["length"] <= F.length(F.get("body", i))), F.lit(True)))
+    found = found.withColumn("covered", F.when(n > 0, F.when(apart, F.transform(
+        "new", lambda s: F.when(s["kind"].isNotNull(), -1).otherwise(0))).otherwise(
+        _covered(F.col("new"), F.col("body")))))
+
+    def put(i: Column) -> Column:
+        piece, cut, here = F.get("body", i), F.get("covered", i), F.get("new", i)
+        rest = lambda k: F.substring(piece, k + 1, F.length(piece))
+        return F.when(cut < 0, F.concat(here["text"], rest(here["length"]))).otherwise(rest(cut))
+
+    head = F.when(F.size("parts") > n, F.get("parts", F.lit(0))).otherwise("")
+    joined = F.concat(head, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), put), ""))
+    made = found.select(
+        "doc_id", F.when(n > 0, joined).otherwise(text).alias("text"),
+        F.when(n > 0, F.transform(F.filter(F.arrays_zip("covered", "new"),
+                                           lambda z: z["covered"] < 0), lambda z: z["new"]["kind"]))
+        .otherwise(F.array().cast("array<string>")).alias("kinds"))
+    count = lambda k: F.size(F.filter("kinds", lambda s: s == k)).cast("long")
+    return made.select("doc_id", "text", F.size("kinds").cast("long").alias("n_spans"),
+                       *[count(k).alias(f"n_{k}") for k in KINDS])
