@@ -11,12 +11,16 @@ are then range-sorted by that time.
 
 A source's documents lie in hash order; their places are prefix sums over hash buckets of about
 ``rows_per_bucket`` rows and then inside a bucket, so a source with a third of all rows is
-spread like any other.  A source is read in whole passes, then up to the rest of its target; the
-document nearest in size to what is then still missing is added, if that brings it nearer.
+spread like any other.  A source is read in whole passes, then up to the rest of its target.  For the
+rest, classes of length (powers of four) go from long to short: each class gives its share of the
+rest, plus or minus what the longer ones left open, as the first documents of its hash order, to the
+document whose end is nearest.  So a long document is taken or left, and shorter ones make up for it
+either way; the selection leans to no length.  The document nearest in size to what is then still
+missing is added, or the one nearest to what is too much left out, if that brings the source nearer.
 
 Edge cases: a null text has size 0; an empty document is read as often as its source's whole passes
-say; rows that share an id count each; equal rows are interchangeable; an empty table gives no
-row.
+say; rows that share an id count each; equal rows are interchangeable, and numbered before they are
+hashed, so that many of them are spread too; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tillpoint.llm.common import NOT_WS, partitions
 from tillpoint.operators.persist import materialize
+from tillpoint.operators.windows import ordered_window
 
 WEIGHTS = (3, 1, 2)
 # Rates at the start and the end of training, for each weight in turn: heavy sources come
@@ -92,6 +97,89 @@ def inverse(schedule, u: Column) -> Column:
     return out
 
 
+_EARLIER = (Window.unboundedPreceding, -1)
+_FAMILY = 64  # equal rows that are numbered together
+
+
+def _sources(docs: DataFrame) -> tuple[Column, Column, Column]:
+    """Key, size and source of a document."""
+    size = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")),
+                          F.lit(NOT_WS)).cast("long")
+    return (F.col("doc_id").cast("long"), size,
+            F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1")))
+
+
+def _placed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, sk, size, h): h orders a source's documents, equal rows get different ones."""
+    doc_id, size, sk = _sources(docs)
+    equal = materialize(
+        docs.select(doc_id.alias("doc_id"), sk.alias("sk"), size.alias("size"))
+        .groupBy("doc_id", "sk", "size").agg(F.count(F.lit(1)).alias("m")), "mix-equal")
+    many = (equal.filter("m > 1")
+            .withColumn("family", F.explode(F.expr(f"sequence(0, (m - 1) div {_FAMILY})")))
+            .repartition(partitions(docs.sparkSession), "doc_id", "family")
+            .withColumn("n", F.explode(F.expr(f"sequence(family * {_FAMILY}, "
+                                              f"least(m, (family + 1) * {_FAMILY}) - 1)"))))
+    columns = ["doc_id", "sk", "size"]
+    return (equal.filter("m = 1").select(*columns, F.lit(0).cast("long").alias("n"))
+            .unionByName(many.select(*columns, F.col("n").cast("long").alias("n")))
+            .select(*columns, F.xxhash64("doc_id", "size", "n").alias("h")))
+
+
+def _with_offsets(cells: DataFrame, keys: list[str], wide: int, out: str) -> DataFrame:
+    """``cells`` with the words of the buckets before each, summed by zones of ``wide`` buckets."""
+    cells = cells.withColumn("zone", F.floor(F.col("bucket") / wide))
+    zones = (cells.groupBy(*keys, "zone").agg(F.sum("words").alias("words")).select(
+        *keys, "zone", F.coalesce(F.sum("words").over(
+            Window.partitionBy(*keys).orderBy("zone").rowsBetween(*_EARLIER)), F.lit(0)).alias("z")))
+    inside = F.coalesce(F.sum("words").over(
+        Window.partitionBy(*keys, "zone").orderBy("bucket").rowsBetween(*_EARLIER)), F.lit(0))
+    return (cells.withColumn("inside", inside).join(zones, [*keys, "zone"])
+            .withColumn(out, F.col("z") + F.col("inside")).drop("zone", "z", "inside"))
+
+
+def _cuts(rows: DataFrame, cells: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each class of length gives to the rest of its source's target.
+
+    (sk, cls, cut): the first documents of the class with ``cut`` words together.  (sk, gap): words
+    still missing in the end.  A class looks at its cells, and at the documents of the one cell in
+    which its share ends.
+    """
+    shares = materialize(
+        cells.groupBy("sk", "cls").agg(F.sum("words").alias("all")).join(targets, "sk")
+        .select("sk", "cls", "all", (F.col("rest") / F.col("source_size") * F.col("all")).alias("ideal")),
+        "mix-shares")
+    state = targets.filter("source_size > 0").select("sk", F.lit(0.0).alias("gap"))
+    made = []
+    for cls in sorted((r[0] for r in shares.select("cls").distinct().collect()), reverse=True):
+        own = shares.filter(F.col("cls") == cls).select("sk", "all", "ideal")
+        asked = state.join(own, "sk", "left").select(
+            "sk", F.coalesce("all", F.lit(0)).alias("all"),
+            (F.col("gap") + F.coalesce("ideal", F.lit(0.0))).alias("x"))
+        end = cells.filter(F.col("cls") == cls).join(asked, "sk").filter(
+            "offset <= x and x < offset + words").select("sk", "bucket", "offset", "x")
+        upto = Window.partitionBy("sk", "bucket").orderBy("h", "doc_id").rowsBetween(
+            Window.unboundedPreceding, 0)
+        ends = (rows.filter(F.col("cls") == cls).select("sk", "bucket", "h", "doc_id", "size")
+                .join(end, ["sk", "bucket"])
+                .withColumn("b", F.col("offset") + F.sum("size").over(upto)))
+        near = ends.groupBy("sk").agg(
+            F.coalesce(F.max(F.when(F.col("b") <= F.col("x"), F.col("b"))), F.min("offset")).alias("low"),
+            F.min(F.when(F.col("b") > F.col("x"), F.col("b"))).alias("high"))
+        nearest = F.when(F.col("high") - F.col("x") < F.col("x") - F.col("low"), F.col("high")
+                         ).otherwise(F.col("low"))
+        cut = (F.when(F.col("x") <= 0, 0).when(F.col("x") >= F.col("all"), F.col("all"))
+               .otherwise(nearest))
+        state = materialize(asked.join(near, "sk", "left").select(
+            "sk", F.lit(cls).alias("cls"), cut.cast("long").alias("cut"),
+            (F.col("x") - cut).alias("gap")), "mix-cut")
+        made.append(state.select("sk", "cls", "cut"))
+    cuts = made[0] if made else shares.select("sk", "cls", F.col("all").alias("cut"))
+    for more in made[1:]:
+        cuts = cuts.unionByName(more)
+    return cuts, state.select("sk", "gap")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.5,
         cap: float = 2.0, rows_per_bucket: int = 500) -> DataFrame:
     """One row per document, range-sorted by its first position (documents not taken last).
@@ -99,16 +187,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
     Columns: doc_id, size, source_size, target, taken, copies, positions (one training time
     in [0, 1] for each copy), source_key.
     """
-    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(NOT_WS)).cast("long")
-    sk = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
-    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), sk.alias("sk"),
-                                   size.alias("size"))
-                       .withColumn("h", F.xxhash64("doc_id", "size")), "mix-rows")
+    rows = materialize(_placed_rows(docs), "mix-rows")
     buckets = max(1, -(-rows.count() // rows_per_bucket))
     wide = max(1, int(buckets ** 0.5))
-    rows = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    cells = materialize(rows.groupBy("sk", "bucket").agg(F.sum("size").alias("words"))
-                        .withColumn("zone", F.floor(F.col("bucket") / wide)), "mix-cells")
+    cls = F.when(F.col("size") > 0, F.floor(F.log2("size") / 2)).otherwise(-1).cast("int")
+    rows = rows.withColumns({"bucket": F.pmod("h", F.lit(buckets)), "cls": cls})
+    cells = materialize(rows.groupBy("sk", "cls", "bucket").agg(F.sum("size").alias("words")),
+                        "mix-cells")
     targets = materialize(
         source_targets(cells.groupBy("sk").agg(F.sum("words").alias("source_size")),
                        weights, share, cap)
@@ -116,59 +201,56 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
             F.col("target") / F.greatest("source_size", F.lit(1)))).otherwise(0))
         .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")),
         "mix-targets")
-
-    earlier = (Window.unboundedPreceding, -1)
-    zones = (cells.groupBy("sk", "zone").agg(F.sum("words").alias("words")).select(
-        "sk", "zone", F.coalesce(F.sum("words").over(
-            Window.partitionBy("sk").orderBy("zone").rowsBetween(*earlier)), F.lit(0)).alias("z")))
-    inside = F.coalesce(F.sum("words").over(
-        Window.partitionBy("sk", "zone").orderBy("bucket").rowsBetween(*earlier)), F.lit(0))
-    offsets = (cells.withColumn("inside", inside).join(zones, ["sk", "zone"])
-               .join(targets, "sk")
-               .select("sk", "bucket", (F.col("z") + F.col("inside")).alias("offset"),
-                       "source_size", "tier", "target", "passes", "rest"))
-    own = F.coalesce(F.sum("size").over(
-        Window.partitionBy("sk", "bucket").orderBy("h", "doc_id", "size").rowsBetween(*earlier)),
-        F.lit(0))
+    classed = materialize(_with_offsets(cells.filter("cls >= 0"), ["sk", "cls"], wide, "offset"),
+                          "mix-classed")
+    cuts, gaps = _cuts(rows, classed, targets)
+    # Documents meet what is known of their source by (source, bucket, class), which none crowds.
+    whole = _with_offsets(cells.groupBy("sk", "bucket").agg(F.sum("words").alias("words")), ["sk"],
+                          wide, "first")
+    known = (cells.select("sk", "cls", "bucket").join(whole.drop("words"), ["sk", "bucket"])
+             .join(classed.drop("words"), ["sk", "cls", "bucket"], "left")
+             .join(cuts, ["sk", "cls"], "left").join(targets, "sk").join(gaps, "sk", "left"))
+    in_source = Window.partitionBy("sk", "bucket").orderBy("h", "doc_id").rowsBetween(*_EARLIER)
+    in_class = Window.partitionBy("sk", "bucket", "cls").orderBy("h", "doc_id").rowsBetween(
+        Window.unboundedPreceding, 0)
     placed = materialize(
-        rows.join(offsets, ["sk", "bucket"]).withColumn("start", F.col("offset") + own)
-        .withColumn("fits", F.col("start") + F.col("size") <= F.col("rest"))
+        rows.join(known, ["sk", "cls", "bucket"])
+        .withColumn("start", F.col("first") + F.coalesce(F.sum("size").over(in_source), F.lit(0)))
+        .withColumn("fits", F.coalesce((F.col("size") > 0) & (
+            F.col("offset") + F.sum("size").over(in_class) <= F.col("cut")), F.lit(False)))
         .select("doc_id", "sk", "bucket", "size", "start", "fits", "source_size", "tier", "target",
-                "passes", "rest", "h"), "mix-placed")
-
-    gaps = placed.groupBy("sk").agg(
-        F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0)).alias("got"),
-        F.max("rest").alias("most")).withColumn("gap", F.col("most") - F.col("got"))
-    # Documents meet what is known of their source by (source, bucket), which no source crowds.
-    places = cells.select("sk", "bucket")
-    nearest = (placed.filter("not fits and size > 0 and rest > 0")
-               .join(places.join(gaps, "sk"), ["sk", "bucket"])
-               .withColumn("miss", F.abs(F.col("size") - F.col("gap")))
-               .filter(F.col("miss") < F.col("gap")).groupBy("sk", "bucket")
-               .agg(F.min(F.struct("miss", "start", "size")).alias("extra"))
-               .groupBy("sk").agg(F.min("extra").alias("extra")))
-    ends = materialize(places.join(gaps.join(nearest, "sk", "left"), "sk").select(
-        "sk", "bucket", "got", F.col("extra.start").alias("extra_start"),
-        F.coalesce("extra.size", F.lit(0)).alias("extra_size")), "mix-ends")
-
-    is_extra = F.coalesce((F.col("start") == F.col("extra_start")) & (F.col("size") > 0),
-                          F.lit(False))
-    more = F.col("fits") & (F.col("rest") > 0) | is_extra
-    copies = (F.col("passes") + more.cast("long")).cast("int")
-    words = F.col("passes") * F.col("source_size") + F.col("got") + F.col("extra_size")
+                "passes", "rest", "gap", "h"), "mix-placed")
+
+    # Added where words are missing, left out where there are too many.
+    miss = F.abs(F.col("size") - F.abs("gap"))
+    flipped = (placed.filter("size > 0 and rest > 0 and fits = (gap < 0)").withColumn("miss", miss)
+               .filter(F.col("miss") < F.abs("gap")).groupBy("sk", "bucket")
+               .agg(F.min(F.struct("miss", "start")).alias("flip"))
+               .groupBy("sk").agg(F.min("flip").alias("flip"))
+               .select("sk", F.col("flip.start").alias("flip_start")))
+    is_flipped = F.coalesce((F.col("start") == F.col("flip_start")) & (F.col("size") > 0), F.lit(False))
+    chosen = materialize(
+        placed.join(cells.select("sk", "bucket").distinct().join(flipped, "sk"), ["sk", "bucket"], "left")
+        .withColumn("more", F.col("fits") != is_flipped).drop("flip_start", "fits"), "mix-chosen")
+    partial = chosen.groupBy("sk", "bucket").agg(
+        F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).alias("words"))
+    got = partial.groupBy("sk").agg(F.sum("words").alias("got"))
+    lasts = _with_offsets(partial, ["sk"], wide, "before").drop("words").join(got, "sk")
+    words = F.col("passes") * F.col("source_size") + F.col("got")
+    own = F.coalesce(F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).over(in_source), F.lit(0))
+    copies = (F.col("passes") + F.col("more").cast("long")).cast("int")
 
     def times(k: Column) -> Column:
-        at = F.when(F.col("is_extra") & (k == F.col("passes")),
-                    F.col("passes") * F.col("source_size") + F.col("got")).otherwise(
-            k * F.col("source_size") + F.col("start"))
+        at = k * F.col("source_size") + F.when(k == F.col("passes"), F.col("last")).otherwise(
+            F.col("start"))
         u = (at + F.col("size") / 2) / F.greatest(F.col("words"), F.lit(1))
         out = inverse(schedules[0], u)
         for t in range(1, len(schedules)):
             out = F.when(F.col("tier") % len(schedules) == t, inverse(schedules[t], u)).otherwise(out)
         return out
 
-    result = (placed.join(ends, ["sk", "bucket"]).withColumn("is_extra", is_extra).withColumn("copies", copies)
-              .withColumn("words", words)
+    result = (chosen.join(lasts, ["sk", "bucket"]).withColumn("last", F.col("before") + own)
+              .withColumn("copies", copies).withColumn("words", words)
               .withColumn("positions", F.when(F.col("copies") > 0, F.transform(
                   F.sequence(F.lit(0), F.col("copies") - 1), times))
                   .otherwise(F.array().cast("array<double>"))))
@@ -184,33 +266,42 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
 
 
 def training_order(docs: DataFrame, **parameters) -> DataFrame:
-    """The documents as training reads them: a row for each copy, range-sorted by position."""
-    made = materialize(mix(docs, **parameters).filter("copies > 0")
-                       .select("doc_id", "size", "source_key", "positions"), "mix-taken")
-    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(NOT_WS)).cast("long")
-    sk = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
-    keys = [F.col("doc_id").cast("long").alias("__i")]
-    twice = docs.groupBy(*keys).count().filter("count > 1").select("__i")
-    on = docs["doc_id"].eqNullSafe(F.col("__i"))
-    alone = made.join(twice, made["doc_id"].eqNullSafe(twice["__i"]), "left_anti").select(
-        F.col("doc_id").alias("__i"), F.col("positions").alias("__p"))
-    out = docs.join(alone, on).drop("__i")
-    if not twice.isEmpty():  # rows that share an id: the n-th by size and source meets the n-th
-        nth = F.row_number().over(Window.partitionBy("__k", "__s", "__q").orderBy("__o"))
-        left = (docs.join(twice, on, "left_semi")
-                .select("*", F.col("doc_id").alias("__k"), size.alias("__s"), sk.alias("__q"),
-                        F.xxhash64("text").alias("__o")).withColumn("__n", nth).drop("__o"))
-        right = (made.select(F.col("doc_id").alias("__k"), F.col("size").alias("__s"),
-                             F.col("source_key").alias("__q"), F.col("positions").alias("__p"),
-                             F.col("positions").alias("__o"))
-                 .join(twice, F.col("__k").eqNullSafe(F.col("__i")), "left_semi")
-                 .withColumn("__n", nth).drop("__o"))
-        left, right = left.alias("l"), right.alias("r")
-        same = F.col("l.__k").eqNullSafe(F.col("r.__k"))
-        for c in ("__s", "__q", "__n"):
-            same = same & (F.col(f"l.{c}") == F.col(f"r.{c}"))
-        both = left.join(right, same).select("l.*", "r.__p").drop("__k", "__s", "__q", "__n")
-        out = out.unionByName(both)
-    out = out.withColumn("__p", F.explode("__p"))
-    return (out.repartitionByRange(partitions(docs.sparkSession), "__p")
-            .sortWithinPartitions("__p", "doc_id").drop("__p"))
+    """The documents as training reads them: a row for each copy, range-sorted by position.
+
+    Rows that share id, size and source are told apart by the hash of their texts: the n-th of them
+    takes the n-th place of theirs.  Columns of any name pass through.
+    """
+    key = ["k", "size", "sk"]
+    made = materialize(mix(docs, **parameters).select(
+        F.col("doc_id").alias("k"), "size", F.col("source_key").alias("sk"), "positions",
+        F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0)).alias("at")), "mix-made")
+    doc_id, size, sk = _sources(docs)
+    # A document is one struct, so none of its columns can be mistaken for one of these.
+    whole = docs.select(F.struct("*").alias("doc"), doc_id.alias("k"), size.alias("size"),
+                        sk.alias("sk"), F.xxhash64(F.col("text").cast("string")).alias("o"))
+    twice = materialize(made.groupBy(*key).count().filter("count > 1").select(*key), "mix-twice")
+
+    def same(a: str, b: str, names=key) -> Column:
+        out = F.lit(True)
+        for c in names:
+            out = out & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+        return out
+
+    taken = made.filter(F.size("positions") > 0)
+    if twice.isEmpty():
+        out = whole.alias("w").join(taken.alias("m"), same("w", "m"))
+    else:
+        def numbered(frame: DataFrame, by: str) -> DataFrame:
+            left = frame.alias("w").join(twice.alias("t"), same("w", "t"), "left_semi")
+            return ordered_window(left, [(by, True)], key, row_number="n", split_ties=True)
+
+        def single(frame: DataFrame) -> DataFrame:
+            left = frame.alias("w").join(twice.alias("t"), same("w", "t"), "left_anti")
+            return left.withColumn("n", F.lit(1).cast("bigint"))
+
+        w = single(whole).unionByName(numbered(whole, "o"))
+        m = single(taken).unionByName(numbered(made, "at").filter(F.size("positions") > 0))
+        out = w.alias("w").join(m.alias("m"), same("w", "m", [*key, "n"]))
+    out = out.select("w.doc", F.col("w.k").alias("k"), F.explode("m.positions").alias("p"))
+    return (out.repartitionByRange(partitions(docs.sparkSession), "p")
+            .sortWithinPartitions("p", "k").select("doc.*"))
