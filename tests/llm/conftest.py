@@ -20,14 +20,20 @@ EDGE_ROWS = [
 ]
 
 
+# Names that the operators use themselves.
+INTERNAL = ("size", "h", "entry", "kept", "fp", "score", "rid", "start", "bucket", "label", "positions",
+            "sk", "k", "s", "sha", "doc", "l", "r", "m", "n", "o", "p", "w", "t", "x", "at", "count", "low",
+            "component", "component_id", "none", "first", "gap", "cut", "cls", "item", "items", "rank",
+            "value", "part", "term", "row", "col", "outside", "script", "__i", "__k", "__p", "__sha",
+            "_K", "_b", "_tie", "sequence_id", "piece", "found", "new", "parts", "body", "kinds")
+
+
 @pytest.fixture(scope="session")
 def edge_docs(spark):
     """The edge cases, with extra columns whose names clash with the operators' own."""
     from pyspark.sql import functions as F
 
-    extra = {c: F.lit(1) for c in ("size", "h", "entry", "kept", "fp", "score", "rid", "start",
-                                   "bucket", "label", "positions", "sk")}
-    return spark.createDataFrame(EDGE_ROWS, DOCS).withColumns(extra)
+    return spark.createDataFrame(EDGE_ROWS, DOCS).withColumns({c: F.lit(1) for c in INTERNAL})
 
 
 @pytest.fixture(scope="session")

@@ -2,6 +2,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import INTERNAL
 import xxhash
 
 from tillpoint.llm.common import connected_components
@@ -48,8 +51,33 @@ def test_edges(edge_docs, no_docs):
     assert near_duplicates(no_docs).count() == 0
     kept = drop_near_duplicates(edge_docs)
     assert kept.columns == edge_docs.columns
-    want = {r[0] for r in brute(rows) if r[0] == r[2]}
-    assert {r.doc_id for r in kept.collect()} == want
+    one_of_each(rows, kept.collect())
+
+
+def one_of_each(rows, kept):
+    """Exactly one row of every component, with the component's smallest id."""
+    fps = sorted({brute_fingerprint(t or "") for _, t in rows})
+    label = dict(zip(fps, brute_components(fps, 4).tolist()))
+    ids = {}
+    for i, t in rows:
+        ids.setdefault(label[brute_fingerprint(t or "")], []).append(i)
+    lowest = {c: min((i for i in v if i is not None), default=None) for c, v in ids.items()}
+    found = [(label[brute_fingerprint(r.text or "")], r.doc_id) for r in kept]
+    assert sorted(found, key=str) == sorted(lowest.items(), key=str)
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    """Near copies under one id, one id in several components, components without any id."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(7, " ".join(words)), (7, " ".join(words[:-1])), (7, "quite another text of the same id"),
+            (7, "quite another text of the same id"), (8, " ".join(words[1:])), (9, "alone here in peace"),
+            (None, "no id at all, first text"), (None, "no id at all, first text"),
+            (None, "without any id as well, but different words stand here"), (3, ""), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {c: F.lit("!") for c in INTERNAL})
+    out = drop_near_duplicates(docs)
+    assert out.columns == docs.columns and all(r.k == "!" for r in out.collect())
+    one_of_each(rows, out.collect())
 
 
 def test_fingerprint_of_long_text():

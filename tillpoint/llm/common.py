@@ -41,6 +41,14 @@ def unsigned_hex(column: Column) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
+def same_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys, where a null equals a null; the left columns only."""
+    on = F.lit(True)
+    for c in keys:
+        on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return left.alias("l").join(right.alias("r"), on, how).select("l.*")
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a task's edges, those that join two of its trees: same components, fewer edges."""
     parent: dict[int, int] = {}

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import doc_text, partitions, utf8
+from tillpoint.llm.common import WS, doc_text, partitions, same_key, utf8
 from tillpoint.operators.persist import materialize
 
 _ROWS = ("doc_id long, text_sha256 string, entry long, first boolean, head boolean, h long, "
@@ -200,21 +200,18 @@ def drop_copies(docs: DataFrame, **parameters) -> DataFrame:
     """The documents that stay, with all their columns.
 
     Of rows that share both id and normalised text one stays; rows that share only the id are
-    judged each by its own text.
+    judged each by its own text.  Columns of any name pass through.
     """
     groups = materialize(exact_groups(docs, **parameters).select(
-        "doc_id", "text_sha256", "kept"), "dedup-groups")
-    kept = groups.filter("kept").select("doc_id", "text_sha256")
-    repeated = groups.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    same_id = F.col("doc_id").eqNullSafe(F.col("k"))
+        F.col("doc_id").alias("k"), F.col("text_sha256").alias("sha"), "kept"), "dedup-groups")
+    kept = groups.filter("kept").select("k", "sha")
+    repeated = materialize(groups.groupBy("k").count().filter("count > 1").select("k"), "dedup-repeated")
+    # A document is one struct, so none of its columns can be mistaken for one of these.
+    whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("k"))
     if repeated.isEmpty():
-        return docs.join(kept.select(F.col("doc_id").alias("k")), same_id, "left_semi")
-    alone = kept.join(repeated, kept["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti")
-    once = docs.join(alone.select(F.col("doc_id").alias("k")), same_id, "left_semi")
-    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    again = (docs.join(repeated.select(F.col("doc_id").alias("k")), same_id, "left_semi")
-             .withColumn("__sha", F.sha2(body, 256)))
-    twice = kept.select(F.col("doc_id").alias("k"), F.col("text_sha256").alias("s")).distinct()
-    again = (again.join(twice, same_id & (F.col("__sha") == F.col("s")), "left_semi")
-             .dropDuplicates(["doc_id", "__sha"]).drop("__sha"))
-    return once.unionByName(again)
+        return same_key(whole, kept, ["k"], "left_semi").select("doc.*")
+    body = F.regexp_replace(F.coalesce(F.col("doc.text").cast("string"), F.lit("")), WS, " ")
+    once = same_key(same_key(whole, repeated, ["k"], "left_anti"), kept, ["k"], "left_semi")
+    again = same_key(same_key(whole, repeated, ["k"], "left_semi").withColumn("sha", F.sha2(body, 256)),
+                     kept, ["k", "sha"], "left_semi").dropDuplicates(["k", "sha"])
+    return once.select("doc.*").unionByName(again.select("doc.*"))

@@ -28,12 +28,14 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import connected_components, doc_text, partitions, unsigned_hex, utf8
+from tillpoint.llm.common import (
+    connected_components, doc_text, partitions, same_key, unsigned_hex, utf8)
 from tillpoint.operators.persist import materialize
 
 BITS = 64
@@ -202,9 +204,9 @@ def links(fps: DataFrame, distance: int, segments: int, prefix: int,
     return pairs.unionByName(stars)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segments: int = 10,
-                    prefix: int = 7, bucket_limit: int = 256) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+def _members(docs: DataFrame, shingle: int, distance: int, segments: int, prefix: int,
+             bucket_limit: int) -> DataFrame:
+    """(doc_id, fp, component, component_id) for each row; ``component`` is a fingerprint of it."""
     rows = materialize(fingerprints(docs, shingle), "simhash-rows")
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-fps")
     found = links(fps.select("fp"), distance, segments, prefix, bucket_limit)
@@ -212,15 +214,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segmen
     member = fps.join(parts, fps["fp"] == parts["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     lowest = member.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = materialize(member.join(lowest, "component").select("fp", "component_id"),
+    named = materialize(member.join(lowest, "component").select("fp", "component", "component_id"),
                         "simhash-named")
-    return rows.join(named, "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"),
-                                         "component_id")
+    return rows.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segments: int = 10,
+                    prefix: int = 7, bucket_limit: int = 256) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
+    return _members(docs, shingle, distance, segments, prefix, bucket_limit).select(
+        "doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
-    """The documents that represent their components, with all their columns."""
-    kept = (near_duplicates(docs, **parameters)
-            .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-                F.col("doc_id").alias("k")))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi")
+def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segments: int = 10,
+                         prefix: int = 7, bucket_limit: int = 256) -> DataFrame:
+    """One document of each component, with all its columns: the one with the smallest id.
+
+    Of several rows with that id the smallest fingerprint decides, then any.  Columns of any name
+    pass through.
+    """
+    members = materialize(_members(docs, shingle, distance, segments, prefix, bucket_limit),
+                          "simhash-members")
+    # Nulls come last: a component without any id still keeps a row.
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("k"), "fp")
+    kept = members.groupBy("component").agg(F.min(first).alias("x")).select("x.k", "x.fp")
+    repeated = materialize(members.groupBy(F.col("doc_id").alias("k")).count().filter("count > 1")
+                           .select("k"), "simhash-repeated")
+    # A document is one struct, so none of its columns can be mistaken for one of these.
+    whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("k"))
+    if repeated.isEmpty():
+        return same_key(whole, kept, ["k"], "left_semi").select("doc.*")
+    once = same_key(same_key(whole, repeated, ["k"], "left_anti"), kept, ["k"], "left_semi")
+
+    @F.pandas_udf("long")
+    def marked(texts: pd.Series) -> pd.Series:
+        return pd.Series([_signed(fingerprint(t.encode(), shingle)) for t in texts], dtype="int64")
+
+    text = F.coalesce(F.col("doc.text").cast("string"), F.lit(""))
+    again = same_key(whole, repeated, ["k"], "left_semi").withColumn(
+        "fp", marked(text))
+    again = same_key(again, kept, ["k", "fp"], "left_semi").dropDuplicates(["k", "fp"])
+    return once.select("doc.*").unionByName(again.select("doc.*"))
