@@ -94,3 +94,14 @@ def test_tokens_behind_a_name_and_of_any_length(spark):
     found = {r.doc_id: r.spans for r in find_secrets(docs).collect()}
     for k, (text, spans) in enumerate(cases):
         assert found[k] == spans, text[:100]
+
+
+def test_endpoints_of_any_length(spark):
+    long = "z" * 400
+    hosts = [f"https://{long}.example.com:8443", f"{long}.{'y' * 90}.example.com:5432",
+             "x." * 40 + "example.com:5432", "x." * 20_000 + "com:80"]
+    docs = spark.createDataFrame([(k, f"{KEY} {h} end") for k, h in enumerate(hosts)]
+                                 + [(10, f"{KEY} a..b:80 {'x.' * 9} 1:22")], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in find_secrets(docs).collect()}
+    assert [found[k] for k in range(4)] == [f"access:0:20,endpoint:21:{21 + len(h)}" for h in hosts]
+    assert found[10] == "access:0:20"

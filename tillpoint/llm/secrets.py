@@ -2,7 +2,7 @@ r"""Secret scan with multipart credential linking.
 
 Strong parts are reported wherever they stand: assigned secrets, access identifiers and long hex runs
 (the base kinds).  Weak parts prove nothing alone: an endpoint (``https://host...`` or host:port), a
-short assigned value, a bare token of mixed characters.  A weak part is reported only if
+short assigned value, a bare token of mixed characters, all of any length.  A weak part is reported only if
 complementary parts stand in its scope, i.e. within ``scope`` code points of it:
 
 * a bare token or short value needs an access identifier or an endpoint;
@@ -49,8 +49,8 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 # The method's own kinds.
 ENDPOINT = (r"(?:https?|wss?|ftp|jdbc:[a-z]+|s3|redis|mongodb|postgres(?:ql)?|mysql|amqp)://"
-            r"[A-Za-z0-9_@:.-]{4,200}"
-            r"|(?<![A-Za-z0-9.-])[a-z0-9-]{1,60}(?:\.[a-z0-9-]{1,60}){1,6}:[0-9]{2,5}(?![0-9])")
+            r"[A-Za-z0-9_@:.-]{4,}"
+            r"|(?<![A-Za-z0-9.-])(?![a-z0-9.-]*\.\.)[a-z0-9-][a-z0-9.-]*\.[a-z0-9-]+:[0-9]{2,5}(?![0-9])")
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])"
 _MIXED = ("[0-9]", "[a-z]", "[A-Z]")  # what a run must hold to be a token
 KINDS = ("assign", "access", "hex", "endpoint", "short", "token")  # as listed in spans
