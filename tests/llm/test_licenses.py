@@ -137,3 +137,30 @@ def test_alternatives_have_their_own_keywords(spark):
         assert out[k].labels == label and out[k].score > 0.5, (text, out[k])
     both = spark.createDataFrame([(1, "gpl gplv3 gpl 3")], "doc_id long, text string")
     assert scan_licenses(both).first().n_found == 3  # two of gpl-3, one of gpl
+
+
+def test_short_forms(spark):
+    cases = {"licensed under Apache-2.0": "apache-2", "LGPLv3": "lgpl-3", "AGPLv3 or later": "agpl-3",
+             "MPL 2.0": "mpl-2", "EPL-2.0": "epl-2", "EUPL-1.2": "eupl-1-2", "GFDL 1.3": "gfdl",
+             "MIT-licensed": "mit", "LGPL 2.1": "lgpl-2-1", "LGPL-2.1-or-later": "lgpl-2-1",
+             "BSD-licensed code": "bsd", "released under the terms of the ISC": "isc",
+             "agpl version 3.0": "agpl-3", "commit mit isc vim 2.0, python 2.0 and apache 2.0": "",
+             "published by Intel, provided by Ruby": ""}
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    out = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    for k, (text, label) in enumerate(cases.items()):
+        assert out[k].labels == label and (out[k].score > 0) == bool(label), (text, out[k])
+
+
+def test_tag_of_every_license_in_a_notice(spark):
+    """The SPDX short form of each listed license, as a tag, in a notice and before "licensed"."""
+    cases = []
+    for label, _, _, tag in LICENSES:
+        for words in {_every(re._parser.parse(tag))[0], _every(re._parser.parse(tag))[-1]}:
+            short = words.replace(" ", "-").upper()
+            cases += [(label, f"SPDX-License-Identifier: {short}"), (label, f"Licensed under {short}."),
+                      (label, f"This is {short} licensed.")]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(cases)], "doc_id long, text string")
+    out = {r.doc_id: r.labels.split(",") for r in scan_licenses(docs).collect()}
+    wrong = [(text, label, out[k]) for k, (label, text) in enumerate(cases) if label not in out[k]]
+    assert not wrong, wrong

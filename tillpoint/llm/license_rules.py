@@ -24,8 +24,13 @@ CLASSES = {"base": (0, 0.9), "tag": (1, 1.0), "text": (2, 0.95), "notice": (3, 0
 
 _V = r"(?:(?:version|v|ver) ?)?"
 _LIC = r"licen[sc]e"
-# First words of "gpl ?{_V}N".
-_GPL = "gpl|gplv|gplver|gplversion|gpl{0}|gplv{0}|gplver{0}|gplversion{0}"
+
+
+def _numbered(name: str, number: str) -> str:
+    """First words of "name ?{_V}number"."""
+    return "|".join(f"{name}{v}{n}" for n in ("", number) for v in ("", "v", "ver", "version"))
+
+
 # label, keywords, name as it stands in prose, SPDX tags (words)
 LICENSES = [
     ("mit", "mit|expat", rf"(?:mit|expat)(?: x11)? {_LIC}", "mit"),
@@ -43,8 +48,8 @@ LICENSES = [
     ("gpl-3", "gnu", rf"gnu general public {_LIC} {_V}3(?: 0)?", "gpl 3 0(?: only| or later)?"),
     ("gpl-2", "gnu", rf"gnu general public {_LIC} {_V}2(?: 0)?", "gpl 2 0(?: only| or later)?"),
     ("gpl-1", "gnu", rf"gnu general public {_LIC} {_V}1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    ("gpl-3", _GPL.format(3), rf"gpl ?{_V}3(?: 0)?", "gpl 3"),
-    ("gpl-2", _GPL.format(2), rf"gpl ?{_V}2(?: 0)?", "gpl 2"),
+    ("gpl-3", _numbered("gpl", "3"), rf"gpl ?{_V}3(?: 0)?", "gpl 3"),
+    ("gpl-2", _numbered("gpl", "2"), rf"gpl ?{_V}2(?: 0)?", "gpl 2"),
     ("lgpl-3", "gnu", rf"gnu (?:lesser|library) general public {_LIC} {_V}3(?: 0)?",
      "lgpl 3 0(?: only| or later)?"),
     ("lgpl-2-1", "gnu", rf"gnu (?:lesser|library) general public {_LIC} {_V}2 1",
@@ -125,6 +130,17 @@ LICENSES = [
     ("ipl-1", "ibm", rf"ibm public {_LIC}(?: {_V}1(?: 0)?)?", "ipl 1 0"),
 ]
 
+# Acronyms that need no word beside them, with a version: "LGPLv3", "MPL 2.0", "EUPL-1.2".
+SHORT = [
+    ("lgpl-3", "lgpl", "3(?: 0)?"), ("lgpl-2-1", "lgpl", "2 1"), ("lgpl-2", "lgpl", "2(?: 0)?"),
+    ("agpl-3", "agpl", "3(?: 0)?"), ("agpl-1", "agpl", "1(?: 0)?"), ("gpl-1", "gpl", "1(?: 0)?"),
+    ("gfdl", "gfdl", "1 [123]"), ("mpl-2", "mpl", "2(?: 0)?"), ("mpl-1-1", "mpl", "1 1"),
+    ("mpl-1", "mpl", "1 0"), ("epl-2", "epl", "2(?: 0)?"), ("epl-1", "epl", "1(?: 0)?"),
+    ("eupl-1-2", "eupl", "1 [12]"), ("cddl-1", "cddl", "1 [01]"), ("sspl-1", "sspl", "1(?: 0)?"),
+    ("busl-1-1", "busl", "1 1"), ("odbl-1", "odbl", "1(?: 0)?"), ("pddl-1", "pddl", "1(?: 0)?"),
+    ("lppl-1-3", "lppl", "1 3[ac]?"),
+]
+
 # Phrases of the licenses' own texts.
 TEXTS = [
     ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy"),
@@ -202,6 +218,7 @@ URLS = [
 GENERIC = [
     ("gpl", "gnu", rf"gnu general public {_LIC}"), ("gpl", "gpl", r"gpl"),
     ("lgpl", "gnu", rf"gnu (?:lesser|library) general public {_LIC}"), ("lgpl", "lgpl", r"lgpl"),
+    ("bsd", "bsd", "bsd licen[sc]ed"),
     ("agpl", "agpl", r"agpl"), ("bsd", "bsd", rf"bsd(?: style)? {_LIC}"),
     ("apache", "apache", rf"apache(?: software)? {_LIC}"),
     ("mpl", "mozilla", rf"mozilla public {_LIC}"), ("epl", "eclipse", rf"eclipse public {_LIC}"),
@@ -212,6 +229,17 @@ GENERIC = [
 _UNDER = (r"(?:licensed|released|distributed|available|published|provided|covered|governed|shared"
           r"|redistributed|relicensed|dual licensed|offered|issued)(?: to you)? (?:under|by|with) "
           r"(?:the )?(?:(?:terms|conditions)(?: and conditions)? of )?(?:the )?(?:a )?")
+# Before a bare SPDX tag, which may be an everyday word.
+_UNDER_TAG = r"(?:licen[sc]ed|relicensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?"
+
+
+def _first_words(tag: str) -> str:
+    """The words a tag can begin with."""
+    if tag.startswith("(?:"):
+        return tag[3:tag.index(")")]
+    return tag.replace("(", " ").split(" ")[0]
+
+
 # The phrases that every scan must report.
 BASE = [("mit", "mit", "under the mit license"), ("apache-2", "apache", "apache license version 2"),
         ("cc-by-nc", "cc", "cc by nc")]
@@ -224,8 +252,13 @@ def rules() -> list[Rule]:
     out += [(label, "text", k, p) for label, k, p in TEXTS]
     out += [(label, "notice", k, f"{_UNDER}(?:{name})") for label, k, name, _ in LICENSES]
     out += [(label, "notice", "creative", f"{_UNDER}(?:{name})") for label, name in FULL]
+    out += [(label, "notice", _first_words(tag), f"{_UNDER_TAG}(?:{tag})")
+            for label, _, _, tag in LICENSES]
     out += [(label, "url", k, p) for label, k, p in URLS]
     out += [(label, "name", k, name) for label, k, name, _ in LICENSES]
     out += [(label, "name", "creative", name) for label, name in FULL]
+    out += [(label, "name", _numbered(name, version[0]), f"{name} ?{_V}{version}(?: only| or later)?")
+            for label, name, version in SHORT]
+    out += [(label, "name", _first_words(tag), f"(?:{tag}) licen[sc]ed") for label, _, _, tag in LICENSES]
     out += [(label, "generic", k, p) for label, k, p in GENERIC]
     return [Rule(label, kind, tuple(k.split("|")), p) for label, kind, k, p in out]

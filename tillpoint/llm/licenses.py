@@ -33,7 +33,9 @@ GATE = (rf"(?i)licen[sc]e|gpl|spdx|wtfpl|cddl|cecill|beerware|cc(?:0|{GAP}by)|co
         rf"|bsd{GAP}[234]{GAP}clause|zero{GAP}clause|proprietary|commercial|research{GAP}|eupl"
         rf"|mulan|open{GAP}source{GAP}agreement|unauthorized|waived|as{GAP}is{GAP}without"
         rf"|advertising{GAP}materials|altered{GAP}source|the{GAP}fuck|mozilla{GAP}org"
-        rf"|eclipse{GAP}org|opendatacommons|sil{GAP}org|creativecommons")
+        rf"|eclipse{GAP}org|opendatacommons|sil{GAP}org|creativecommons"
+        rf"|(?:released|distributed|available){GAP}under"
+        rf"|(?:mpl|epl|gfdl|sspl|busl|odbl|pddl|lppl)(?:{GAP})?(?:v(?:er(?:sion)?)?)?(?:{GAP})?[0-9]")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
