@@ -79,10 +79,10 @@ WITH whole AS (
     WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 pairs AS (
     SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-    FROM whole q JOIN whole c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+    FROM whole q JOIN whole c ON c.vec_id IS DISTINCT FROM q.vec_id AND len(c.v) = len(q.v)
     WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(ROW_NUMBER() OVER best AS INTEGER) AS rank, vec_id, score
-FROM pairs WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+FROM pairs WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST)
 QUALIFY ROW_NUMBER() OVER best <= 5"""
 
 

@@ -2,25 +2,32 @@
 
 Vectors become integers, floor(256 x).  Candidates lie in blocks of at most ``block_rows`` rows; a
 block keeps, for each component, the order of its rows by value: one sorted list a component.  A
-query of weight q reads list j from its top where q_j > 0 and from its bottom where q_j < 0, so
-contributions q_j x_j come in falling order.  Depth by depth, for a block of queries at once:
+query q reads list j from its top where q_j > 0 and from its bottom where q_j < 0 (and not where it
+is 0), so contributions q_j x_j come in falling order.  All its lists are read on, ``chunk`` entries at
+a time, and each entry is added to its row where it comes up; no row is looked up:
 
-* lower bound of a row: what its read components give, and for each unread one the least that the
-  list's far end can give;
-* upper bound: the same with the value at the current depth for each unread component;
-* a row whose upper bound is below the query's k-th best lower bound is out.  Reading stops when
-  few rows are left, and their final scores are resolved by reading on for them alone.
+* lower bound of a row: what its entries so far give, and for each list in which it has not come up
+  the least that the list's far end can give;
+* upper bound: the same with the value that the list has reached for each of those;
+* a row whose upper bound is below the query's k-th best lower bound is out.  No upper bound is below
+  the sum of what the lists have reached, so bounds are compared only once that sum is below.
 
-The k-th best score of a query so far carries over to the next blocks of a task as its threshold;
-a block none of whose rows can reach it is left before the first read.
+Reading stops when no more rows are left than are to be found, or than are worth another chunk;
+final scores of the rows left come from one pass over their stored vectors.  The k-th best score of
+a query so far carries over to the next blocks of a task as its threshold, and a block none of whose rows
+can reach it is left before the first entry.
 
 The queries are a stated set.  They meet the candidates block by block: candidate blocks are dealt
 to shards, each query block goes to every shard once, and the k best rows of every pair of blocks
-are merged by query.
+are merged by query.  A task holds one block of each side and the thresholds of one query block.
+
+On dense vectors of little spread the bounds meet late, after half of the entries or more, so fewer
+entries are read than a full product has terms, but each costs more than a term.
 
 Edge cases: vectors that are null or hold null or non-finite components take no part; only vectors of
 one length are compared; empty vectors score 0 with each other; a query with fewer candidates than k
-gets all; rows that share a vec_id are separate candidates, and a query row excludes itself only.
+gets all; rows that share a vec_id are separate candidates, and a query row excludes itself only; a
+row without a vec_id is no query, but a candidate, behind all others of its score.
 """
 
 from __future__ import annotations
@@ -36,7 +43,7 @@ from pyspark.sql import functions as F
 from tillpoint.llm.common import partitions
 from tillpoint.operators.persist import materialize
 
-_BLOCK = "block long, dim int, rids binary, ids binary, rows binary"
+_BLOCK = "block long, dim int, rids binary, ids binary, named binary, rows binary"
 _FOUND = "query_rid long, query_id long, rid long, vec_id long, score long"
 
 
@@ -53,8 +60,9 @@ def _blocks(block_rows: int):
             values = np.array(vectors, "<i8").reshape(len(rows), dim)
             return pa.RecordBatch.from_pydict({
                 "block": [at], "dim": pa.array([dim], pa.int32()),
-                "rids": [np.array(rids, "<i8").tobytes()], "ids": [np.array(ids, "<i8").tobytes()],
-                "rows": [values.tobytes()]})
+                "rids": [np.array(rids, "<i8").tobytes()],
+                "ids": [np.array([i or 0 for i in ids], "<i8").tobytes()],
+                "named": [np.array([i is not None for i in ids]).tobytes()], "rows": [values.tobytes()]})
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -71,109 +79,102 @@ def _blocks(block_rows: int):
 class Lists:
     """The sorted lists of a block of candidates."""
 
-    def __init__(self, rids: bytes, ids: bytes, rows: bytes, dim: int):
+    def __init__(self, rids: bytes, ids: bytes, named: bytes, rows: bytes, dim: int):
         self.rids, self.ids = np.frombuffer(rids, "<i8"), np.frombuffer(ids, "<i8")
+        self.named = np.frombuffer(named, bool)
         self.x = np.frombuffer(rows, "<i8").reshape(len(self.rids), dim)
-        largest = int(np.abs(self.x).max(initial=0))
-        self.largest = largest
-        order = np.argsort(self.x, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.x, order, 0)
-        self.rank = np.empty_like(order)
-        np.put_along_axis(self.rank, order, np.arange(len(self.x))[:, None], 0)
-
-    def read(self, depth: int) -> tuple:
-        """Masks of what ``depth`` rows from top and bottom show, and the values at that depth."""
+        self.order = np.argsort(self.x, axis=0, kind="stable")
+        self.values = np.take_along_axis(self.x, self.order, 0)
+
+    def entries(self, rising: np.ndarray, falling: np.ndarray, a: int, b: int):
+        """Rows and values number ``a`` to ``b`` of the lists, in the order they are read."""
         n = len(self.x)
-        return (self.rank >= n - depth, self.rank < depth,
-                self.sorted[max(0, n - depth - 1)], self.sorted[min(n - 1, depth)])
+        top, low = slice(n - b, n - a), slice(a, b)
+        return (np.hstack([self.order[top, falling][::-1], self.order[low, rising]]),
+                np.hstack([self.values[top, falling][::-1], self.values[low, rising]]))
+
 
+class Work:
+    """Entries read and vectors resolved, to compare with a full product."""
 
-def nra(lists: Lists, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray,
-        steps=(0.125, 0.25, 0.5), resolve: float = 0.1) -> Iterator[tuple]:
-    """Yield (query row, candidate rows, scores): at least the k best rows above ``floor``.
+    def __init__(self):
+        self.entries = self.resolved = 0
 
-    ``own``: row ids of the queries, never among their own candidates.  ``floor``: a score that k
-    other candidates of the query already reach.
+
+def nra(lists: Lists, q: np.ndarray, own: int, k: int, floor: int, chunk: int = 256,
+        work: Work | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(candidate rows, scores) of one query: at least the k best rows that reach ``floor``.
+
+    ``own``: row id of the query, never its own candidate.  ``floor``: a score that k other
+    candidates already reach.
     """
-    n = len(lists.x)
-    exact = lists.largest * int(np.abs(queries).max(initial=0)) * max(1, queries.shape[1]) < 2**53
-    kind = np.float64 if exact else np.int64  # whole numbers below 2**53 are exact in a double
-    q = queries.astype(kind)
-    x = lists.x.astype(kind)
-    plus, minus = np.maximum(q, 0).T, np.minimum(q, 0).T
-    low, high = lists.sorted[0].astype(kind), lists.sorted[-1].astype(kind)
-    least = low @ plus + high @ minus  # each list's far end
-    best = high @ plus + low @ minus
-    alive = np.flatnonzero(best >= floor)  # else no row of the block can reach the threshold
-    rows = {int(i): None for i in alive}
-    for step in steps:
-        depth = int(n * step)
-        if depth < 1 or not len(alive) or n <= 4 * k:
-            break
-        top, bottom, at_top, at_bottom = lists.read(depth)
-        p, m = plus[:, alive], minus[:, alive]
-        t, b = top.astype(kind), bottom.astype(kind)
-        # what is read, less what its list would count for it unread
-        lower = least[alive] + (t * (x - low)) @ p + (b * (x - high)) @ m
-        a, z = at_top.astype(kind), at_bottom.astype(kind)
-        upper = (a @ p + z @ m) + (t * (x - a)) @ p + (b * (x - z)) @ m
-        same = lists.rids[:, None] == own[alive][None, :]
-        lower[same] = np.iinfo(np.int64).min // 2
-        kth = np.maximum(np.partition(lower, n - k, axis=0)[n - k], floor[alive])
-        open_ = (upper >= kth) & ~same
-        few = open_.sum(axis=0) <= max(k, resolve * n)
-        for j in np.flatnonzero(few):
-            rows[int(alive[j])] = np.flatnonzero(open_[:, j])
-        alive = alive[~few]
-        if not len(alive):
-            break
-    if len(alive):  # read to the end
-        scores = x @ q[alive].T
-        for j, i in enumerate(alive):
-            own_out = np.flatnonzero(lists.rids != own[i])
-            yield int(i), own_out, scores[own_out, j]
-    for i, left in rows.items():
-        if left is not None:
-            yield i, left, x[left] @ q[i]
-
-
-def _search(k: int):
+    n, work = len(lists.x), work or Work()
+    falling, rising = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
+    weights = np.concatenate([q[falling], q[rising]])
+    far = weights * np.concatenate([lists.values[0, falling], lists.values[-1, rising]])
+    reached = weights * np.concatenate([lists.values[-1, falling], lists.values[0, rising]])
+    alive = np.flatnonzero(lists.rids != own)
+    if reached.sum() < floor:
+        return alive[:0], np.empty(0, np.int64)
+    lower, seen = np.full(n, far.sum()), np.zeros((n, len(weights)), bool)
+    columns, depth = np.arange(len(weights))[None, :], 0
+    while depth < n and len(weights) and len(alive) > max(k, chunk):
+        rows, values = lists.entries(rising, falling, depth, min(n, depth + chunk))
+        work.entries += rows.size
+        np.add.at(lower, rows, values * weights - far)
+        seen[rows, columns] = True
+        depth += chunk
+        reached = weights * values[-1]
+        best = lower[alive]
+        kth = max(floor, np.partition(best, len(best) - k)[len(best) - k])
+        if reached.sum() < kth:
+            upper = best + (reached - far).sum() - seen[alive] @ (reached - far)
+            alive = alive[upper >= kth]
+    work.resolved += len(alive)
+    return alive, lists.x[alive] @ q
+
+
+def _best(lists: Lists, rows: np.ndarray, scores: np.ndarray, k: int):
+    """The k best of some rows; ties go to smaller ids, rows without an id last."""
+    if len(rows) > k:
+        rows, scores = (v[scores >= np.partition(scores, len(scores) - k)[len(scores) - k]]
+                        for v in (rows, scores))
+        order = np.lexsort((lists.ids[rows], ~lists.named[rows], -scores))[:k]
+        rows, scores = rows[order], scores[order]
+    return rows, scores
+
+
+def _search(k: int, chunk: int):
+    lowest = np.iinfo(np.int64).min // 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floors: dict[int, list[np.ndarray]] = {}
-        last, lists = None, None
+        block, lists, q_block, kept = None, None, None, None
         for batch in batches:
             for row in batch.to_pylist():
-                if row["block"] != last:
-                    last = row["block"]
-                    lists = Lists(row["rids"], row["ids"], row["rows"], row["dim"])
-                own = np.frombuffer(row["q_rids"], "<i8")
-                names = np.frombuffer(row["q_ids"], "<i8")
+                if row["block"] != block:
+                    block = row["block"]
+                    lists = Lists(row["rids"], row["ids"], row["named"], row["rows"], row["dim"])
+                own, names = np.frombuffer(row["q_rids"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
                 queries = np.frombuffer(row["q_rows"], "<i8").reshape(len(own), row["dim"])
-                lowest = np.iinfo(np.int64).min // 2
-                kept = floors.setdefault(row["q_block"], np.full((len(own), k), lowest))
-                out = {c: [] for c in ("query_rid", "query_id", "rid", "vec_id", "score")}
-                for i, cand, scores in nra(lists, queries, own, k, kept[:, 0].copy()):
-                    s = scores.astype(np.int64)
-                    if len(s) > k:  # all ties with the k-th stay in until ids decide
-                        edge = np.partition(s, len(s) - k)[len(s) - k]
-                        keep = np.flatnonzero(s >= edge)
-                        order = np.lexsort((lists.ids[cand[keep]], -s[keep]))[:k]
-                        cand, s = cand[keep[order]], s[keep[order]]
-                    out["query_rid"] += [int(own[i])] * len(s)
-                    out["query_id"] += [int(names[i])] * len(s)
-                    out["rid"] += lists.rids[cand].tolist()
-                    out["vec_id"] += lists.ids[cand].tolist()
-                    out["score"] += s.tolist()
-                    kept[i] = np.sort(np.concatenate([kept[i], s]))[-k:]
-                yield pa.RecordBatch.from_pydict(
-                    {c: pa.array(v, pa.int64()) for c, v in out.items()})
+                if row["q_block"] != q_block:
+                    q_block, kept = row["q_block"], np.full((len(own), k), lowest)
+                out: list[tuple] = []
+                for i, q in enumerate(queries):
+                    found, scores = _best(lists, *nra(lists, q, own[i], k, kept[i, 0], chunk), k)
+                    out += [(int(own[i]), int(names[i]), int(lists.rids[r]),
+                             int(lists.ids[r]) if lists.named[r] else None, int(score))
+                            for r, score in zip(found, scores)]
+                    kept[i] = np.sort(np.concatenate([kept[i], scores]))[-k:]
+                columns = list(zip(*out)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                                 ["query_rid", "query_id", "rid", "vec_id", "score"])
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
           vector_col: str = "embedding", block_rows: int = 4096, query_rows: int = 512,
-          scale: int = 256) -> DataFrame:
+          scale: int = 256, chunk: int = 256) -> DataFrame:
     """Per query its k best candidates: query_id, rank (from 1), vec_id, score; ties to smaller id.
 
     ``is_query``: condition on ``vectors`` that states the query set.
@@ -187,22 +188,23 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         vectors.filter(v.isNotNull()).filter(finite)
         .select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"),
                 F.coalesce(is_query, F.lit(False)).alias("is_query"))
-        .withColumn("rid", F.monotonically_increasing_id()), "topk-vectors").filter(
-        "vec_id is not null")
+        .withColumn("rid", F.monotonically_increasing_id()), "topk-vectors")
     n = partitions(spark)
     rows = known.select("rid", "vec_id", "v")
     blocks = materialize(
         rows.repartition(n, "rid").mapInArrow(_blocks(block_rows), _BLOCK)
         .withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(n))), "topk-blocks")
-    asked = (known.filter("is_query").select("rid", "vec_id", "v")
+    asked = (known.filter("is_query and vec_id is not null").select("rid", "vec_id", "v")
              .repartition(max(1, n // 4), "rid").mapInArrow(_blocks(query_rows), _BLOCK))
     asked = materialize(asked.select(
         F.col("block").alias("q_block"), "dim", F.col("rids").alias("q_rids"),
         F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows")), "topk-queries")
     everywhere = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    met = blocks.join(everywhere.withColumn("shard", F.col("shard").cast("long")),
-                      ["shard", "dim"])
-    found = materialize(met.mapInArrow(_search(k), _FOUND), "topk-found")
-    order = Window.partitionBy("query_rid").orderBy(F.desc("score"), "vec_id", "rid")
+    # Query blocks are the streamed side: each meets all blocks of its shard one after the other, so
+    # the thresholds of one query block are held at a time.
+    met = everywhere.withColumn("shard", F.col("shard").cast("long")).join(
+        blocks.hint("merge"), ["shard", "dim"])
+    found = materialize(met.mapInArrow(_search(k, chunk), _FOUND), "topk-found")
+    order = Window.partitionBy("query_rid").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "rid")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
