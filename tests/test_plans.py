@@ -119,6 +119,59 @@ def test_reduced_facts_keep_every_selected_key(spark):
     assert set(range(3, 20_000, 100)) <= left and len(left) < 1000
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from tillpoint.plans.registry import bucketed_model, status_revenue
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items, orders = bucketed_model(spark, SF, 4)
+        plan = _plan(status_revenue(items, orders))
+        files = items.select("_metadata.file_path").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "hashpartitioning(order_id" not in plan
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan  # the sum by status
+    assert files == 4
+
+
+def test_distinct_counts_of_the_cohorts_share_one_aggregation(spark):
+    plan = _plan(E.queries()["cohort_retention"](spark, SF))
+    assert "Expand" not in plan
+    assert plan.count("bitmap_construct_agg") > 0
+
+
+def test_rows_with_a_fingerprint_of_their_own_are_not_moved(spark):
+    """Forced collisions, repeats, nulls by place and both zeros."""
+    from pyspark.sql import functions as F
+
+    from tillpoint.operators import clean as C
+    from tillpoint.operators import profile as PR
+
+    rows = [(k, "x", None) for k in range(50)] + [(1, None, "x"), (None, "x", "1"), (7, "x", None)] * 3
+    df = spark.createDataFrame(rows, "a long, b string, c string")
+    for fp in (None, F.lit(1).cast("long"), F.xxhash64("a")):
+        alone, others = C.split_by_repeats(df, fp)
+        assert alone.count() + others.count() == len(rows)
+        assert alone.unionByName(others.dropDuplicates()).count() == len(set(rows))
+    assert C.split_by_repeats(df)[0].count() == 49
+    assert sorted(map(str, C.dedup_rows(df).collect())) == sorted(map(str, df.distinct().collect()))
+    assert PR.duplicate_count(df).first()[0] == len(rows) - len(set(rows))
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "v double")
+    assert C.dedup_rows(zeros).count() == zeros.dropDuplicates().count() == 2
+
+
+def test_scratch_tables_are_deleted(spark):
+    import os
+
+    from tillpoint.operators.clean import exact_quantiles
+    from tillpoint.session import checkpoint_dir
+
+    before = set(os.listdir(checkpoint_dir(spark)))
+    assert exact_quantiles(spark.range(100).toDF("v"), {"v": [0.5]}) == {"v": [49.5]}
+    assert set(os.listdir(checkpoint_dir(spark))) == before
+
+
 def test_merge_keeps_the_target_on_the_probe_side(spark):
     for name in ("merge_upsert", "merge_changes"):
         plan = _plan(E.queries()[name](spark, SF))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillpoint.functions.exprs import parse_timestamp, round_half_up, strip_ws, title_case
-from tillpoint.operators.persist import materialize
+from tillpoint.operators.joins import filter_words, may_hold
+from tillpoint.operators.persist import materialize, scratch
 
 # Text tokens that stand for a missing number; the two order-date formats of
 # the raw order file (timestamp text, and day-month-year); the separator style dates are
@@ -78,8 +79,30 @@ def fill_constants(df: DataFrame, values: dict) -> DataFrame:
 
 
 # C5
+def row_fingerprint(df: DataFrame) -> Column:
+    """A hash of a whole row; nulls count by their place."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
+def split_by_repeats(df: DataFrame, fingerprint: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that are alone for certain, the others): only narrow fingerprints are counted.
+
+    The fingerprints that repeat fill a filter of fixed size; rows it does not know are alone,
+    all others, the few it knows by chance included, are still to be compared.
+    """
+    fp = row_fingerprint(df) if fingerprint is None else fingerprint
+    repeated = (df.select(fp.alias("_fp")).groupBy("_fp").agg(F.count(F.lit(1)).alias("n"))
+                .filter("n > 1"))
+    known = may_hold(df.withColumn("_fp", fp), materialize(filter_words(repeated, "_fp"), "repeats"),
+                     "_fp", "_twice").drop("_fp")
+    return known.filter(~F.col("_twice")).drop("_twice"), known.filter("_twice").drop("_twice")
+
+
 def dedup_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """Rows without repeats; only rows whose fingerprint repeats are moved and compared."""
+    alone, others = split_by_repeats(df)
+    return alone.unionByName(others.dropDuplicates())
 
 
 # C6
@@ -156,6 +179,12 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], bins: int = 2
     pairs.  The driver sees counts of that bounded size; a value repeated on a third of all
     rows is one pair.  NULL and NaN do not count.
     """
+    with scratch(df.sparkSession):
+        return _exact_quantiles(df, wanted, bins, leaf)
+
+
+def _exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], bins: int,
+                     leaf: int) -> dict[str, list[float | None]]:
     cols, bits = list(wanted), bins.bit_length() - 1
     values = df.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(cols)])
     for k in range(len(cols)):

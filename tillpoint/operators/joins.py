@@ -20,18 +20,33 @@ def _word_and_mask(key: str, words: int) -> tuple[Column, Column]:
     return F.pmod(h, F.lit(words)), mask
 
 
-def reduce_facts(facts: DataFrame, selected: DataFrame, key: str,
-                 words: int = FILTER_WORDS) -> DataFrame:
-    """``facts`` without most rows whose key is not selected; every selected key stays.
+def filter_words(selected: DataFrame, key: str, words: int = FILTER_WORDS) -> DataFrame:
+    """A Bloom filter of the keys, (_word, _bits): 64 bits to a word, two bits to a key.
 
-    A Bloom filter of fixed size, 64 bits to a word and two bits to a key, is built by one
-    aggregation and broadcast; its size does not depend on the data.
+    It is built by one aggregation, and its size does not depend on the data.
     """
     word, mask = _word_and_mask(key, words)
-    bits = selected.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(
+    return selected.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(
         F.bit_or("_mask").alias("_bits"))
+
+
+def may_hold(facts: DataFrame, bits: DataFrame, key: str, flag: str,
+             words: int = FILTER_WORDS) -> DataFrame:
+    """``facts`` with a column that is false only where the key is not in the filter."""
+    word, mask = _word_and_mask(key, words)
+    held = facts.withColumns({"_word": word, "_mask": mask}).join(
+        F.broadcast(bits), "_word", "left")  # at most ``words`` rows of 16 bytes
+    return held.withColumn(flag, F.coalesce(
+        F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))).drop(
+        "_word", "_mask", "_bits")
+
+
+def reduce_facts(facts: DataFrame, selected: DataFrame, key: str,
+                 words: int = FILTER_WORDS) -> DataFrame:
+    """``facts`` without most rows whose key is not selected; every selected key stays."""
+    word, mask = _word_and_mask(key, words)
     held = facts.withColumns({"_word": word, "_mask": mask})
-    return (held.join(F.broadcast(bits), "_word")
+    return (held.join(F.broadcast(filter_words(selected, key, words)), "_word")
             .filter(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"))
             .drop("_word", "_mask", "_bits"))
 

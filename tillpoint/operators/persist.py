@@ -4,13 +4,33 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tillpoint.session import checkpoint_dir
 
+_scopes: list[list[str]] = []
 
-def materialize(df: DataFrame, label: str = "t") -> DataFrame:
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialize`` writes inside, but those it is told to keep.
+
+    For work whose result is a value or another written table; a lazy result that leaves the
+    block must not read them.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def materialize(df: DataFrame, label: str = "t", keep: bool = False) -> DataFrame:
     """Write ``df`` as parquet under ``spark.checkpoint.dir`` and return a reader of it.
 
     Used where a plan needs several passes over an intermediate result (count, sample,
@@ -19,5 +39,7 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    if _scopes and not keep:
+        _scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillpoint.operators.clean import split_by_repeats
+
 
 def head(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
@@ -54,8 +56,11 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each group of identical rows (one aggregation)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows beyond the first of each group of identical rows.
+
+    Whole rows are compared only where fingerprints repeat.
+    """
+    groups = split_by_repeats(df)[1].groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint")
                       .alias("duplicate_rows"))
 

@@ -264,6 +264,10 @@ SELECT order_id, COALESCE(customer_name, 'Unknown') AS customer_name, category,
        COALESCE(CAST(sales AS DOUBLE), m.m_sales) AS sales,
        COALESCE(CAST(quantity AS DOUBLE), m.m_quantity) AS quantity
 FROM raw, m"""),
+    "bucketed_status_revenue": with_views("""
+SELECT status, COUNT(DISTINCT order_id) AS orders, COUNT(*) AS lines,
+       CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS revenue
+FROM order_items JOIN orders_v USING (order_id) GROUP BY status""", "order_items", "orders_v"),
     "median_approx": _sales("""
 SELECT column_name, COUNT(value) AS n_values, TRUE AS within_tolerance
 FROM (SELECT CAST(sales AS DOUBLE) AS sales, CAST(quantity AS DOUBLE) AS quantity,

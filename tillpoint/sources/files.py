@@ -61,6 +61,19 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int,
+                   path: str | None = None) -> DataFrame:
+    """A Parquet table bucketed and sorted by ``keys``; tables of equal buckets join without a shuffle.
+
+    Rows are dealt by the keys first, so a bucket is one file.  The table's entry lives in the
+    session's catalog, its files under ``path``.
+    """
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path or scratch_path(df.sparkSession, name)).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def load_tables(tables: dict[str, DataFrame], root: str) -> DataFrame:
     """Replace-load each table under ``root/<name>`` and return (table_name, row_count)."""
     counts = None
