@@ -120,7 +120,7 @@ def test_every_match_holds_a_keyword():
         if r.kind != "notice":
             for text in _every(re._parser.parse(r.pattern)):
                 assert re.search(f"(?<= )(?:{r.pattern})(?= )", f" {text} "), (r, text)
-                assert any(f" {k} " in f" {text} " for k in r.keywords), (r, text)
+                assert any(f" {k} ".replace("* ", "") in f" {text} " for k in r.keywords), (r, text)
 
 
 def test_alternatives_have_their_own_keywords(spark):

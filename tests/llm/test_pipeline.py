@@ -13,7 +13,7 @@ from tillpoint.llm.packing import pack
 
 def test_registered():
     names = [k for k in E.queries() if k.startswith("op")]
-    assert sorted(names) == sorted(QUERIES) and len(names) == 10 and "pipeline" in E.queries()
+    assert sorted(names) == sorted(QUERIES) and len(names) == 13 and "pipeline" in E.queries()
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
@@ -46,6 +46,13 @@ def test_stages_one_by_one(spark):
 
 
 def test_run(spark):
+    import os
+
+    from tillpoint.session import checkpoint_dir
+
+    before = set(os.listdir(checkpoint_dir(spark)))
     out = corpus_pipeline.run(spark, SF)
+    left = set(os.listdir(checkpoint_dir(spark))) - before
+    assert len(left) == 5 and all(name.startswith("pipeline-") for name in left)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert out.count() > 0

@@ -2,7 +2,7 @@
 
 A rule is matched on a text's words, lower case, with one blank between (so "2.0" is "2 0" and
 "MPL-2.0" is "mpl 2 0").  ``keywords`` are words of which every match holds at least one, one for each
-alternative ("gpl|gplv3" in the lists below).
+alternative ("rail|openrail" in the lists below), or with a star the beginnings of words.
 Rules are ordered: class first (see ``CLASSES``), then their place in this list.
 """
 
@@ -24,13 +24,6 @@ CLASSES = {"base": (0, 0.9), "tag": (1, 1.0), "text": (2, 0.95), "notice": (3, 0
 
 _V = r"(?:(?:version|v|ver) ?)?"
 _LIC = r"licen[sc]e"
-
-
-def _numbered(name: str, number: str) -> str:
-    """First words of "name ?{_V}number"."""
-    return "|".join(f"{name}{v}{n}" for n in ("", number) for v in ("", "v", "ver", "version"))
-
-
 # label, keywords, name as it stands in prose, SPDX tags (words)
 LICENSES = [
     ("mit", "mit|expat", rf"(?:mit|expat)(?: x11)? {_LIC}", "mit"),
@@ -48,8 +41,8 @@ LICENSES = [
     ("gpl-3", "gnu", rf"gnu general public {_LIC} {_V}3(?: 0)?", "gpl 3 0(?: only| or later)?"),
     ("gpl-2", "gnu", rf"gnu general public {_LIC} {_V}2(?: 0)?", "gpl 2 0(?: only| or later)?"),
     ("gpl-1", "gnu", rf"gnu general public {_LIC} {_V}1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    ("gpl-3", _numbered("gpl", "3"), rf"gpl ?{_V}3(?: 0)?", "gpl 3"),
-    ("gpl-2", _numbered("gpl", "2"), rf"gpl ?{_V}2(?: 0)?", "gpl 2"),
+    ("gpl-3", "gpl*", rf"gpl ?{_V}3(?: 0)?", "gpl 3"),
+    ("gpl-2", "gpl*", rf"gpl ?{_V}2(?: 0)?", "gpl 2"),
     ("lgpl-3", "gnu", rf"gnu (?:lesser|library) general public {_LIC} {_V}3(?: 0)?",
      "lgpl 3 0(?: only| or later)?"),
     ("lgpl-2-1", "gnu", rf"gnu (?:lesser|library) general public {_LIC} {_V}2 1",
@@ -257,7 +250,7 @@ def rules() -> list[Rule]:
     out += [(label, "url", k, p) for label, k, p in URLS]
     out += [(label, "name", k, name) for label, k, name, _ in LICENSES]
     out += [(label, "name", "creative", name) for label, name in FULL]
-    out += [(label, "name", _numbered(name, version[0]), f"{name} ?{_V}{version}(?: only| or later)?")
+    out += [(label, "name", f"{name}*", f"{name} ?{_V}{version}(?: only| or later)?")
             for label, name, version in SHORT]
     out += [(label, "name", _first_words(tag), f"(?:{tag}) licen[sc]ed") for label, _, _, tag in LICENSES]
     out += [(label, "generic", k, p) for label, k, p in GENERIC]

@@ -53,7 +53,7 @@ def detections(words: DataFrame) -> DataFrame:
     by_keyword = {}
     for k, r in enumerate(known):
         for word in r.keywords:
-            by_keyword.setdefault(f" {word} ", []).append(k)
+            by_keyword.setdefault(f" {word} " if word[-1] != "*" else f" {word[:-1]}", []).append(k)
     keywords = F.array(*map(F.lit, sorted(by_keyword)))
     numbers = F.create_map(*[x for word, ks in by_keyword.items()
                              for x in (F.lit(word), F.array(*map(F.lit, ks)))])

@@ -15,8 +15,9 @@ spread like any other.  A source is read in whole passes, then up to the rest of
 rest, classes of length (powers of four) go from long to short: each class gives its share of the
 rest, plus or minus what the longer ones left open, as the first documents of its hash order, to the
 document whose end is nearest.  So a long document is taken or left, and shorter ones make up for it
-either way; the selection leans to no length.  The document nearest in size to what is then still
-missing is added, or the one nearest to what is too much left out, if that brings the source nearer.
+either way; the selection leans to no length.  What then still differs is made up for by one document
+more, one less, or one against another, whichever comes nearest, as long as that brings the source
+nearer; no length is used twice.
 
 Edge cases: a null text has size 0; an empty document is read as often as its source's whole passes
 say; rows that share an id count each; equal rows are interchangeable, and numbered before they are
@@ -25,6 +26,10 @@ hashed, so that many of them are spread too; an empty table gives no row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,6 +185,34 @@ def _cuts(rows: DataFrame, cells: DataFrame, targets: DataFrame) -> tuple[DataFr
     return cuts, state.select("sk", "gap")
 
 
+def _changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each source the sizes to add (not fits) and to leave out (fits) that bring it nearer.
+
+    A source's row holds its distinct sizes, as many as its longest document has words at most.
+    """
+    def best(gap: float, free: np.ndarray, held: np.ndarray) -> tuple:
+        found = (abs(gap), 0, 0)
+        for y in (0, *held.tolist()):  # 0: nothing is left out, nothing is added
+            at = int(np.searchsorted(free, gap + y))
+            for x in (0, *free[max(0, at - 1):at + 1].tolist()):
+                found = min(found, (abs(gap + y - x), x, y), key=lambda t: t[0])
+        return found[1:]
+
+    for b in batches:
+        out = []
+        for r in b.to_pylist():
+            gap, free, held = r["gap"], *(np.array(sorted(r[c]), np.int64) for c in ("free", "held"))
+            x, y = best(gap, free, held) if gap is not None else (0, 0)
+            while x or y:
+                out += [(r["sk"], size, fits) for size, fits in ((x, False), (y, True)) if size]
+                gap, free, held = gap - x + y, free[free != x], held[held != y]
+                x, y = best(gap, free, held)
+        columns = list(zip(*out)) or [[]] * 3
+        kinds = (pa.string(), pa.int64(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                         ["sk", "size", "fits"])
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.5,
         cap: float = 2.0, rows_per_bucket: int = 500) -> DataFrame:
     """One row per document, range-sorted by its first position (documents not taken last).
@@ -221,17 +254,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
         .select("doc_id", "sk", "bucket", "size", "start", "fits", "source_size", "tier", "target",
                 "passes", "rest", "gap", "h"), "mix-placed")
 
-    # Added where words are missing, left out where there are too many.
-    miss = F.abs(F.col("size") - F.abs("gap"))
-    flipped = (placed.filter("size > 0 and rest > 0 and fits = (gap < 0)").withColumn("miss", miss)
-               .filter(F.col("miss") < F.abs("gap")).groupBy("sk", "bucket")
-               .agg(F.min(F.struct("miss", "start")).alias("flip"))
-               .groupBy("sk").agg(F.min("flip").alias("flip"))
-               .select("sk", F.col("flip.start").alias("flip_start")))
-    is_flipped = F.coalesce((F.col("start") == F.col("flip_start")) & (F.col("size") > 0), F.lit(False))
+    known_sizes = (placed.filter("size > 0 and rest > 0").groupBy("sk").agg(
+        F.first("gap").alias("gap"), F.collect_set(F.when(~F.col("fits"), F.col("size"))).alias("free"),
+        F.collect_set(F.when(F.col("fits"), F.col("size"))).alias("held")))
+    changes = known_sizes.mapInArrow(_changes, "sk string, size long, fits boolean")
+    places = cells.select("sk", "bucket").distinct().join(changes, "sk")
+    first = (placed.join(places, ["sk", "bucket", "size", "fits"])
+             .groupBy("sk", "size", "fits", "bucket").agg(F.min("start").alias("start"))
+             .groupBy("sk", "size", "fits").agg(F.min(F.struct("start", "bucket")).alias("x"))
+             .select("sk", "x.bucket", "size", "x.start", F.lit(True).alias("flipped")))
     chosen = materialize(
-        placed.join(cells.select("sk", "bucket").distinct().join(flipped, "sk"), ["sk", "bucket"], "left")
-        .withColumn("more", F.col("fits") != is_flipped).drop("flip_start", "fits"), "mix-chosen")
+        placed.join(first, ["sk", "bucket", "size", "start"], "left")
+        .withColumn("more", F.col("fits") != F.coalesce("flipped", F.lit(False)))
+        .drop("flipped", "fits"), "mix-chosen")
     partial = chosen.groupBy("sk", "bucket").agg(
         F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).alias("words"))
     got = partial.groupBy("sk").agg(F.sum("words").alias("got"))
