@@ -10,7 +10,7 @@ from tillpoint.llm.mixing import training_order
 from tillpoint.llm.packing import pack
 from tillpoint.llm.quality import drop_poor
 from tillpoint.llm.simhash import drop_near_duplicates
-from tillpoint.operators.persist import materialize
+from tillpoint.operators.persist import materialize, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id stays."""
+    """Of each group of near duplicates, one document with the smallest id stays."""
     return drop_near_duplicates(docs)
 
 
@@ -41,14 +41,19 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality classifier", quality), ("exact dedup", exact), ("simhash near-dedup", near),
           ("mixing", mixing), ("best-fit packing", packing)]
 
-# Trained models, connected components and tokens are beyond SQL; the tests check every stage
-# against a brute-force version.
+# Trained models, connected components and tokens are beyond SQL; the tests check every operator
+# against a brute-force version, and the stages one after the other.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply every stage to ``documents``; each result is written and read again."""
+    """Apply every stage to ``documents``; each result is written and read again.
+
+    What a stage writes besides its result is deleted once the result is there.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}",
+                               keep=True)
     return docs

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from tillpoint.operators.persist import materialize
+from tillpoint.operators.persist import materialize, scratch
 from tillpoint.session import checkpoint_dir
 
 # CSV options that keep text exactly as written: no trimming.
@@ -170,8 +170,9 @@ class VersionedTable:
         touched = [r[0] for r in rows.select("_range").distinct().collect()]
         kept = now.filter(F.col("_range").isin(touched) & (F.col("_since") < version)).join(
             rows.select(layout["key"]), layout["key"], "left_anti")
-        self._put(materialize(kept.select(rows.columns).unionByName(rows), "merge-ranges"),
-                  "current", "_range")
+        with scratch(self.spark):
+            self._put(materialize(kept.select(rows.columns).unionByName(rows), "merge-ranges"),
+                      "current", "_range")
 
     def merge(self, batch: DataFrame, key: str, batch_id: str | None = None) -> int:
         """Upsert ``batch`` and return its version; one with a known ``batch_id`` is not repeated."""
@@ -187,14 +188,15 @@ class VersionedTable:
             known = self.changes().filter(F.col("_batch") == batch_id).agg(F.min("_version"))
             if known.first()[0] is not None:
                 return known.first()[0]
-        batch = materialize(batch.select(columns.names), "merge-batch")
-        touched = [r[0] for r in batch.select(_range(key, layout["width"])).distinct().collect()]
-        if not touched:
-            return last
-        target = self._current().filter(F.col("_range").isin(touched)).select(columns.names)
-        self._put(feed(target, batch, key).withColumns(
-            {"_batch": F.lit(batch_id).cast("string"), "_version": F.lit(last + 1)}), "changes",
-            "_version")
+        with scratch(self.spark):
+            batch = materialize(batch.select(columns.names), "merge-batch")
+            touched = [r[0] for r in batch.select(_range(key, layout["width"])).distinct().collect()]
+            if not touched:
+                return last
+            target = self._current().filter(F.col("_range").isin(touched)).select(columns.names)
+            self._put(feed(target, batch, key).withColumns(
+                {"_batch": F.lit(batch_id).cast("string"), "_version": F.lit(last + 1)}), "changes",
+                "_version")
         self._apply(last + 1)
         return last + 1
 
