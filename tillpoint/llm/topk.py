@@ -77,21 +77,17 @@ def _blocks(block_rows: int):
 
 
 class Lists:
-    """The sorted lists of a block of candidates."""
+    """The sorted lists of a block of candidates: all from the top, then all from the bottom."""
 
     def __init__(self, rids: bytes, ids: bytes, named: bytes, rows: bytes, dim: int):
         self.rids, self.ids = np.frombuffer(rids, "<i8"), np.frombuffer(ids, "<i8")
         self.named = np.frombuffer(named, bool)
         self.x = np.frombuffer(rows, "<i8").reshape(len(self.rids), dim)
-        self.order = np.argsort(self.x, axis=0, kind="stable")
-        self.values = np.take_along_axis(self.x, self.order, 0)
-
-    def entries(self, rising: np.ndarray, falling: np.ndarray, a: int, b: int):
-        """Rows and values number ``a`` to ``b`` of the lists, in the order they are read."""
-        n = len(self.x)
-        top, low = slice(n - b, n - a), slice(a, b)
-        return (np.hstack([self.order[top, falling][::-1], self.order[low, rising]]),
-                np.hstack([self.values[top, falling][::-1], self.values[low, rising]]))
+        self.largest = int(np.abs(self.x).max(initial=0))
+        order = np.argsort(self.x, axis=0, kind="stable").astype(np.int32)
+        values = np.take_along_axis(self.x, order, 0)
+        self.order = np.ascontiguousarray(np.hstack([order[::-1], order]))
+        self.values = np.ascontiguousarray(np.hstack([values[::-1], values]))
 
 
 class Work:
@@ -101,6 +97,15 @@ class Work:
         self.entries = self.resolved = 0
 
 
+def _added(rows: np.ndarray, amounts: np.ndarray, n: int, exact: bool) -> np.ndarray:
+    """Sum of the amounts of each row; whole numbers below 2**53 are exact in a double."""
+    if exact:
+        return np.bincount(rows.ravel(), amounts.ravel(), n).astype(np.int64)
+    out = np.zeros(n, np.int64)
+    np.add.at(out, rows, amounts)
+    return out
+
+
 def nra(lists: Lists, q: np.ndarray, own: int, k: int, floor: int, chunk: int = 256,
         work: Work | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(candidate rows, scores) of one query: at least the k best rows that reach ``floor``.
@@ -110,26 +115,35 @@ def nra(lists: Lists, q: np.ndarray, own: int, k: int, floor: int, chunk: int =
     """
     n, work = len(lists.x), work or Work()
     falling, rising = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
+    columns = np.concatenate([falling, rising + len(q)])
     weights = np.concatenate([q[falling], q[rising]])
-    far = weights * np.concatenate([lists.values[0, falling], lists.values[-1, rising]])
-    reached = weights * np.concatenate([lists.values[-1, falling], lists.values[0, rising]])
+    exact = lists.largest * int(np.abs(q).max(initial=0)) * max(1, len(q)) < 2**52
     alive = np.flatnonzero(lists.rids != own)
-    if reached.sum() < floor:
+    ends = [*range(chunk, n, chunk), n] if n else []
+    # What the lists give together at the end of each chunk; no unread row has more.
+    reached = lists.values[np.array([0, *ends]) - (np.arange(len(ends) + 1) > 0)][:, columns] * weights
+    sums = reached.sum(axis=1)
+    if n and sums[0] < floor:
         return alive[:0], np.empty(0, np.int64)
-    lower, seen = np.full(n, far.sum()), np.zeros((n, len(weights)), bool)
-    columns, depth = np.arange(len(weights))[None, :], 0
+    far = lists.values[-1, columns] * weights if n else weights
+    lower, read, depth, kth = np.full(n, far.sum()), [], 0, floor
     while depth < n and len(weights) and len(alive) > max(k, chunk):
-        rows, values = lists.entries(rising, falling, depth, min(n, depth + chunk))
+        # On to the next chunk, or to the first one behind which the threshold puts rows out.
+        low = np.flatnonzero(sums[1:] < floor)
+        end = max(min(n, depth + chunk), ends[low[0]] if len(low) else 0)
+        rows = lists.order[depth:end].take(columns, axis=1)
+        given = lists.values[depth:end].take(columns, axis=1) * weights
         work.entries += rows.size
-        np.add.at(lower, rows, values * weights - far)
-        seen[rows, columns] = True
-        depth += chunk
-        reached = weights * values[-1]
+        lower += _added(rows, given - far, n, exact)
+        read.append(rows)
+        depth, at = end, -(-end // chunk)
         best = lower[alive]
-        kth = max(floor, np.partition(best, len(best) - k)[len(best) - k])
-        if reached.sum() < kth:
-            upper = best + (reached - far).sum() - seen[alive] @ (reached - far)
-            alive = alive[upper >= kth]
+        kth = max(floor, int(np.partition(best, len(best) - k)[len(best) - k]))
+        if sums[at] < kth:
+            rows = np.concatenate(read)
+            gap = reached[at] - far
+            seen = _added(rows, np.broadcast_to(gap, rows.shape), n, exact)
+            alive = alive[best + gap.sum() - seen[alive] >= kth]
     work.resolved += len(alive)
     return alive, lists.x[alive] @ q
 
