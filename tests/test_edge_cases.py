@@ -94,3 +94,18 @@ def test_scratch_folder_must_be_named_off_local_mode(tmp_path):
         checkpoint_dir(session("yarn"))
     assert checkpoint_dir(session("yarn", named="hdfs://x/y")) == "hdfs://x/y"
     assert checkpoint_dir(session("k8s://h", known="hdfs://x/z")) == "hdfs://x/z"
+
+
+def test_replaced_table_is_read_anew(spark, scratch):
+    import os
+    import time
+
+    from tillpoint.sources.tables import Tables
+
+    path = os.path.join(scratch, "region.parquet")
+    spark.range(3).write.parquet(path)
+    assert Tables(spark, scratch).region.count() == 3
+    assert Tables(spark, scratch).region is Tables(spark, scratch).region
+    time.sleep(0.01)
+    spark.range(5).write.mode("overwrite").parquet(path)
+    assert Tables(spark, scratch).region.count() == 5

@@ -28,9 +28,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-# Readers are plain logical plans over immutable input files; building one lists the files
-# and reads the footers (about a quarter second each), so they are kept per session.
-_READERS: dict[tuple, DataFrame] = {}
+# Readers are plain logical plans over the input files; building one lists the files and reads
+# the footers (about a quarter second each), so they are kept per session, as long as the file
+# or folder has not changed.
+_READERS: dict[tuple, tuple[tuple, DataFrame]] = {}
+
+
+def _state(spark: SparkSession, path: str) -> tuple:
+    """Length and time of the last change of a file or folder (a folder changes with its files)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at)
+    return status.getLen(), status.getModificationTime()
 
 
 class Tables:
@@ -44,6 +52,7 @@ class Tables:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         key = (id(self.spark), self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _READERS:
-            _READERS[key] = read_table(self.spark, self.sf_dir, name)
-        return _READERS[key]
+        state = _state(self.spark, table_path(self.sf_dir, name))
+        if _READERS.get(key, (None,))[0] != state:
+            _READERS[key] = (state, read_table(self.spark, self.sf_dir, name))
+        return _READERS[key][1]
