@@ -161,6 +161,25 @@ def test_rows_with_a_fingerprint_of_their_own_are_not_moved(spark):
     assert C.dedup_rows(zeros).count() == zeros.dropDuplicates().count() == 2
 
 
+def test_only_repeated_keys_are_sorted_and_moved(spark):
+    """First row per key: rows of other keys pass by; a hot key and NULL keys are reduced."""
+    from tillpoint.operators.clean import dedup_by_key, split_by_repeats
+
+    rows = [(k, None, k * 2.0, f"t{k}") for k in range(200)] + [
+        (7, None, 1.0, "first"), (7, None, 1.0, "second"), (None, "x", 5.0, "b"), (None, "x", 5.0, "a"),
+        (None, None, 1.0, None)] + [(9, None, 3.0, f"hot {k}") for k in range(100)]
+    df = spark.createDataFrame(rows, "k long, j string, v double, t string")
+    assert split_by_repeats(df, None)[0].count() == len(rows)
+    out = dedup_by_key(df, ["k", "j"], ["v"]).collect()
+    want = {}
+    for k, j, v, t in rows:
+        want[k, j] = min(want.get((k, j), (v, t is not None, t)), (v, t is not None, t))
+    assert {(r.k, r.j): (r.v, r.t is not None, r.t) for r in out} == want and len(out) == len(want)
+    plan = _plan(dedup_by_key(df, ["k", "j"], ["v"]))
+    alone = plan.split("Filter NOT coalesce")[1].split("SortAggregate")[0]  # the branch that passes by
+    assert "hashpartitioning" not in alone and "Sort [" not in alone and "hashpartitioning(k" in plan
+
+
 def test_scratch_tables_are_deleted(spark):
     import os
 

@@ -109,16 +109,20 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 def dedup_by_key(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
     """Keep one row per key: the first by ``order_by`` then by all remaining columns.
 
-    Written as a ``min`` over a struct, so a key holding a third of all rows is reduced
-    map-side by partial aggregation instead of being sorted in one task.  NULL sorts first.
+    The input is written once.  Rows whose key stands alone, which a count of key fingerprints
+    tells, pass without being sorted or moved.  Of the others the first is a ``min`` over a struct,
+    so a key holding a third of all rows is reduced map-side by partial aggregation instead of
+    being sorted in one task.  NULL sorts first.
     """
+    df = materialize(df, "dedup")
     order_by = list(order_by or [])
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     payload = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order_by + rest)])
     names = order_by + rest
-    best = df.groupBy(*keys).agg(F.min(payload).alias("_w"))
-    return best.select(*keys, *[F.col(f"_w._{i}").alias(c) for i, c in enumerate(names)]).select(
-        *df.columns)
+    alone, others = split_by_repeats(df, row_fingerprint(df.select(*keys)))
+    best = others.groupBy(*keys).agg(F.min(payload).alias("_w"))
+    return alone.unionByName(best.select(
+        *keys, *[F.col(f"_w._{i}").alias(c) for i, c in enumerate(names)]).select(*df.columns))
 
 
 # C1 / C2
