@@ -146,3 +146,21 @@ def test_columns_of_any_name_pass(spark, edge_docs):
     assert sorted(map(str, out.select(plain.columns).collect())) == sorted(
         map(str, training_order(plain).collect()))
     assert all(r[c] == f"{c}!" for r in out.collect() for c in names)
+
+
+def test_nearest_sum_of_sizes():
+    import itertools
+    import random
+
+    from tillpoint.llm.mixing import _nearest_sum
+
+    rng = random.Random(7)
+    for _ in range(200):
+        free, held = (sorted({rng.randint(1, 300) for _ in range(rng.randint(0, 6))}) for _ in "ab")
+        gap = rng.uniform(-500, 900)
+        sums = [sum(a) - sum(b) for n in range(7) for m in range(7)
+                for a in itertools.combinations(free, n) for b in itertools.combinations(held, m)]
+        more, less = _nearest_sum(gap, free, held, 4000)
+        assert set(more) <= set(free) and set(less) <= set(held)
+        assert abs(gap - sum(more) + sum(less)) == pytest.approx(min(abs(gap - x) for x in sums))
+    assert _nearest_sum(0.0, [5], [7]) == ([], [])

@@ -15,9 +15,9 @@ spread like any other.  A source is read in whole passes, then up to the rest of
 rest, classes of length (powers of four) go from long to short: each class gives its share of the
 rest, plus or minus what the longer ones left open, as the first documents of its hash order, to the
 document whose end is nearest.  So a long document is taken or left, and shorter ones make up for it
-either way; the selection leans to no length.  What then still differs is made up for by one document
-more, one less, or one against another, whichever comes nearest, as long as that brings the source
-nearer; no length is used twice.
+either way; the selection leans to no length.  What then still differs is made up for by documents
+added and left out: the sum of short ones that comes nearest, then one more, one less, or one
+against another as long as that brings the source nearer.  No length is used twice.
 
 Edge cases: a null text has size 0; an empty document is read as often as its source's whole passes
 say; rows that share an id count each; equal rows are interchangeable, and numbered before they are
@@ -104,6 +104,7 @@ def inverse(schedule, u: Column) -> Column:
 
 _EARLIER = (Window.unboundedPreceding, -1)
 _FAMILY = 64  # equal rows that are numbered together
+SHORT = 40  # different lengths, the shortest ones, whose sums are all looked at
 
 
 def _sources(docs: DataFrame) -> tuple[Column, Column, Column]:
@@ -185,6 +186,33 @@ def _cuts(rows: DataFrame, cells: DataFrame, targets: DataFrame) -> tuple[DataFr
     return cuts, state.select("sk", "gap")
 
 
+def _nearest_sum(gap: float, free: list[int], held: list[int], span: int = 1 << 17) -> tuple[list, list]:
+    """Sizes to add and to leave out whose sum is nearest to ``gap``, among all such sums.
+
+    ``reach`` has a bit for every sum within ``span`` words; the sums before each size tell which
+    ones made the best.
+    """
+    steps, reach, whole = [*free, *(-y for y in held)], 1 << span, (1 << (2 * span + 1)) - 1
+    before = []
+    for step in steps:
+        before.append(reach)
+        reach |= (reach << step if step > 0 else reach >> -step) & whole
+    at = max(-span, min(span, round(gap))) + span
+    for off in range(2 * span + 1):
+        found = [p for p in (at - off, at + off) if 0 <= p <= 2 * span and reach >> p & 1]
+        if found:
+            break
+    place = min(found, key=lambda p: abs(p - span - gap))
+    if abs(place - span - gap) >= abs(gap):
+        return [], []
+    used = []
+    for step, reach in zip(reversed(steps), reversed(before)):
+        if not reach >> place & 1:
+            used.append(step)
+            place -= step
+    return [x for x in used if x > 0], [-y for y in used if y < 0]
+
+
 def _changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each source the sizes to add (not fits) and to leave out (fits) that bring it nearer.
 
@@ -202,7 +230,13 @@ def _changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for r in b.to_pylist():
             gap, free, held = r["gap"], *(np.array(sorted(r[c]), np.int64) for c in ("free", "held"))
-            x, y = best(gap, free, held) if gap is not None else (0, 0)
+            if gap is None:
+                continue
+            more, less = _nearest_sum(gap, free[:SHORT].tolist(), held[:SHORT].tolist())
+            out += [(r["sk"], x, False) for x in more] + [(r["sk"], y, True) for y in less]
+            gap += sum(less) - sum(more)
+            free, held = np.setdiff1d(free, more), np.setdiff1d(held, less)
+            x, y = best(gap, free, held)
             while x or y:
                 out += [(r["sk"], size, fits) for size, fits in ((x, False), (y, True)) if size]
                 gap, free, held = gap - x + y, free[free != x], held[held != y]
