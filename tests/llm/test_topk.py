@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
-from tillpoint.llm.topk import Lists, Work, nra, top_k
+from tillpoint.llm.topk import Lists, Work, _first, nra, top_k
 
 
 def brute(rows, k=5, every=50):
@@ -86,3 +87,24 @@ def test_block_below_the_threshold_is_not_read():
     lists, work = lists_of(x), Work()
     rows, _ = nra(lists, np.ones(4, np.int64), -1, 5, 5, 16, work)
     assert len(rows) == work.entries == work.resolved == 0
+
+
+def test_thresholds_of_the_first_shard():
+    """What a query block carries to all shards is the k-th best score of each of its queries."""
+    x = np.random.default_rng(2).integers(-9, 10, (700, 8))
+    packed = dict(dim=8, named=np.ones(700, bool).tobytes(), rows=x.astype("<i8").tobytes(), block=1,
+                  **{c: np.arange(700, dtype="<i8").tobytes() for c in ("rids", "ids")})
+    asked = dict(q_block=5, q_rids=np.arange(20, dtype="<i8").tobytes(),
+                 q_ids=np.arange(20, dtype="<i8").tobytes(), q_rows=x[:20].astype("<i8").tobytes())
+    [found] = _first(3, 64)(iter([pa.RecordBatch.from_pylist([packed | asked])]))
+    floors = np.frombuffer(found["floors"][0].as_py(), "<i8")
+    assert floors.tolist() == [sorted(np.delete(x @ q, i))[-3] for i, q in enumerate(x[:20])]
+
+
+@pytest.mark.parametrize("n", [1, 255, 256, 700])
+@pytest.mark.parametrize("scale", [1, 1 << 27])  # sums beyond a double's whole numbers, too
+def test_chunks_that_do_not_divide_the_block(n, scale):
+    x = scale * np.random.default_rng(n).integers(-9, 10, (n, 6))
+    read(x, x[:10], 5, 64)
+    read(x, x[:10], 5, 64, [sorted(np.delete(x @ q, i))[-min(5, n - 1)] if n > 1 else 0
+                            for i, q in enumerate(x[:10])])

@@ -15,11 +15,13 @@ a time, and each entry is added to its row where it comes up; no row is looked u
 Reading stops when no more rows are left than are to be found, or than are worth another chunk;
 final scores of the rows left come from one pass over their stored vectors.  The k-th best score of
 a query so far carries over to the next blocks of a task as its threshold, and a block none of whose rows
-can reach it is left before the first entry.
+can reach it is left before the first entry.  A query block first meets one shard alone; what its
+queries reach there is the threshold with which they begin in every shard.
 
 The queries are a stated set.  They meet the candidates block by block: candidate blocks are dealt
 to shards, each query block goes to every shard once, and the k best rows of every pair of blocks
-are merged by query.  A task holds one block of each side and the thresholds of one query block.
+are merged by query.  A task holds one block of each side and the thresholds of one query
+block (those of the query blocks that begin in its shard, in the first pass).
 
 On dense vectors of little spread the bounds meet late, after half of the entries or more, so fewer
 entries are read than a full product has terms, but each costs more than a term.
@@ -44,6 +46,7 @@ from tillpoint.llm.common import partitions
 from tillpoint.operators.persist import materialize
 
 _BLOCK = "block long, dim int, rids binary, ids binary, named binary, rows binary"
+LOWEST = np.iinfo(np.int64).min // 2
 _FOUND = "query_rid long, query_id long, rid long, vec_id long, score long"
 
 
@@ -79,15 +82,48 @@ def _blocks(block_rows: int):
 class Lists:
     """The sorted lists of a block of candidates: all from the top, then all from the bottom."""
 
+    mask_bytes = 96 << 20  # of kept masks
+
     def __init__(self, rids: bytes, ids: bytes, named: bytes, rows: bytes, dim: int):
         self.rids, self.ids = np.frombuffer(rids, "<i8"), np.frombuffer(ids, "<i8")
         self.named = np.frombuffer(named, bool)
         self.x = np.frombuffer(rows, "<i8").reshape(len(self.rids), dim)
         self.largest = int(np.abs(self.x).max(initial=0))
-        order = np.argsort(self.x, axis=0, kind="stable").astype(np.int32)
-        values = np.take_along_axis(self.x, order, 0)
-        self.order = np.ascontiguousarray(np.hstack([order[::-1], order]))
-        self.values = np.ascontiguousarray(np.hstack([values[::-1], values]))
+        order = np.argsort(self.x, axis=0, kind="stable").T
+        values = np.take_along_axis(self.x.T, order, 1)
+        self.order = np.vstack([order[:, ::-1], order])
+        self.values = np.vstack([values[:, ::-1], values])
+        place = np.empty(self.order.shape, np.int32)
+        np.put_along_axis(place, self.order, np.arange(len(self.x), dtype=np.int32)[None, :], 1)
+        self.place = np.ascontiguousarray(place.T)
+        self.block, self.cuts = None, {}
+        self.masks: dict[int, np.ndarray] = {}
+
+    def cut(self, chunk: int, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows and gains (what an entry has above its list's far end), one line a list and chunk;
+        and the values that each list has reached at the start and at the end of each chunk.
+
+        Lists are filled up with a row behind the last one, which gains nothing.
+        """
+        if (chunk, kind) not in self.cuts:
+            n = len(self.x)
+            more = -n % chunk
+            gains = self.values - self.values[:, -1:]
+            ends = np.minimum(np.arange(0, n + more + 1, chunk), n) - 1
+            self.cuts = {(chunk, kind): (
+                np.pad(self.order, ((0, 0), (0, more)), constant_values=n).reshape(-1, chunk),
+                np.pad(gains, ((0, 0), (0, more))).astype(kind).reshape(-1, chunk),
+                self.values[:, np.maximum(ends, 0)].astype(kind))}
+        return self.cuts[chunk, kind]
+
+    def unread(self, depth: int) -> np.ndarray:
+        """1 for each row and list in which it has not come up among the first ``depth`` entries."""
+        if depth not in self.masks:
+            mask = (self.place >= depth).astype(np.float32)
+            if sum(m.nbytes for m in self.masks.values()) + mask.nbytes > self.mask_bytes:
+                return mask
+            self.masks[depth] = mask
+        return self.masks[depth]
 
 
 class Work:
@@ -100,7 +136,7 @@ class Work:
 def _added(rows: np.ndarray, amounts: np.ndarray, n: int, exact: bool) -> np.ndarray:
     """Sum of the amounts of each row; whole numbers below 2**53 are exact in a double."""
     if exact:
-        return np.bincount(rows.ravel(), amounts.ravel(), n).astype(np.int64)
+        return np.bincount(rows.ravel(), amounts.ravel(), n)
     out = np.zeros(n, np.int64)
     np.add.at(out, rows, amounts)
     return out
@@ -114,36 +150,46 @@ def nra(lists: Lists, q: np.ndarray, own: int, k: int, floor: int, chunk: int =
     candidates already reach.
     """
     n, work = len(lists.x), work or Work()
+    alive = np.flatnonzero(lists.rids != own)
+    if not len(alive):
+        return alive, np.empty(0, np.int64)
     falling, rising = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
     columns = np.concatenate([falling, rising + len(q)])
-    weights = np.concatenate([q[falling], q[rising]])
     exact = lists.largest * int(np.abs(q).max(initial=0)) * max(1, len(q)) < 2**52
-    alive = np.flatnonzero(lists.rids != own)
-    ends = [*range(chunk, n, chunk), n] if n else []
+    kind = np.float64 if exact else np.int64
+    order, gains, values = lists.cut(chunk, kind)
+    weights = np.concatenate([q[falling], q[rising]]).astype(kind)[:, None]
     # What the lists give together at the end of each chunk; no unread row has more.
-    reached = lists.values[np.array([0, *ends]) - (np.arange(len(ends) + 1) > 0)][:, columns] * weights
-    sums = reached.sum(axis=1)
-    if n and sums[0] < floor:
+    reached = values.take(columns, axis=0) * weights
+    sums, far, chunks = reached.sum(axis=0), reached[:, -1], reached.shape[1] - 1
+    if sums[0] < floor:
         return alive[:0], np.empty(0, np.int64)
-    far = lists.values[-1, columns] * weights if n else weights
-    lower, read, depth, kth = np.full(n, far.sum()), [], 0, floor
-    while depth < n and len(weights) and len(alive) > max(k, chunk):
+    lower, at, kth = np.full(n + 1, far.sum()), 0, floor
+    while at < chunks and len(columns) and len(alive) > max(k, chunk):
         # On to the next chunk, or to the first one behind which the threshold puts rows out.
         low = np.flatnonzero(sums[1:] < floor)
-        end = max(min(n, depth + chunk), ends[low[0]] if len(low) else 0)
-        rows = lists.order[depth:end].take(columns, axis=1)
-        given = lists.values[depth:end].take(columns, axis=1) * weights
-        work.entries += rows.size
-        lower += _added(rows, given - far, n, exact)
-        read.append(rows)
-        depth, at = end, -(-end // chunk)
+        end = max(at + 1, low[0] + 1 if len(low) else 0)
+        lines = (columns[:, None] * chunks + np.arange(at, end)).ravel()
+        rows, given = order.take(lines, axis=0), gains.take(lines, axis=0)
+        given.reshape(len(columns), -1)[:] *= weights
+        work.entries += len(columns) * (min(n, end * chunk) - at * chunk)
+        lower += _added(rows, given, n + 1, exact)
+        at = int(end)
         best = lower[alive]
         kth = max(floor, int(np.partition(best, len(best) - k)[len(best) - k]))
         if sums[at] < kth:
-            rows = np.concatenate(read)
-            gap = reached[at] - far
-            seen = _added(rows, np.broadcast_to(gap, rows.shape), n, exact)
-            alive = alive[best + gap.sum() - seen[alive] >= kth]
+            gap, depth = reached[:, at] - far, min(n, at * chunk)
+            if exact:
+                # In single precision, with more than its rounding on top: no bound gets too low.
+                open_ = np.zeros(2 * len(q), np.float32)
+                open_[columns] = gap
+                unread = lists.unread(depth)
+                more = ((unread @ open_)[alive] if 2 * len(alive) > n
+                        else unread.take(alive, axis=0) @ open_)
+                more += np.float32(gap.sum() * (len(q) + 4) * 2.0**-22)
+            else:
+                more = (lists.place[alive[:, None], columns] >= depth) @ gap
+            alive = alive[best + more >= kth]
     work.resolved += len(alive)
     return alive, lists.x[alive] @ q
 
@@ -158,20 +204,43 @@ def _best(lists: Lists, rows: np.ndarray, scores: np.ndarray, k: int):
     return rows, scores
 
 
-def _search(k: int, chunk: int):
-    lowest = np.iinfo(np.int64).min // 2
+def _met(row: dict, lists: Lists | None) -> tuple:
+    """Row ids, ids and vectors of a query block and the lists of the block that it meets."""
+    if lists is None or row["block"] != lists.block:
+        lists = Lists(row["rids"], row["ids"], row["named"], row["rows"], row["dim"])
+        lists.block = row["block"]
+    own, names = np.frombuffer(row["q_rids"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
+    return lists, own, names, np.frombuffer(row["q_rows"], "<i8").reshape(len(own), row["dim"])
+
+
+def _first(k: int, chunk: int):
+    """For each query block the k-th best score of its queries in the blocks that it meets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, kept = None, {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                lists, own, _, queries = _met(row, lists)
+                known = kept.setdefault(row["q_block"], np.full((len(own), k), LOWEST))
+                for i, q in enumerate(queries):
+                    scores = nra(lists, q, own[i], k, known[i, 0], chunk)[1]
+                    known[i] = np.sort(np.concatenate([known[i], scores]))[-k:]
+        yield pa.RecordBatch.from_pydict({
+            "q_block": pa.array(kept, pa.int64()),
+            "floors": pa.array([v[:, 0].tobytes() for v in kept.values()], pa.binary())})
 
+    return run
+
+
+def _search(k: int, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, lists, q_block, kept = None, None, None, None
+        lists, q_block, kept = None, None, None
         for batch in batches:
             for row in batch.to_pylist():
-                if row["block"] != block:
-                    block = row["block"]
-                    lists = Lists(row["rids"], row["ids"], row["named"], row["rows"], row["dim"])
-                own, names = np.frombuffer(row["q_rids"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
-                queries = np.frombuffer(row["q_rows"], "<i8").reshape(len(own), row["dim"])
+                lists, own, names, queries = _met(row, lists)
                 if row["q_block"] != q_block:
-                    q_block, kept = row["q_block"], np.full((len(own), k), lowest)
+                    q_block, kept = row["q_block"], np.full((len(own), k), LOWEST)
+                    if row["floors"] is not None:
+                        kept[:] = np.frombuffer(row["floors"], "<i8")[:, None]
                 out: list[tuple] = []
                 for i, q in enumerate(queries):
                     found, scores = _best(lists, *nra(lists, q, own[i], k, kept[i, 0], chunk), k)
@@ -213,7 +282,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     asked = materialize(asked.select(
         F.col("block").alias("q_block"), "dim", F.col("rids").alias("q_rids"),
         F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows")), "topk-queries")
-    everywhere = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    # Each query block first meets one shard, for thresholds to begin with in all the others.
+    once = asked.withColumn("shard", F.pmod(F.xxhash64("q_block"), F.lit(n)))
+    floors = materialize(
+        once.join(blocks.hint("merge"), ["shard", "dim"]).mapInArrow(
+            _first(k, chunk), "q_block long, floors binary"), "topk-floors")
+    everywhere = asked.join(floors, "q_block", "left").withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     # Query blocks are the streamed side: each meets all blocks of its shard one after the other, so
     # the thresholds of one query block are held at a time.
     met = everywhere.withColumn("shard", F.col("shard").cast("long")).join(
