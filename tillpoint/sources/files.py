@@ -17,13 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from tillpoint.operators.persist import materialize, scratch
+from tillpoint.operators.persist import materialize, scratch, settings
 from tillpoint.session import checkpoint_dir
 
 # CSV options that keep text exactly as written: no trimming.
 _KEEP_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+# Bytes of compressed files behind one shuffle partition, and of files and a shuffle in one task.
+INPUT_A_PARTITION = 2 << 20
+SCANNED_A_TASK = 16 << 20
+SHUFFLED_A_TASK = 8 << 20
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
@@ -89,9 +95,29 @@ def load_tables(tables: dict[str, DataFrame], root: str) -> DataFrame:
 
 
 def append_distinct(target_path: str, raw: DataFrame, cols: list[str]) -> DataFrame:
-    """``INSERT INTO t SELECT DISTINCT cols FROM raw``: append the distinct rows."""
-    raw.select(*cols).distinct().write.mode("append").parquet(target_path)
-    return raw.sparkSession.read.parquet(target_path)
+    """``INSERT INTO t SELECT DISTINCT cols FROM raw``: append the distinct rows.
+
+    Rows that are nearly all distinct are not made fewer where they come up, they only fill the
+    memory of that task; so they are dealt out first.  Shuffles get partitions in proportion to the
+    files behind ``raw``, and few of them are joined into one task.
+    """
+    spark = raw.sparkSession
+    parts = -(-input_bytes(raw) // INPUT_A_PARTITION)
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": SHUFFLED_A_TASK,
+                          "spark.sql.files.maxPartitionBytes": SCANNED_A_TASK},
+                  {"spark.sql.shuffle.partitions": parts}):
+        raw.select(*cols).repartition(*cols).distinct().write.mode("append").parquet(target_path)
+    return spark.read.parquet(target_path)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Length of the files that a frame reads."""
+    spark = df.sparkSession
+    jvm, conf, total = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for name in df.inputFiles():
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(name))
+        total += at.getFileSystem(conf).getFileStatus(at).getLen()
+    return total
 
 
 class VersionedTable:
