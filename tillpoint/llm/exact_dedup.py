@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.llm.common import WS, doc_text, partitions, same_key, utf8
-from tillpoint.operators.persist import materialize
+from tillpoint.operators.persist import BATCH_BYTES, BATCH_ROWS, materialize
 
 _ROWS = ("doc_id long, text_sha256 string, entry long, first boolean, head boolean, h long, "
          "low long, n long, body binary")
@@ -54,10 +54,19 @@ def _entries(flush_bytes: int, key_bits: int):
         seen: dict[bytes, list] = {}
         size = 0
 
+        names = ("doc_id", "text_sha256", "entry", "first", "head", "h", "low", "n", "body")
+        types = [pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(),
+                 pa.int64(), pa.int64(), pa.binary()]
+
+        def sent(rows):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(zip(*rows), types)], list(names))
+
         def flush():
-            out = {k: [] for k in ("doc_id", "text_sha256", "entry", "first", "head", "h", "low",
-                                   "n", "body")}
-            for body, (entry, ids) in seen.items():
+            """What is held, in batches as small as those that come in."""
+            rows, held = [], 0
+            while seen:
+                body, (entry, ids) = seen.popitem()
                 known = [i for i in ids if i is not None]
                 low = min(known) if known else None
                 digest = hashlib.sha256(body).hexdigest()
@@ -65,15 +74,14 @@ def _entries(flush_bytes: int, key_bits: int):
                 h -= (h >> 63) << 64
                 first = ids.index(low)
                 for k, i in enumerate(ids):
-                    row = (i, digest, entry, k == first, k == 0, h if k == 0 else None, low,
-                           len(ids), body if k == 0 else None)
-                    for name, value in zip(out, row):
-                        out[name].append(value)
-            types = [pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(),
-                     pa.int64(), pa.int64(), pa.binary()]
-            seen.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
+                    rows.append((i, digest, entry, k == first, k == 0, h if k == 0 else None, low,
+                                 len(ids), body if k == 0 else None))
+                    held += len(body) if k == 0 else 0
+                    if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                        yield sent(rows)
+                        rows, held = [], 0
+            if rows:
+                yield sent(rows)
 
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
@@ -85,10 +93,9 @@ def _entries(flush_bytes: int, key_bits: int):
                 at[1].append(i)
                 size += 16
                 if size > flush_bytes:
-                    yield flush()
+                    yield from flush()
                     size = 0
-        if seen:
-            yield flush()
+        yield from flush()
 
     return run
 
