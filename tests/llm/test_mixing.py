@@ -164,3 +164,28 @@ def test_nearest_sum_of_sizes():
         assert set(more) <= set(free) and set(less) <= set(held)
         assert abs(gap - sum(more) + sum(less)) == pytest.approx(min(abs(gap - x) for x in sums))
     assert _nearest_sum(0.0, [5], [7]) == ([], [])
+
+
+def test_plans_do_not_grow_with_the_classes_of_length(spark, monkeypatch):
+    """The driver holds and replans a plan as often as Spark adapts it."""
+    import tillpoint.llm.mixing as mixing
+
+    def plans(sizes):
+        rows = [(k, " ".join(["w"] * sizes[k % len(sizes)]), f"s{k % 4}") for k in range(120)]
+        made = defaultdict(list)
+
+        def written(df, label, **options):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            made[label].append((len(re.findall(r"\bJoin ", plan)), len(re.findall(r"\bRelation ", plan))))
+            return write(df, label, **options)
+
+        monkeypatch.setattr(mixing, "materialize", written)
+        check(rows, mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+        return made
+
+    write = mixing.materialize
+    few, many = plans([1, 5]), plans([1, 5, 20, 70, 300, 1100])
+    assert len(few["mix-cut"]) == 2 and len(many["mix-cut"]) == 6
+    assert all(joins <= 3 for joins, _ in many["mix-cut"])
+    assert {k: v for k, v in few.items() if k != "mix-cut"} == {
+        k: v for k, v in many.items() if k != "mix-cut"}

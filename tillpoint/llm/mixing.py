@@ -144,26 +144,24 @@ def _with_offsets(cells: DataFrame, keys: list[str], wide: int, out: str) -> Dat
             .withColumn(out, F.col("z") + F.col("inside")).drop("zone", "z", "inside"))
 
 
-def _cuts(rows: DataFrame, cells: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What each class of length gives to the rest of its source's target.
+def _cuts(rows: DataFrame, cells: DataFrame, targets: DataFrame) -> DataFrame:
+    """``targets`` with what each class of length gives to the rest of its source's target.
 
-    (sk, cls, cut): the first documents of the class with ``cut`` words together.  (sk, gap): words
-    still missing in the end.  A class looks at its cells, and at the documents of the one cell in
-    which its share ends.
+    cuts: of each class, how many words its first documents give together.  gap: words still missing
+    in the end.  A class looks at its cells, and at the documents of the one cell in which its share
+    ends.  What is known of a source is one row, carried from class to class, so a class costs the
+    driver a small plan however many went before.
     """
-    shares = materialize(
-        cells.groupBy("sk", "cls").agg(F.sum("words").alias("all")).join(targets, "sk")
-        .select("sk", "cls", "all", (F.col("rest") / F.col("source_size") * F.col("all")).alias("ideal")),
-        "mix-shares")
-    state = targets.filter("source_size > 0").select("sk", F.lit(0.0).alias("gap"))
-    made = []
-    for cls in sorted((r[0] for r in shares.select("cls").distinct().collect()), reverse=True):
-        own = shares.filter(F.col("cls") == cls).select("sk", "all", "ideal")
-        asked = state.join(own, "sk", "left").select(
-            "sk", F.coalesce("all", F.lit(0)).alias("all"),
-            (F.col("gap") + F.coalesce("ideal", F.lit(0.0))).alias("x"))
-        end = cells.filter(F.col("cls") == cls).join(asked, "sk").filter(
-            "offset <= x and x < offset + words").select("sk", "bucket", "offset", "x")
+    state = targets.withColumns({"gap": F.lit(0.0), "cuts": F.expr("cast(map() as map<int, bigint>)")})
+    classes = cells.filter("cls >= 0").select("cls").distinct().collect()
+    for cls in sorted((r[0] for r in classes), reverse=True):
+        own = F.try_element_at("words", F.lit(cls))
+        ideal = F.col("rest") / F.greatest("source_size", F.lit(1)) * own
+        asked = state.withColumns({"all": F.coalesce(own, F.lit(0)),
+                                   "x": F.col("gap") + F.coalesce(ideal, F.lit(0.0))})
+        end = (cells.filter(F.col("cls") == cls).select("sk", "bucket", "offset", "words")
+               .join(asked.select("sk", "x"), "sk").filter("offset <= x and x < offset + words")
+               .drop("words"))
         upto = Window.partitionBy("sk", "bucket").orderBy("h", "doc_id").rowsBetween(
             Window.unboundedPreceding, 0)
         ends = (rows.filter(F.col("cls") == cls).select("sk", "bucket", "h", "doc_id", "size")
@@ -175,15 +173,11 @@ def _cuts(rows: DataFrame, cells: DataFrame, targets: DataFrame) -> tuple[DataFr
         nearest = F.when(F.col("high") - F.col("x") < F.col("x") - F.col("low"), F.col("high")
                          ).otherwise(F.col("low"))
         cut = (F.when(F.col("x") <= 0, 0).when(F.col("x") >= F.col("all"), F.col("all"))
-               .otherwise(nearest))
+               .otherwise(nearest)).cast("long")
         state = materialize(asked.join(near, "sk", "left").select(
-            "sk", F.lit(cls).alias("cls"), cut.cast("long").alias("cut"),
-            (F.col("x") - cut).alias("gap")), "mix-cut")
-        made.append(state.select("sk", "cls", "cut"))
-    cuts = made[0] if made else shares.select("sk", "cls", F.col("all").alias("cut"))
-    for more in made[1:]:
-        cuts = cuts.unionByName(more)
-    return cuts, state.select("sk", "gap")
+            *targets.columns, (F.col("x") - cut).alias("gap"),
+            F.map_concat("cuts", F.create_map(F.lit(cls), cut)).alias("cuts")), "mix-cut")
+    return state
 
 
 def _nearest_sum(gap: float, free: list[int], held: list[int], span: int = 1 << 17) -> tuple[list, list]:
@@ -247,13 +241,9 @@ def _changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["sk", "size", "fits"])
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.5,
-        cap: float = 2.0, rows_per_bucket: int = 500) -> DataFrame:
-    """One row per document, range-sorted by its first position (documents not taken last).
-
-    Columns: doc_id, size, source_size, target, taken, copies, positions (one training time
-    in [0, 1] for each copy), source_key.
-    """
+def _mixed(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.5,
+           cap: float = 2.0, rows_per_bucket: int = 500) -> DataFrame:
+    """What ``mix`` returns, written in no order, with ``at`` to sort it by."""
     rows = materialize(_placed_rows(docs), "mix-rows")
     buckets = max(1, -(-rows.count() // rows_per_bucket))
     wide = max(1, int(buckets ** 0.5))
@@ -261,22 +251,25 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
     rows = rows.withColumns({"bucket": F.pmod("h", F.lit(buckets)), "cls": cls})
     cells = materialize(rows.groupBy("sk", "cls", "bucket").agg(F.sum("size").alias("words")),
                         "mix-cells")
+    by_class = (cells.filter("cls >= 0").groupBy("sk", "cls").agg(F.sum("words").alias("words"))
+                .groupBy("sk").agg(F.map_from_entries(F.collect_list(F.struct("cls", "words")))
+                                   .alias("words")))
     targets = materialize(
         source_targets(cells.groupBy("sk").agg(F.sum("words").alias("source_size")),
                        weights, share, cap)
         .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(
             F.col("target") / F.greatest("source_size", F.lit(1)))).otherwise(0))
-        .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")),
-        "mix-targets")
-    classed = materialize(_with_offsets(cells.filter("cls >= 0"), ["sk", "cls"], wide, "offset"),
-                          "mix-classed")
-    cuts, gaps = _cuts(rows, classed, targets)
+        .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
+        .join(by_class, "sk", "left"), "mix-targets")
+    whole = materialize(_with_offsets(
+        cells.groupBy("sk", "bucket").agg(F.sum("words").alias("words")), ["sk"], wide, "first")
+        .drop("words"), "mix-whole")
+    located = materialize(_with_offsets(cells, ["sk", "cls"], wide, "offset")
+                          .join(whole, ["sk", "bucket"]), "mix-located")
+    state = _cuts(rows, located, targets)
     # Documents meet what is known of their source by (source, bucket, class), which none crowds.
-    whole = _with_offsets(cells.groupBy("sk", "bucket").agg(F.sum("words").alias("words")), ["sk"],
-                          wide, "first")
-    known = (cells.select("sk", "cls", "bucket").join(whole.drop("words"), ["sk", "bucket"])
-             .join(classed.drop("words"), ["sk", "cls", "bucket"], "left")
-             .join(cuts, ["sk", "cls"], "left").join(targets, "sk").join(gaps, "sk", "left"))
+    known = located.drop("words").join(state.drop("words"), "sk").withColumn(
+        "cut", F.try_element_at("cuts", F.col("cls"))).drop("cuts")
     in_source = Window.partitionBy("sk", "bucket").orderBy("h", "doc_id").rowsBetween(*_EARLIER)
     in_class = Window.partitionBy("sk", "bucket", "cls").orderBy("h", "doc_id").rowsBetween(
         Window.unboundedPreceding, 0)
@@ -301,8 +294,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
         placed.join(first, ["sk", "bucket", "size", "start"], "left")
         .withColumn("more", F.col("fits") != F.coalesce("flipped", F.lit(False)))
         .drop("flipped", "fits"), "mix-chosen")
-    partial = chosen.groupBy("sk", "bucket").agg(
-        F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).alias("words"))
+    partial = materialize(chosen.groupBy("sk", "bucket").agg(
+        F.sum(F.when(F.col("more"), F.col("size")).otherwise(0)).alias("words")), "mix-partial")
     got = partial.groupBy("sk").agg(F.sum("words").alias("got"))
     lasts = _with_offsets(partial, ["sk"], wide, "before").drop("words").join(got, "sk")
     words = F.col("passes") * F.col("source_size") + F.col("got")
@@ -324,13 +317,23 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.
                   F.sequence(F.lit(0), F.col("copies") - 1), times))
                   .otherwise(F.array().cast("array<double>"))))
     spread = F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))  # of documents not taken
-    result = materialize(result.select(
+    return materialize(result.select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"), "copies", "positions",
         F.col("sk").alias("source_key"),
         F.when(F.col("copies") > 0, F.col("positions")[0]).otherwise(1 + spread).alias("at")),
         "mix-result")
-    return (result.repartitionByRange(partitions(docs.sparkSession), "at")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.5,
+        cap: float = 2.0, rows_per_bucket: int = 500) -> DataFrame:
+    """One row per document, range-sorted by its first position (documents not taken last).
+
+    Columns: doc_id, size, source_size, target, taken, copies, positions (one training time
+    in [0, 1] for each copy), source_key.
+    """
+    return (_mixed(docs, weights, schedules, share, cap, rows_per_bucket)
+            .repartitionByRange(partitions(docs.sparkSession), "at")
             .sortWithinPartitions("at", "doc_id").drop("at"))
 
 
@@ -341,9 +344,9 @@ def training_order(docs: DataFrame, **parameters) -> DataFrame:
     takes the n-th place of theirs.  Columns of any name pass through.
     """
     key = ["k", "size", "sk"]
-    made = materialize(mix(docs, **parameters).select(
+    made = _mixed(docs, **parameters).select(
         F.col("doc_id").alias("k"), "size", F.col("source_key").alias("sk"), "positions",
-        F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0)).alias("at")), "mix-made")
+        F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0)).alias("at"))
     doc_id, size, sk = _sources(docs)
     # A document is one struct, so none of its columns can be mistaken for one of these.
     whole = docs.select(F.struct("*").alias("doc"), doc_id.alias("k"), size.alias("size"),
